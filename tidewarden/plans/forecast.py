@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewarden.functions.times import Instant, instant
 from tidewarden.operators.features import lag_lead
@@ -57,7 +58,7 @@ def save_models(models: DataFrame, path: str, as_of: Instant = None) -> bool:
 
 def load_models(spark: SparkSession, path: str) -> DataFrame:
     """Models of the latest training run; none if there was no run yet."""
-    schema = MODEL.add("trained_at", "string") if "trained_at" not in MODEL.names else MODEL
+    schema = T.StructType([*MODEL.fields, T.StructField("trained_at", T.StringType())])
     try:
         runs = spark.read.schema(schema).parquet(path)
     except AnalysisException as error:

@@ -15,7 +15,7 @@ from tidewarden.operators.normalize import judged_hydro, judged_weather, rejecte
 
 LOGICAL_KEYS = {"synop": ("station_id", "measurement_timestamp"),
                 "hydro": ("gauge_id", "measurement_timestamp")}
-_JUDGES = {"synop": judged_weather, "hydro": judged_hydro}
+JUDGES = {"synop": judged_weather, "hydro": judged_hydro}
 
 
 @dataclass(frozen=True)
@@ -29,7 +29,7 @@ def ingest(raw: DataFrame, topic: str, seen: DataFrame | None = None,
            as_of: Instant = None, order: str = "ingestion_timestamp") -> Ingested:
     """One poll of a feed: usable records, those not ``seen`` before (one per logical key), and
     the rejects with their reasons."""
-    judged = _JUDGES[topic](raw, as_of)
+    judged = JUDGES[topic](raw, as_of)
     good = usable(judged)
     keys = LOGICAL_KEYS[topic]
     new = first_per_key(good, keys, [order])
@@ -44,7 +44,7 @@ def ingest_stream(raw: DataFrame, topic: str,
 
     State is bounded by the lateness; repeats over all time are kept out by the history tables.
     """
-    good = (usable(_JUDGES[topic](raw))
+    good = (usable(JUDGES[topic](raw))
             .withColumn("event_time", event_time(F.col("measurement_timestamp")))
             .filter(F.col("event_time").isNotNull()))
     return first_in_stream(good, LOGICAL_KEYS[topic], "event_time", lateness).drop("event_time")

@@ -38,24 +38,28 @@ def absent_rows(rows: DataFrame, stored: DataFrame, key: Sequence[str],
     return only_new(first_per_key(rows.na.drop(subset=list(key)), key, order), stored, key)
 
 
+def stored_rows(rows: DataFrame, root: str, spec: TableSpec) -> DataFrame:
+    """The table, pruned to the days of ``rows``, which the natural key determines."""
+    stored = read_table(rows.sparkSession, root, spec)
+    days = [r.day for r in rows.select(spec.day().alias("day")).distinct()
+            .limit(MAX_NAMED_DAYS + 1).collect()]
+    if len(days) > MAX_NAMED_DAYS:
+        return stored
+    named = F.col("day").isin([d for d in days if d is not None])
+    return stored.filter(named | F.col("day").isNull() if None in days else named)
+
+
 def insert_absent(rows: DataFrame, root: str, spec: TableSpec,
                   order: Sequence[str | Column] = ("ingestion_timestamp",)) -> int:
     """Appends the rows whose key the table does not hold; the first writer wins. Returns the
     number of rows added.
 
-    The stored side is pruned to the days of the incoming rows, which the natural key determines.
     Safe to repeat for one writer per table. The rebalance keeps files large and splits a day
     that is too big for one task.
     """
-    spark = rows.sparkSession
-    rows = rows.withColumn("day", spec.day())
-    stored = read_table(spark, root, spec).select("day", *spec.key)
-    days = [r.day for r in rows.select("day").distinct().limit(MAX_NAMED_DAYS + 1).collect()]
-    if len(days) <= MAX_NAMED_DAYS:
-        named = F.col("day").isin([d for d in days if d is not None])
-        stored = stored.filter(named | F.col("day").isNull() if None in days else named)
+    stored = stored_rows(rows, root, spec).select(*spec.key)
     added = Observation()
-    fresh = absent_rows(rows, stored, spec.key, order)
+    fresh = absent_rows(rows, stored, spec.key, order).withColumn("day", spec.day())
     (fresh.select(*spec.schema.names, "day").hint("rebalance", "day")
      .observe(added, F.count(F.lit(1)).alias("rows"))
      .write.mode("append").partitionBy("day").parquet(table_path(root, spec)))
