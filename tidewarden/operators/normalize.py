@@ -13,16 +13,23 @@ from tidewarden.schemas import HYDRO, SYNOP
 WEATHER_PREFIX = "IMGW_"
 HYDRO_PREFIX = "H_"
 
+POLLED_AT = "polled_at"
+
 
 def _number(text: str) -> Column:
     return F.col(text).try_cast("double")
 
 
 def _judged(raw: DataFrame, fields: dict[str, Column], problems: dict[str, Column]) -> DataFrame:
-    """Converted fields plus ``record`` (source as JSON) and ``reason`` (names of bad fields)."""
+    """Converted fields plus ``record`` (source as JSON) and ``reason`` (names of bad fields).
+
+    The time of the poll that brought the record stays, if the source tells it.
+    """
+    polled = [c for c in raw.columns if c == POLLED_AT]
     reason = F.concat_ws(", ", *[F.when(bad, F.lit(name)) for name, bad in problems.items()])
-    record = F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})
-    return raw.select(*[c.alias(n) for n, c in fields.items()],
+    record = F.to_json(F.struct(*[c for c in raw.columns if c != POLLED_AT]),
+                       {"ignoreNullFields": "false"})
+    return raw.select(*[c.alias(n) for n, c in fields.items()], *polled,
                       record.alias("record"), F.nullif(reason, F.lit("")).alias("reason"))
 
 

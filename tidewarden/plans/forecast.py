@@ -85,7 +85,12 @@ def forecast_levels(history: DataFrame, models: DataFrame, gauge: str = "gauge_i
 
 
 def export_predictions(predictions: DataFrame, path: str) -> DataFrame:
-    """Writes the whole table as CSV with a header and returns the four columns shown."""
-    predictions.write.mode("overwrite").option("header", True).csv(path)
+    """Writes the whole table as CSV with a header and returns the four columns shown.
+
+    Times are written as plain text, which keeps their microseconds.
+    """
+    times = {f.name: F.col(f.name).cast("string") for f in predictions.schema.fields
+             if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    predictions.withColumns(times).write.mode("overwrite").option("header", True).csv(path)
     return predictions.select("gauge_id", "prediction_timestamp", "predicted_water_level",
                               "horizon_hours")

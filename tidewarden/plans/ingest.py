@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tidewarden.functions.times import Instant, event_time
 from tidewarden.operators.dedup import first_in_stream, first_per_key
 from tidewarden.operators.joins import only_new
-from tidewarden.operators.normalize import judged_hydro, judged_weather, rejected, usable
+from tidewarden.operators.normalize import (
+    POLLED_AT, judged_hydro, judged_weather, rejected, usable)
 
 LOGICAL_KEYS = {"synop": ("station_id", "measurement_timestamp"),
                 "hydro": ("gauge_id", "measurement_timestamp")}
@@ -26,16 +27,20 @@ class Ingested:
 
 
 def ingest(raw: DataFrame, topic: str, seen: DataFrame | None = None,
-           as_of: Instant = None, order: str = "ingestion_timestamp") -> Ingested:
-    """One poll of a feed: usable records, those not ``seen`` before (one per logical key), and
-    the rejects with their reasons."""
+           as_of: Instant = None) -> Ingested:
+    """Polls of a feed as a batch: usable records, those not ``seen`` before, and the rejects with
+    their reasons.
+
+    Of several records with one logical key the earliest poll wins, then the earlier place in it.
+    """
     judged = JUDGES[topic](raw, as_of)
-    good = usable(judged)
+    placed = usable(judged).withColumn("_place", F.monotonically_increasing_id())
     keys = LOGICAL_KEYS[topic]
-    new = first_per_key(good, keys, [order])
+    new = first_per_key(placed, keys, [c for c in (POLLED_AT, "_place") if c in placed.columns])
     if seen is not None:
         new = only_new(new, seen, keys)
-    return Ingested(good, new, rejected(judged))
+    return Ingested(*[df.drop(POLLED_AT, "_place")
+                      for df in (placed, new, rejected(judged))])
 
 
 def ingest_stream(raw: DataFrame, topic: str,
@@ -44,7 +49,7 @@ def ingest_stream(raw: DataFrame, topic: str,
 
     State is bounded by the lateness; repeats over all time are kept out by the history tables.
     """
-    good = (usable(JUDGES[topic](raw))
+    good = (usable(JUDGES[topic](raw)).drop(POLLED_AT)
             .withColumn("event_time", event_time(F.col("measurement_timestamp")))
             .filter(F.col("event_time").isNotNull()))
     return first_in_stream(good, LOGICAL_KEYS[topic], "event_time", lateness).drop("event_time")

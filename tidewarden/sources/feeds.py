@@ -6,15 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewarden.operators.normalize import POLLED_AT
+
 
 def raw_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Records of landed files, each file one JSON array (one poll of the feed)."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Records of landed files, each file one JSON array (one poll of the feed), with the time of
+    the poll in ``polled_at``."""
+    return _polled(spark.read.schema(schema).option("multiLine", True).json(path))
 
 
 def raw_feed_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The same as a stream: every new file is one poll."""
-    return spark.readStream.schema(schema).option("multiLine", True).json(path)
+    return _polled(spark.readStream.schema(schema).option("multiLine", True).json(path))
+
+
+def _polled(records: DataFrame) -> DataFrame:
+    return records.select("*", F.col("_metadata.file_modification_time").alias(POLLED_AT))
 
 
 def feed_records(documents: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
