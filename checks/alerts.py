@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.standins import (
     AS_OF, HYDRO, HYDRO_STATIONS, K, RAW_ALERTS, SYNOP, WEATHER_STATIONS, check, events,
-    events_stream, half_up, hydro, messages, raw_alerts, second_metric, stations, synop)
+    events_stream, half_up, hydro, messages, raw_alerts, stations, synop, with_k)
 from tidewarden.operators.joins import only_new
 from tidewarden.operators.rules import Rule, classified
 from tidewarden.operators.windows import fall, rise, sliding_extremes
@@ -39,7 +39,7 @@ FROM (%s)"""
 
 
 def _delta(spark, sf_dir, hours, panes):
-    rows = events(spark, sf_dir).withColumn("k", second_metric())
+    rows = with_k(events(spark, sf_dir))
     return (sliding_extremes(rows, ["event_type"], "ts", "value", hours * HOUR, HOUR, ["k"],
                              panes=panes)
             .withColumn("fall", fall()).withColumn("rise", rise()))

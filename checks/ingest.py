@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from checks.alerts import alert_messages
 from checks.standins import (
     AS_OF, HYDRO, K, PREDICTIONS, RAW_ALERTS, SYNOP, check, events, events_stream, hydro,
-    messages, predictions, second_metric, synop, zoneless)
+    messages, predictions, synop, with_k, zoneless)
 from tidewarden.operators.dedup import first_in_stream, first_per_key
 from tidewarden.operators.normalize import judged_hydro, judged_weather, rejected, usable
 from tidewarden.plans.ingest import ingest, ingest_report, ingest_stream
@@ -29,17 +29,17 @@ _PROPS = T.StructType([T.StructField("k", T.IntegerType())])
 @check(f"SELECT event_id, {K} AS k FROM events WHERE {K} % 10 <> 0")
 def json_decode(spark, sf_dir):
     """Bytes to typed columns; values that are no JSON, or lack the field, are dropped."""
-    k = second_metric()
+    k = F.col("k")
     text = F.when(k % 20 == 0, F.col("event_type")).when(k % 10 == 0, "[]").otherwise(
         F.col("props"))
-    rows = events(spark, sf_dir).select("event_id", text.cast("binary").alias("value"))
+    rows = with_k(events(spark, sf_dir)).select("event_id", text.cast("binary").alias("value"))
     return decoded(rows, _PROPS, required=["k"], keep=["event_id"])
 
 
 def raw_weather(rows):
     """Feed records as text, some of them with gaps or bad numbers."""
-    k = second_metric()
-    return rows.select(
+    k = F.col("k")
+    return with_k(rows).select(
         F.col("user_id").cast("string").alias("id_stacji"),
         F.col("event_type").alias("stacja"),
         F.date_format("ts", "yyyy-MM-dd").alias("data_pomiaru"),
@@ -63,8 +63,8 @@ RAW_WEATHER_SQL = f"""raw_weather AS (
 
 
 def raw_hydro(rows):
-    k = second_metric()
-    return rows.select(
+    k = F.col("k")
+    return with_k(rows).select(
         F.col("user_id").cast("string").alias("id_stacji"),
         F.col("event_type").alias("stacja"), F.lit("Łódź").alias("rzeka"),
         (F.col("user_id") / 4.0).cast("string").alias("lat"), k.cast("string").alias("lon"),

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,8 +51,9 @@ def zoneless(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.TimestampType) else F.col(f.name) for f in df.schema.fields])
 
 
-def second_metric() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def with_k(rows: DataFrame) -> DataFrame:
+    """The second metric as a column of its own, parsed once per row."""
+    return rows.select("*", F.inline(F.array(F.from_json("props", "k int"))))
 
 
 def half_up(number: str, digits: int) -> str:
@@ -65,8 +66,8 @@ K = "CAST(props->>'$.k' AS INTEGER)"
 
 
 def synop(rows: DataFrame) -> DataFrame:
-    k = second_metric()
-    return rows.select(
+    k = F.col("k")
+    return with_k(rows).select(
         F.concat(F.lit("IMGW_"), F.col("user_id").cast("string")).alias("station_id"),
         F.col("ts").alias("measurement_timestamp"),
         (F.col("value") / 10).alias("temperature"), k.alias("humidity"),
@@ -82,8 +83,8 @@ SYNOP = f"""synop AS (
 
 
 def hydro(rows: DataFrame) -> DataFrame:
-    k = second_metric()
-    return rows.select(
+    k = F.col("k")
+    return with_k(rows).select(
         F.concat(F.lit("H_"), F.col("user_id").cast("string")).alias("gauge_id"),
         F.col("ts").alias("measurement_timestamp"),
         F.floor("value").cast("int").alias("water_level_cm"),
@@ -154,8 +155,8 @@ def messages(rows: DataFrame, readings: DataFrame, topic: str, key: str) -> Data
 
 def raw_alerts(rows: DataFrame) -> DataFrame:
     """Alert versions: several per id, some with gaps or codes outside the contract."""
-    k = second_metric()
-    return rows.select(
+    k = F.col("k")
+    return with_k(rows).select(
         F.concat(F.lit("STORM_"), F.col("event_type"), F.lit("_"),
                  F.date_format("ts", "yyyyMMddHH")).alias("alert_id"),
         F.when(k % 3 == 0, "storm").when(k % 3 == 1, "flood").otherwise("hail")

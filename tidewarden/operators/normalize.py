@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +24,8 @@ def _number(text: str) -> Column:
 
 
 def _judged(raw: DataFrame, fields: dict[str, Column], problems: dict[str, Column]) -> DataFrame:
-    """Converted fields plus ``record`` (source as JSON) and ``reason`` (names of bad fields).
+    """Converted fields plus ``usable``, ``record`` (source as JSON) and ``reason`` (names of bad
+    fields).
 
     The time of the poll that brought the record stays, if the source tells it.
     """
@@ -30,7 +34,8 @@ def _judged(raw: DataFrame, fields: dict[str, Column], problems: dict[str, Colum
     record = F.to_json(F.struct(*[c for c in raw.columns if c != POLLED_AT]),
                        {"ignoreNullFields": "false"})
     return raw.select(*[c.alias(n) for n, c in fields.items()], *polled,
-                      record.alias("record"), F.nullif(reason, F.lit("")).alias("reason"))
+                      (~reduce(or_, problems.values())).alias("usable"),
+                      record.alias("record"), reason.alias("reason"))
 
 
 def judged_weather(raw: DataFrame, as_of: Instant = None) -> DataFrame:
@@ -82,12 +87,12 @@ def judged_hydro(raw: DataFrame, as_of: Instant = None,
 
 
 def usable(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.col("reason").isNull()).drop("record", "reason")
+    return judged.filter("usable").drop("usable", "record", "reason")
 
 
 def rejected(judged: DataFrame) -> DataFrame:
     """Source record and the fields that made it unusable."""
-    return judged.filter(F.col("reason").isNotNull()).select("record", "reason")
+    return judged.filter("NOT usable").select("record", "reason")
 
 
 def normalize_weather(raw: DataFrame, as_of: Instant = None) -> DataFrame:

@@ -50,11 +50,11 @@ def decoded(messages: DataFrame, schema: T.StructType, required: Sequence[str] =
     """Typed columns of the JSON value, after the message columns named in ``keep``.
 
     Invalid UTF-8 is replaced, invalid JSON gives nulls; rows that lack a ``required`` field are
-    dropped.
+    dropped. The parsed struct goes through ``inline``, as a plain projection would let filters on
+    its fields move below it and parse every message again for each of them.
     """
     text = F.make_valid_utf8(F.col("value").cast("string"))
-    rows = (messages.select(*keep, F.from_json(text, schema).alias("_body"))
-            .select(*keep, "_body.*"))
+    rows = messages.select(*keep, F.inline(F.array(F.from_json(text, schema))))
     for name in required:
         rows = rows.filter(F.col(name).isNotNull())
     return rows

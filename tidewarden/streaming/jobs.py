@@ -75,7 +75,9 @@ def start_history_job(messages: DataFrame, root: str, checkpoint: str,
         batch.persist()
         for topic in topics:
             rows, spec = history_rows(batch, topic)
+            rows.persist()  # the insert reads them twice: once for their days
             insert_absent(rows, root, spec, ["ingestion_timestamp", "partition", "offset"])
+            rows.unpersist()
         batch.unpersist()
 
     return _started(messages, store, checkpoint, every, once)
