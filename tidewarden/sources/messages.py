@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,11 +60,14 @@ def decoded(messages: DataFrame, schema: T.StructType, required: Sequence[str] =
     return rows
 
 
+def row_json(df: DataFrame) -> Column:
+    """The whole row as JSON, with its null fields."""
+    return F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+
+
 def keyed_json(df: DataFrame, key: str) -> DataFrame:
-    """``key`` and ``value``, the whole row as JSON with its null fields."""
-    return df.select(
-        F.col(key).alias("key"),
-        F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    """A message per row: ``key``, and the row as JSON in ``value``."""
+    return df.select(F.col(key).alias("key"), row_json(df).alias("value"))
 
 
 def kafka_writer(bootstrap: str, topic: str) -> BatchWriter:

@@ -16,7 +16,7 @@ from tidewarden.plans.forecast import (
 from tidewarden.plans.ingest import JUDGES, LOGICAL_KEYS, ingest
 from tidewarden.schemas import (
     HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, TOPICS, TableSpec)
-from tidewarden.sources.messages import BatchWriter, decoded, keyed_json
+from tidewarden.sources.messages import BatchWriter, decoded, keyed_json, row_json
 from tidewarden.sources.tables import create_tables, insert_absent, read_table, stored_rows
 
 SCORING_INTERVAL = timedelta(seconds=300)
@@ -42,12 +42,16 @@ def start_alert_job(alerts: DataFrame, write: BatchWriter, checkpoint: str,
     One query feeds both sinks, so the window state exists once.
     """
     def publish(batch: DataFrame, batch_id: int) -> None:
+        # Cached with the added column: the bare batch still claims an order by a column that it
+        # no longer has, which caching does not accept.
+        rows = batch.withColumn("value_json", row_json(batch))
         if preview:
-            batch.persist()
-        write(keyed_json(batch, "alert_id"), batch_id)
+            rows.persist()
+        write(rows.select(F.col("alert_id").alias("key"), F.col("value_json").alias("value")),
+              batch_id)
         if preview:
-            batch.select("alert_id", "severity", "value", "msg").show(truncate=False)
-            batch.unpersist()
+            rows.select("alert_id", "severity", "value", "msg").show(truncate=False)
+            rows.unpersist()
 
     return _started(alerts, publish, checkpoint, every, once)
 
