@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.standins import AS_OF, HYDRO, check, events, events_stream, hydro, messages, zoneless
+from checks.standins import (
+    AS_OF, HYDRO, check, events, events_stream, hydro, levels, messages, zoneless)
 from tidewarden.operators.features import lag_lead
 from tidewarden.plans import forecast as plans
 from tidewarden.schemas import HYDRO_PREDICTIONS
@@ -13,8 +14,8 @@ from tidewarden.sources.tables import read_table
 from tidewarden.streaming.jobs import start_history_job, start_scoring_job
 
 
-def _hydro(spark, sf_dir):
-    return hydro(events(spark, sf_dir))
+def _levels(spark, sf_dir):
+    return levels(events(spark, sf_dir))
 
 
 def _features_sql(source: str, key: str, ts: str, value: str) -> str:
@@ -28,7 +29,7 @@ def _features_sql(source: str, key: str, ts: str, value: str) -> str:
 @check(f"WITH {HYDRO} {_features_sql('hydro', 'gauge_id', 'measurement_timestamp', 'water_level_cm')}")
 def lag_lead_features(spark, sf_dir):
     """Few readings per gauge and day: most rows are slice edges."""
-    return lag_lead(_hydro(spark, sf_dir), "gauge_id", "measurement_timestamp", "water_level_cm")
+    return lag_lead(_levels(spark, sf_dir), "gauge_id", "measurement_timestamp", "water_level_cm")
 
 
 @check(_features_sql("events", "event_type", "ts", "value"))
@@ -68,7 +69,7 @@ def _whole(name: str) -> str:
 WITH {HYDRO}, {_STATS}
 SELECT gauge_id, n, {', '.join(f'{_whole(c)} AS {c}' for c in _STAT_NAMES)} FROM stats""")
 def ols_stats(spark, sf_dir):
-    stats = plans.level_stats(_hydro(spark, sf_dir))
+    stats = plans.level_stats(_levels(spark, sf_dir))
     return stats.select("gauge_id", "n", *[F.expr(_whole(c)).alias(c) for c in _STAT_NAMES])
 
 
@@ -112,13 +113,13 @@ _ROUNDED_SQL = (f"{_MODELS} SELECT gauge_id, horizon, n, "
 
 @check(_ROUNDED_SQL)
 def level_models(spark, sf_dir):
-    return _rounded(plans.train_level_models(_hydro(spark, sf_dir)))
+    return _rounded(plans.train_level_models(_levels(spark, sf_dir)))
 
 
 @check(_ROUNDED_SQL)
 def model_store(spark, sf_dir):
     """Two training runs saved: the later one is what counts; an empty run changes nothing."""
-    history = _hydro(spark, sf_dir)
+    history = _levels(spark, sf_dir)
     path = shared_folder(spark, "models")
     models = plans.train_level_models(history)
     plans.save_models(models.withColumn("b0", F.lit(0.0)), path, "2024-01-19 00:00:00")
@@ -143,7 +144,7 @@ FROM recent JOIN models USING (gauge_id)"""
 
 @check(_FORECAST)
 def level_forecast(spark, sf_dir):
-    history = _hydro(spark, sf_dir)
+    history = _levels(spark, sf_dir)
     forecast = plans.forecast_levels(history, plans.train_level_models(history))
     return _shown(forecast)
 

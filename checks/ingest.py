@@ -11,6 +11,7 @@ from checks.alerts import alert_messages
 from checks.standins import (
     AS_OF, HYDRO, K, PREDICTIONS, RAW_ALERTS, SYNOP, check, events, events_stream, hydro,
     messages, predictions, synop, with_k, zoneless)
+from tidewarden.functions.text import logical_key
 from tidewarden.operators.dedup import first_in_stream, first_per_key
 from tidewarden.operators.normalize import judged_hydro, judged_weather, rejected, usable
 from tidewarden.plans.ingest import ingest, ingest_report, ingest_stream
@@ -18,7 +19,7 @@ from tidewarden.schemas import (
     ALERTS_HISTORY, HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, RAW_WEATHER,
     SYNOP_MEASUREMENTS)
 from tidewarden.session import shared_folder
-from tidewarden.sources.feeds import feed_records
+from tidewarden.sources.feeds import feed_records, seen_keys
 from tidewarden.sources.messages import decoded, folder_writer
 from tidewarden.sources.tables import create_tables, insert_absent, read_table
 from tidewarden.streaming.jobs import start_history_job, start_ingest_job
@@ -174,6 +175,20 @@ def ingest_new(spark, sf_dir):
     return _second_poll(spark, sf_dir).new.select("gauge_id", "measurement_timestamp")
 
 
+@check("""
+SELECT DISTINCT 'H_' || user_id AS gauge_id,
+       strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS measurement_timestamp FROM events""")
+def published_keys(spark, sf_dir):
+    """Keys through a text file of lines, some of them blank or padded."""
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    gauge = F.concat(F.lit("H_"), F.col("user_id").cast("string"))
+    key = logical_key(gauge, time)
+    lines = F.explode(F.array(key, F.lit(" "), F.concat(F.lit("  "), key)))
+    path = shared_folder(spark, "seen-keys")
+    events(spark, sf_dir).select(lines.alias("value")).write.text(path)
+    return seen_keys(spark, path, "gauge_id").distinct()
+
+
 @check(f"""{_NEW_HYDRO}
 SELECT 'hydro' AS topic, (SELECT count(*) FROM good) AS fetched,
        (SELECT count(*) FROM fresh) AS sent,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.standins import (
     AS_OF, HYDRO, HYDRO_STATIONS, PREDICTIONS, RAW_ALERTS, SYNOP, WEATHER_STATIONS, check,
-    events, hydro, predictions, stations, synop, table, zoneless)
+    events, hydro, levels, predictions, stations, synop, table, zoneless)
 from tidewarden.functions.text import fold_polish, logical_key, station_label
 from tidewarden.functions.times import clock_text
 from tidewarden.operators.joins import named
@@ -74,7 +74,7 @@ WITH {HYDRO}
 SELECT DISTINCT gauge_id FROM hydro WHERE measurement_timestamp <= {NOW}
 ORDER BY gauge_id LIMIT 100""")
 def hydro_gauges(spark, sf_dir):
-    return views.hydro_gauges(_hydro(spark, sf_dir), AS_OF)
+    return views.hydro_gauges(levels(events(spark, sf_dir)), AS_OF)
 
 
 @check(f"""
@@ -135,7 +135,7 @@ WITH {HYDRO}
 SELECT gauge_id, max(measurement_timestamp) AS last_ts FROM hydro
 WHERE measurement_timestamp <= {NOW} AND gauge_id = 'H_7' GROUP BY gauge_id""")
 def last_hydro(spark, sf_dir):
-    return last_seen(_hydro(spark, sf_dir), "gauge_id", "measurement_timestamp", AS_OF, "H_7")
+    return last_seen(levels(events(spark, sf_dir)), "gauge_id", "measurement_timestamp", AS_OF, "H_7")
 
 
 _SERIES = f"""
@@ -214,9 +214,8 @@ SELECT gauge_id, measurement_timestamp, water_level_cm FROM (
   SELECT *, row_number() OVER (PARTITION BY gauge_id ORDER BY measurement_timestamp DESC) AS rn
   FROM hydro) WHERE rn <= 3""")
 def recent_three(spark, sf_dir):
-    return recent_rows(_hydro(spark, sf_dir).select(
-        "gauge_id", "measurement_timestamp", "water_level_cm"),
-        "gauge_id", "measurement_timestamp", 3).drop("rank")
+    return recent_rows(levels(events(spark, sf_dir)), "gauge_id", "measurement_timestamp",
+                       3).drop("rank")
 
 
 @check(f"""
@@ -229,7 +228,7 @@ SELECT gauge_id, max(measurement_timestamp) AS measurement_timestamp,
        max(water_level_cm) FILTER (rn = 3) AS lag_2
 FROM ranked WHERE rn <= 3 GROUP BY gauge_id HAVING count(water_level_cm) = 3""")
 def recent_levels(spark, sf_dir):
-    return recent_lags(_hydro(spark, sf_dir), "gauge_id", "measurement_timestamp",
+    return recent_lags(levels(events(spark, sf_dir)), "gauge_id", "measurement_timestamp",
                        "water_level_cm")
 
 
@@ -238,8 +237,7 @@ WITH {HYDRO}
 SELECT gauge_id, measurement_timestamp, water_level_cm FROM hydro ORDER BY measurement_timestamp
 """)
 def level_history(spark, sf_dir):
-    return _hydro(spark, sf_dir).select(
-        "gauge_id", "measurement_timestamp", "water_level_cm").orderBy("measurement_timestamp")
+    return levels(events(spark, sf_dir)).orderBy("measurement_timestamp")
 
 
 @check(f"""

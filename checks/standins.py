@@ -92,6 +92,14 @@ def hydro(rows: DataFrame) -> DataFrame:
         (F.col("value") > 40).alias("is_warning"), F.col("ts").alias("ingestion_timestamp"))
 
 
+def levels(rows: DataFrame) -> DataFrame:
+    """Only what level history and forecasts read, so that the scan leaves out the rest."""
+    return rows.select(
+        F.concat(F.lit("H_"), F.col("user_id").cast("string")).alias("gauge_id"),
+        F.col("ts").alias("measurement_timestamp"),
+        F.floor("value").cast("int").alias("water_level_cm"))
+
+
 HYDRO = f"""hydro AS (
   SELECT 'H_' || user_id AS gauge_id, ts AS measurement_timestamp,
          CAST(floor(value) AS INTEGER) AS water_level_cm,

@@ -24,8 +24,9 @@ def sliding_extremes(readings: DataFrame, keys: Sequence[str], ts: str, value: s
     one row per window and map task over the shuffle.
 
     ``panes`` first reduces a batch to one row per key and slide and builds the windows from
-    those. It needs ``size`` to be a multiple of ``slide`` and pays off when a key has many
-    readings per slide, as raw rows are then not repeated ``size / slide`` times.
+    those. It needs ``size`` to be a multiple of ``slide`` and costs a second shuffle; it pays off
+    when a key has hundreds of readings per slide, as raw rows are not repeated ``size / slide``
+    times.
     """
     if lateness is not None:
         readings = readings.withWatermark(ts, _text(lateness))

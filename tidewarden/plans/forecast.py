@@ -39,6 +39,16 @@ def train_level_models(history: DataFrame, gauge: str = "gauge_id",
             .withColumnRenamed(gauge, "gauge_id"))
 
 
+# A training run's rows, with the run as partition.
+_STORED = T.StructType([*MODEL.fields, T.StructField("trained_at", T.StringType())])
+
+
+def create_model_store(spark: SparkSession, path: str) -> None:
+    """Creates an empty store if there is none."""
+    (spark.createDataFrame([], _STORED).write.mode("ignore")
+     .partitionBy("trained_at").parquet(path))
+
+
 def save_models(models: DataFrame, path: str, as_of: Instant = None) -> bool:
     """Adds one training run, which replaces all earlier models; an empty run is not kept.
 
@@ -58,9 +68,8 @@ def save_models(models: DataFrame, path: str, as_of: Instant = None) -> bool:
 
 def load_models(spark: SparkSession, path: str) -> DataFrame:
     """Models of the latest training run; none if there was no run yet."""
-    schema = T.StructType([*MODEL.fields, T.StructField("trained_at", T.StringType())])
     try:
-        runs = spark.read.schema(schema).parquet(path)
+        runs = spark.read.schema(_STORED).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -21,9 +21,18 @@ JUDGES = {"synop": judged_weather, "hydro": judged_hydro}
 
 @dataclass(frozen=True)
 class Ingested:
-    usable: DataFrame
+    """Usable records, the new ones among them, and the rejects, all from ``judged``."""
+
+    judged: DataFrame
     new: DataFrame
-    rejected: DataFrame
+
+    @property
+    def usable(self) -> DataFrame:
+        return usable(self.judged).drop(POLLED_AT)
+
+    @property
+    def rejected(self) -> DataFrame:
+        return rejected(self.judged)
 
 
 def ingest(raw: DataFrame, topic: str, seen: DataFrame | None = None,
@@ -39,8 +48,7 @@ def ingest(raw: DataFrame, topic: str, seen: DataFrame | None = None,
     new = first_per_key(placed, keys, [c for c in (POLLED_AT, "_place") if c in placed.columns])
     if seen is not None:
         new = only_new(new, seen, keys)
-    return Ingested(*[df.drop(POLLED_AT, "_place")
-                      for df in (placed, new, rejected(judged))])
+    return Ingested(judged, new.drop(POLLED_AT, "_place"))
 
 
 def ingest_stream(raw: DataFrame, topic: str,
@@ -57,11 +65,11 @@ def ingest_stream(raw: DataFrame, topic: str,
 
 def ingest_report(result: Ingested, topic: str) -> DataFrame:
     """One row: records fetched, records newly sent, records rejected."""
-    def counted(df: DataFrame, kind: str) -> DataFrame:
-        return df.select(F.lit(kind).alias("kind"))
-
-    kinds = (counted(result.usable, "fetched").unionByName(counted(result.new, "sent"))
-             .unionByName(counted(result.rejected, "rejected")))
-    return (kinds.agg(*[F.count_if(F.col("kind") == k).alias(k)
-                        for k in ("fetched", "sent", "rejected")])
+    none = F.lit(0).cast("long")
+    judged = result.judged.agg(F.count_if("usable").alias("fetched"), none.alias("sent"),
+                               F.count_if(~F.col("usable")).alias("rejected"))
+    sent = result.new.agg(none.alias("fetched"), F.count(F.lit(1)).alias("sent"),
+                          none.alias("rejected"))
+    return (judged.unionByName(sent)
+            .agg(*[F.sum(c).alias(c) for c in ("fetched", "sent", "rejected")])
             .select(F.lit(topic).alias("topic"), "fetched", "sent", "rejected"))

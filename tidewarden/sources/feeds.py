@@ -28,3 +28,11 @@ def feed_records(documents: DataFrame, schema: T.StructType, text: str = "value"
     """Records of feed documents held as text, one array per row."""
     records = F.from_json(F.col(text), T.ArrayType(schema))
     return documents.select(F.explode(records).alias("_record")).select("_record.*")
+
+
+def seen_keys(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Published keys of a text file, one ``id|time`` per line; empty lines are skipped."""
+    line = F.trim("value")
+    parts = F.split(line, r"\|", 2)
+    return (spark.read.text(path).filter(line != "")
+            .select(parts[0].alias(key), F.get(parts, F.lit(1)).alias("measurement_timestamp")))

@@ -13,6 +13,9 @@ from tidewarden.schemas import TABLES, TableSpec
 
 # Beyond this many days in one batch the check reads the whole table instead of naming them.
 MAX_NAMED_DAYS = 400
+# Up to this many rows (about 20 MB of keys) a batch is broadcast to the stored side, beyond it
+# both sides are shuffled.
+MAX_BROADCAST_ROWS = 200_000
 
 
 def table_path(root: str, spec: TableSpec) -> str:
@@ -31,6 +34,12 @@ def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     return spark.read.schema(spec.stored_schema).parquet(table_path(root, spec))
 
 
+def register_tables(spark: SparkSession, root: str) -> None:
+    """Makes the history tables known to SQL under their own names."""
+    for spec in TABLES.values():
+        read_table(spark, root, spec).drop("day").createOrReplaceTempView(spec.name)
+
+
 def absent_rows(rows: DataFrame, stored: DataFrame, key: Sequence[str],
                 order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key that is not stored yet; rows with a null in the key are left out.
@@ -39,14 +48,24 @@ def absent_rows(rows: DataFrame, stored: DataFrame, key: Sequence[str],
 
 
 def stored_rows(rows: DataFrame, root: str, spec: TableSpec) -> DataFrame:
-    """The table, pruned to the days of ``rows``, which the natural key determines."""
+    """The stored rows that may share a key with ``rows``.
+
+    One count per day, which the natural key determines, prunes the table to the days of the
+    batch and proves the batch's size. A small batch is broadcast to the stored side, so that the
+    table is scanned without a shuffle; what it finds is as small as the batch.
+    """
     stored = read_table(rows.sparkSession, root, spec)
-    days = [r.day for r in rows.select(spec.day().alias("day")).distinct()
-            .limit(MAX_NAMED_DAYS + 1).collect()]
+    days = (rows.groupBy(spec.day().alias("day")).count()
+            .limit(MAX_NAMED_DAYS + 1).collect())
     if len(days) > MAX_NAMED_DAYS:
         return stored
-    named = F.col("day").isin([d for d in days if d is not None])
-    return stored.filter(named | F.col("day").isNull() if None in days else named)
+    named = F.col("day").isin([d.day for d in days if d.day is not None])
+    stored = stored.filter(named | F.col("day").isNull() if None in [d.day for d in days]
+                           else named)
+    if sum(d["count"] for d in days) > MAX_BROADCAST_ROWS:
+        return stored
+    keys = list(spec.key)
+    return F.broadcast(stored.join(F.broadcast(rows.select(*keys)), keys, "left_semi"))
 
 
 def insert_absent(rows: DataFrame, root: str, spec: TableSpec,
@@ -55,9 +74,9 @@ def insert_absent(rows: DataFrame, root: str, spec: TableSpec,
     number of rows added.
 
     Safe to repeat for one writer per table. The rebalance keeps files large and splits a day
-    that is too big for one task.
+    that is too big for one task. ``rows`` are read more than once: cache them if they are costly.
     """
-    stored = stored_rows(rows, root, spec).select(*spec.key)
+    stored = stored_rows(rows, root, spec)
     added = Observation()
     fresh = absent_rows(rows, stored, spec.key, order).withColumn("day", spec.day())
     (fresh.select(*spec.schema.names, "day").hint("rebalance", "day")

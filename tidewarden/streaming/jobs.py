@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewarden.functions.times import Instant, event_time
 from tidewarden.operators.normalize import usable
 from tidewarden.plans.forecast import (
-    forecast_levels, load_models, save_models, train_level_models)
+    create_model_store, forecast_levels, load_models, save_models, train_level_models)
 from tidewarden.plans.ingest import JUDGES, LOGICAL_KEYS, ingest
 from tidewarden.schemas import (
     HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, TOPICS, TableSpec)
@@ -145,6 +145,7 @@ def start_scoring_job(ticks: DataFrame, root: str, models_path: str, checkpoint:
     """Scores on every micro-batch of ``ticks``, for instance the hydro messages: without new
     readings there is no new forecast to make."""
     create_tables(ticks.sparkSession, root, [HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS])
+    create_model_store(ticks.sparkSession, models_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         score(batch.sparkSession, root, models_path, batch_id, retrain_every)
