@@ -10,11 +10,12 @@ from checks.standins import (
 from tidewarden.functions.text import fold_polish, logical_key, station_label
 from tidewarden.functions.times import clock_text
 from tidewarden.operators.joins import named
-from tidewarden.operators.recent import latest_per_key, recent_lags, recent_rows
+from tidewarden.operators.recent import (
+    enough_recent, latest_per_key, recent_lags, recent_rows)
 from tidewarden.operators.series import (
     bucket_means, key_list, last_seen, series_summary, trailing_series, warnings_of)
 from tidewarden.plans import board, views
-from tidewarden.plans.forecast import export_predictions
+from tidewarden.plans import forecast as plans
 from tidewarden.schemas import HYDRO_PREDICTIONS
 from tidewarden.session import shared_folder
 from tidewarden.sources.stations import build_stations, combined_stations, write_stations
@@ -232,12 +233,24 @@ def recent_levels(spark, sf_dir):
                        "water_level_cm")
 
 
+@check(f"""
+WITH {HYDRO}
+SELECT gauge_id, measurement_timestamp, water_level_cm FROM (
+  SELECT *, row_number() OVER (PARTITION BY gauge_id ORDER BY measurement_timestamp DESC) AS rn
+  FROM hydro) WHERE rn <= 3""")
+def recent_three_of_table(spark, sf_dir):
+    """The same from a table with days: of the older days only what the last one leaves open."""
+    rows = levels(events(spark, sf_dir)).withColumn("day", F.to_date("measurement_timestamp"))
+    some = enough_recent(rows, rows, "gauge_id", 3, F.to_date(F.lit("2024-01-29")))
+    return recent_rows(some.drop("day"), "gauge_id", "measurement_timestamp", 3).drop("rank")
+
+
 @check(f"""
 WITH {HYDRO}
 SELECT gauge_id, measurement_timestamp, water_level_cm FROM hydro ORDER BY measurement_timestamp
 """)
 def level_history(spark, sf_dir):
-    return levels(events(spark, sf_dir)).orderBy("measurement_timestamp")
+    return plans.level_history(levels(events(spark, sf_dir)))
 
 
 @check(f"""
@@ -246,7 +259,7 @@ SELECT gauge_id, prediction_timestamp, predicted_water_level, horizon_hours FROM
 def predictions_export(spark, sf_dir):
     """All predictions through a CSV file."""
     path = shared_folder(spark, "predictions-csv")
-    export_predictions(_predictions(spark, sf_dir), path)
+    plans.export_predictions(_predictions(spark, sf_dir), path)
     back = spark.read.option("header", True).schema(HYDRO_PREDICTIONS.schema).csv(path)
     return zoneless(back.drop("created_at"))
 

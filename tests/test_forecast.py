@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewarden.operators.features import lag_lead
-from tidewarden.operators.recent import recent_lags
+from tidewarden.operators.recent import enough_recent, recent_lags, recent_rows
 from tidewarden.plans.forecast import (
     export_predictions, forecast_levels, load_models, save_models, train_level_models)
 from tidewarden.plans.views import forecast_horizons, forecast_overlay
@@ -159,3 +159,22 @@ def test_overlay_and_export(spark, tmp_path):
                              "horizon_hours"]
     back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
     assert back.columns == made.columns and back.count() == 4
+
+
+def test_silent_gauges_are_found_in_older_days(spark):
+    """Newest rows per gauge, whether the last days hold them, some of them or none."""
+    day = 86_400
+    rows = [("busy", i * 3600) for i in range(24 * 10)] + [
+        ("slow", i * 4 * day) for i in range(3)] + [("silent", i) for i in range(5)] + [
+        ("unwanted", 0)]
+    history = spark.createDataFrame(rows, "key string, s long").select(
+        "key", F.timestamp_seconds("s").alias("ts")).withColumn("day", F.to_date("ts"))
+    wanted = spark.createDataFrame([("busy",), ("slow",), ("silent",)], "key string")
+    since = F.to_date(F.lit("1970-01-08"))
+    some = enough_recent(history, wanted, "key", 3, since)
+    newest = recent_rows(some, "key", "ts", 3).filter("key != 'unwanted'")
+    every = recent_rows(history, "key", "ts", 3).filter("key != 'unwanted'")
+    assert newest.exceptAll(every).isEmpty() and every.exceptAll(newest).isEmpty()
+    assert some.filter("key = 'busy'").count() == 24 * 3
+    few = enough_recent(history, wanted.filter("key = 'busy'"), "key", 3, since)
+    assert few.filter("day < '1970-01-08'").isEmpty()

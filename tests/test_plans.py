@@ -119,3 +119,18 @@ def test_insert_prunes_days_and_gives_one_answer_with_and_without_broadcast(
     assert tables.insert_absent(rows(230, 250), root, spec, ["created_at"]) == 10
     monkeypatch.setattr(tables, "MAX_NAMED_DAYS", 1)
     assert tables.insert_absent(rows(0, 260), root, spec, ["created_at"]) == 10
+
+
+def test_trailing_reads_touch_only_their_days(spark, tmp_path):
+    root, spec = str(tmp_path), HYDRO_PREDICTIONS
+    tables.create_tables(spark, root, [spec])
+    at = F.lit("2026-06-09 11:00:00").cast("timestamp")
+    tables.insert_absent(spark.range(1).select(
+        F.lit("a").alias("gauge_id"), at.alias("prediction_timestamp"),
+        F.lit(1.0).alias("predicted_water_level"), F.lit(2).alias("horizon_hours"),
+        at.alias("created_at")), root, spec, ["created_at"])
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        tables.read_days(spark, root, spec, "2026-06-09 10:00:00").explain("formatted")
+    assert "PartitionFilters: [" in out.getvalue()
+    assert "(day#" in out.getvalue().split("PartitionFilters: [")[1].split("]")[0]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,22 @@ def latest_per_key(df: DataFrame, key: str, ts: str, columns: Sequence[str]) ->
     return recent_rows(kept, key, ts, 1, "_rank").drop("_rank")
 
 
+def enough_recent(history: DataFrame, wanted: DataFrame, key: str, count: int,
+                  since: Column, day: str = "day") -> DataFrame:
+    """Rows of a day-partitioned table that hold the ``count`` newest of every wanted key.
+
+    Reads the days from ``since`` on. Only if some wanted key has fewer rows there does it read
+    the older days, too, and of those only the rows of such keys.
+    """
+    late = history.filter(F.col(day) >= since)
+    settled = late.groupBy(key).count().filter(F.col("count") >= count)
+    lacking = wanted.select(key).distinct().join(settled, key, "left_anti")
+    if lacking.isEmpty():
+        return late
+    older = history.filter((F.col(day) < since) | F.col(day).isNull())
+    return late.unionByName(older.join(lacking, key, "left_semi").select(*history.columns))
+
+
 def recent_lags(df: DataFrame, key: str, ts: str, value: str, count: int = 3) -> DataFrame:
     """The ``count`` newest values of every key side by side: ``ts``, ``lag_0`` ... newest first.
 

@@ -20,6 +20,12 @@ MIN_HISTORY = 15
 MIN_COMPLETE = 5
 
 
+def level_history(hydro: DataFrame) -> DataFrame:
+    """All levels in time order."""
+    return hydro.select("gauge_id", "measurement_timestamp", "water_level_cm").orderBy(
+        "measurement_timestamp", "gauge_id")
+
+
 def level_stats(history: DataFrame, gauge: str = "gauge_id", ts: str = "measurement_timestamp",
                 level: str = "water_level_cm", min_complete: int = MIN_COMPLETE,
                 part: str | None = "day") -> DataFrame:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidewarden.functions.times import Instant, instant, span
 from tidewarden.operators.dedup import first_per_key
 from tidewarden.operators.joins import only_new
 from tidewarden.schemas import TABLES, TableSpec
@@ -34,6 +36,16 @@ def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     return spark.read.schema(spec.stored_schema).parquet(table_path(root, spec))
 
 
+def read_days(spark: SparkSession, root: str, spec: TableSpec, as_of: Instant = None,
+              back: timedelta = timedelta(hours=24),
+              ahead: timedelta = timedelta(0)) -> DataFrame:
+    """The table's days that ``[as_of - back, as_of + ahead]`` touches: what a trailing series
+    needs of it. For tables whose day is that of their time column."""
+    now = instant(as_of)
+    return read_table(spark, root, spec).filter(
+        F.col("day").between(F.to_date(now - span(back)), F.to_date(now + span(ahead))))
+
+
 def register_tables(spark: SparkSession, root: str) -> None:
     """Makes the history tables known to SQL under their own names."""
     for spec in TABLES.values():

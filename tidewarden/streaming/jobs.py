@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewarden.functions.times import Instant, event_time
+from tidewarden.functions.times import Instant, event_time, instant, span
 from tidewarden.operators.normalize import usable
+from tidewarden.operators.recent import enough_recent
 from tidewarden.plans.forecast import (
-    create_model_store, forecast_levels, load_models, save_models, train_level_models)
+    HORIZONS, LAGS, create_model_store, forecast_levels, load_models, save_models,
+    train_level_models)
 from tidewarden.plans.ingest import JUDGES, LOGICAL_KEYS, ingest
 from tidewarden.schemas import (
     HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, TOPICS, TableSpec)
@@ -21,6 +23,8 @@ from tidewarden.sources.tables import create_tables, insert_absent, read_table,
 
 SCORING_INTERVAL = timedelta(seconds=300)
 RETRAIN_EVERY = 6
+# A cycle looks for the latest readings in the days of this span first.
+RECENT = timedelta(days=3)
 
 
 def _started(stream: DataFrame, step, checkpoint: str, every: timedelta | None,
@@ -134,9 +138,12 @@ def score(spark, root: str, models_path: str, cycle: int, retrain_every: int = R
     if cycle % retrain_every == 0 or models.isEmpty():
         save_models(train_level_models(history), models_path, as_of)
         models = load_models(spark, models_path)
-    forecasts = forecast_levels(history, models, as_of=as_of)
+    since = F.to_date(instant(as_of) - span(RECENT))
+    recent = enough_recent(history, models, "gauge_id", len(LAGS), since)
+    forecasts = forecast_levels(recent, models, as_of=as_of).persist()
     added = insert_absent(forecasts, root, HYDRO_PREDICTIONS, ["created_at"])
-    return added // 2
+    forecasts.unpersist()
+    return added // len(HORIZONS)
 
 
 def start_scoring_job(ticks: DataFrame, root: str, models_path: str, checkpoint: str,
