@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import os
+import sys
 from datetime import timedelta
 
 import pytest
@@ -10,6 +12,7 @@ from tidewarden.operators.dedup import first_in_stream, first_per_key
 from tidewarden.plans.alerts import storm_alerts, synop_readings
 from tidewarden.schemas import (
     ALERT, ALERTS_HISTORY, HYDRO_MEASUREMENTS, MESSAGE, RAW_HYDRO, SYNOP_MEASUREMENTS)
+from tidewarden.sources.feeds import raw_feed_stream
 from tidewarden.sources.messages import (
     decoded, folder_writer, kafka_options, landed_replay, landed_stream)
 from tidewarden.sources.tables import create_tables, insert_absent, read_table
@@ -176,3 +179,34 @@ def test_kafka_options():
     assert kafka_options("broker:9092", ["hydro", "synop"], "earliest", "latest") == {
         "kafka.bootstrap.servers": "broker:9092", "subscribe": "hydro,synop",
         "startingOffsets": "earliest", "endingOffsets": "latest"}
+
+
+def test_feed_files_are_polls(spark, tmp_path):
+    """Landed arrays as a stream: of a repeated reading the earlier poll counts."""
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    for poll, value in enumerate(("5", "6")):
+        body = [{"id_stacji": "1", "stacja": "s", "rzeka": "r", "lat": "50", "lon": "19",
+                 "stan_wody": value, "stan_wody_data_pomiaru": "2026-06-09 10:00:00",
+                 "przeplyw": None}, {"id_stacji": str(poll + 2), "stan_wody": "x",
+                                     "stan_wody_data_pomiaru": "2026-06-09 10:00:00"}]
+        path = feed / f"{1 - poll}.json"
+        path.write_text(json.dumps(body), encoding="utf-8")
+        os.utime(path, (1_780_000_000 + poll * 600,) * 2)
+    start_ingest_job(
+        raw_feed_stream(spark, str(feed), RAW_HYDRO), "hydro", folder_writer(str(tmp_path / "sent")),
+        folder_writer(str(tmp_path / "bad")), str(tmp_path / "seen"), str(tmp_path / "check"),
+        once=True).awaitTermination()
+    sent = [json.loads(r.value) for r in spark.read.parquet(str(tmp_path / "sent")).collect()]
+    assert [(m["gauge_id"], m["water_level_cm"], "polled_at" in m) for m in sent] == [
+        ("H_1", 5, False)]
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 2
+
+
+def test_command_line_lists_the_jobs(capsys):
+    from tidewarden.streaming import run
+    with pytest.raises(SystemExit):
+        sys.argv = ["run", "--help"]
+        run.main()
+    shown = capsys.readouterr().out
+    assert all(job in shown for job in run.CHECKPOINT)
