@@ -13,7 +13,7 @@ from tidewarden.functions.times import Instant, event_time, instant, iso_text, s
 from tidewarden.operators.joins import with_station
 from tidewarden.operators.rules import Rule, classified
 from tidewarden.operators.windows import fall, rise, sliding_extremes
-from tidewarden.schemas import ALERT, HYDRO, SYNOP
+from tidewarden.schemas import ALERT, ALERT_TYPES, HYDRO, SEVERITIES, SYNOP
 from tidewarden.sources.messages import decoded
 
 
@@ -128,8 +128,8 @@ def flood_alerts(readings: DataFrame, stations: DataFrame, kind: AlertKind = FLO
     return _payload(scored, kind, stations, station, msg, rounded, as_of)
 
 
-def contract_violations(alerts: DataFrame, types: Sequence[str] = ("storm", "flood"),
-                        severities: Sequence[str] = ("Yellow", "Orange", "Red")) -> DataFrame:
+def contract_violations(alerts: DataFrame, types: Sequence[str] = ALERT_TYPES,
+                        severities: Sequence[str] = SEVERITIES) -> DataFrame:
     """Alerts outside the contract: no id, or a type or severity that is not allowed."""
     allowed = F.col("alert_type").isin(*types) & F.col("severity").isin(*severities)
     return alerts.filter(F.col("alert_id").isNull() | ~F.coalesce(allowed, F.lit(False)))
