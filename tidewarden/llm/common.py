@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewarden.session import shared_folder
@@ -27,3 +30,17 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 def text_of(name: str) -> Column:
     """A text column; null is the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's modules to the executors once, for functions that run there."""
+    context = spark.sparkContext
+    if getattr(context, "_tidewarden_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="modules-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for module in sorted(root.rglob("*.py")):
+            archive.write(module, module.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._tidewarden_shipped = True

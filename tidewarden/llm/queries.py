@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from tidewarden.llm import sql
 from tidewarden.llm.chat import collapse_snapshots
+from tidewarden.llm.fingerprints import edited_likeness
 from tidewarden.llm.mixing import poisson_mix
+from tidewarden.llm.packing import pack
+from tidewarden.llm.quality import held_out, score, train
 from tidewarden.llm.rules import rule_verdicts
 from tidewarden.llm.urls import rule_table, url_verdicts
 
@@ -32,11 +35,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokeniser_path() -> str:
+    """The vocabulary file that the box offers to every Python."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register()
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_likeness(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 @register(sql.CHAT)
 def op5_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapse_snapshots(table(spark, sf_dir, "conversations"))
 
 
+@register()
+def op6_differencing_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokeniser_path()).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset")
+
+
 @register(sql.RULES)
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_verdicts(table(spark, sf_dir, "documents")).select(
