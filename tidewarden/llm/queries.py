@@ -13,6 +13,7 @@ from tidewarden.llm.chat import collapse_snapshots
 from tidewarden.llm.fingerprints import edited_likeness
 from tidewarden.llm.mixing import poisson_mix
 from tidewarden.llm.packing import pack
+from tidewarden.llm.pii import personal_spans
 from tidewarden.llm.quality import held_out, score, train
 from tidewarden.llm.rules import rule_verdicts
 from tidewarden.llm.urls import rule_table, url_verdicts
@@ -55,6 +56,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+@register()
+def op4_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_spans(table(spark, sf_dir, "documents"))
+
+
 @register(sql.CHAT)
 def op5_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapse_snapshots(table(spark, sf_dir, "conversations"))
