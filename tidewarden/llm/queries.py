@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewarden.llm import sql
 from tidewarden.llm.chat import collapse_snapshots
 from tidewarden.llm.fingerprints import edited_likeness
+from tidewarden.llm.jaccard import jaccard_classes
 from tidewarden.llm.mixing import poisson_mix
 from tidewarden.llm.packing import pack
 from tidewarden.llm.pii import personal_spans
@@ -56,6 +57,12 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+@register()
+def op3_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_links")
+
+
 @register()
 def op4_pii_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_spans(table(spark, sf_dir, "documents"))
