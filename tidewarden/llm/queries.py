@@ -18,6 +18,7 @@ from tidewarden.llm.pii import personal_spans
 from tidewarden.llm.quality import held_out, score, train
 from tidewarden.llm.rules import rule_verdicts
 from tidewarden.llm.urls import rule_table, url_verdicts
+from tidewarden.llm.warc import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,6 +81,13 @@ def op6_differencing_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset")
 
 
+@register(sql.WARC)
+def op7_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages")).select(
+        F.col("page").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 @register(sql.RULES)
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_verdicts(table(spark, sf_dir, "documents")).select(

@@ -31,6 +31,26 @@ SELECT conv_id, n_turns, equal,
        turns, text
 FROM kept JOIN blocks USING (conv_id)"""
 
+# Base 32: each letter is five of the digest's 160 bits.
+WARC = """
+WITH digests AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (
+  SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(hex, (5 * i + 1)::INTEGER, 5)
+                                                    AS BIGINT)) AS five FROM digests),
+named AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(five, lambda b:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((b >> 15) & 31)::INTEGER + 1, 1)
+           || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((b >> 10) & 31)::INTEGER + 1, 1)
+           || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((b >> 5) & 31)::INTEGER + 1, 1)
+           || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (b & 31)::INTEGER + 1, 1)), '')
+         AS payload_digest FROM bits)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = min(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       nullif(min(page_id) OVER same, page_id) AS refers_to
+FROM named WINDOW same AS (PARTITION BY payload_digest)"""
+
 
 def _rules() -> str:
     def fences(name: str, keys: str) -> str:
