@@ -303,3 +303,24 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return sets.select("doc_id", "text_md5", "digest").join(judged, "digest").select(
         "doc_id", "text_md5", F.when(F.col("class") < NO_ID, F.col("class")).alias("class_id"),
         F.col("class").alias("class_key"), "n_links")
+
+
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                    similarity: float = SIMILARITY, target: float = RECALL) -> DataFrame:
+    """One document of each class, the one with the smallest id, with all its columns; of repeated
+    rows of that document any one."""
+    keys = ["no_id", "id", "text_md5"]
+    ids = F.coalesce(F.col("doc_id"), F.lit(0).cast("long")).alias("id")
+    classes = jaccard_classes(docs, doc_id, text, similarity, target).select(
+        "class_key", F.col("doc_id").isNull().alias("no_id"), ids, "text_md5")
+    counted = classes.groupBy("class_key", *keys).agg(F.count("*").alias("rows"))
+    chosen = written(counted.groupBy("class_key").agg(
+        F.min(F.struct(*keys, "rows")).alias("first")).select("first.*"), "chosen")
+    repeated = written(chosen.filter("rows > 1"), "repeated")
+    named = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row")).select(
+        "row", F.col(f"row.{doc_id}").isNull().alias("no_id"),
+        F.coalesce(F.col(f"row.{doc_id}").cast("long"), F.lit(0)).alias("id"),
+        F.unhex(F.md5(F.coalesce(F.col(f"row.{text}"), F.lit("")).cast("binary"))).alias("text_md5"))
+    once = named.join(chosen.filter("rows = 1"), keys, "left_semi")
+    several = named.join(repeated, keys, "left_semi").dropDuplicates(keys)
+    return once.unionByName(several).select("row.*")
