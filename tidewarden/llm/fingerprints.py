@@ -74,14 +74,14 @@ def winnow(text: str, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
     count = max(len(codes) - k + 1, 1)
     width = max(1, min(window, count // SHORT))
-    chosen, places = [], []
+    chosen, places, last = [], [], -1
     # Blocks of windows; a block reads the codes of its last window to the end.
     for start in range(0, count - width + 1, BLOCK):
         stop = min(start + BLOCK, count - width + 1)
         hashes = rolling_hashes(codes[start:stop + width + k - 2], k)
         at = smallest_places(hashes, width)
-        if places and at[0] + start <= places[-1][-1]:
-            at = at[at + start > places[-1][-1]]
+        at = at[at + start > last]
+        last = max(last, start + int(at[-1])) if len(at) else last
         chosen.append(hashes[at])
         places.append(at + start)
     return np.concatenate(chosen), np.concatenate(places)
