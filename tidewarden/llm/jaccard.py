@@ -38,16 +38,13 @@ from tidewarden.llm.components import components
 SHINGLE = 5
 SIMILARITY = 0.8
 TREES, DEPTH, FLOOR = 24, 8, 4
-RECALL = 0.9995
+RECALL = 0.999
 #: Texts that follow in a tree with which a text is paired.
 NEXT = 3
 #: Candidates whose signatures agree in less than this share (over six deviations under 0.8) go.
 LEAST_AGREEMENT = 0.62
 #: Members of a block; a task compares two blocks.
 BLOCK = 64
-#: Ids from here on stand for texts that only null ids have.
-NO_ID = 1 << 62
-
 _SPACES = re.compile("[\x20\x09-\x0d]+")
 # Fixed: an odd base of the polynomial over bytes, its inverse modulo 2 ** 64, mixing multipliers.
 _BASE = 0x9E3779B97F4A7C15
@@ -56,13 +53,13 @@ _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 _SIZE = 1 << 16
 
 
-def _powers(base: int) -> np.ndarray:
-    out = np.full(_SIZE, base, np.uint64)
+def _powers(base: int, count: int) -> np.ndarray:
+    out = np.full(count, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
-_UP, _DOWN = _powers(_BASE), _powers(_INVERSE)
+_UP, _DOWN = _powers(_BASE, _SIZE), _powers(_INVERSE, _SIZE)
 _random = np.random.default_rng(20)
 _FACTORS = _random.integers(0, 1 << 31, TREES * DEPTH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _TERMS = _random.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint32)
@@ -73,10 +70,7 @@ def _spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     if len(raw) <= _SIZE:
         up, down = _UP[:len(raw)], _DOWN
     else:
-        up = np.multiply.accumulate(np.concatenate(
-            ([1], np.full(len(raw) - 1, _BASE, np.uint64))).astype(np.uint64))
-        down = np.multiply.accumulate(np.concatenate(
-            ([1], np.full(len(raw) - 1, _INVERSE, np.uint64))).astype(np.uint64))
+        up, down = _powers(_BASE, len(raw)), _powers(_INVERSE, len(raw))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(up * (raw.astype(np.uint64) + 1),
                                                              dtype=np.uint64)))
     hashes = (sums[ends] - sums[starts]) * down[starts]
@@ -137,52 +131,54 @@ def text_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 def distinct_sets(sets: DataFrame) -> DataFrame:
-    """Columns digest, id (the smallest id that has the set), copies and signature."""
-    # The digest's first 60 bits, where no id has the set.
-    stand_in = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long") + F.lit(NO_ID)
+    """One row for each shingle set: digest, the first document that has it (no_id, id, text_md5),
+    copies and signature."""
     return sets.groupBy("digest").agg(
-        F.min("doc_id").alias("least"), F.count("*").alias("copies"),
-        F.min("signature").alias("signature")).select(
-        "digest", F.coalesce("least", stand_in).alias("id"), "copies", "signature")
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"),
+                       F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), "text_md5"))
+        .alias("first"), F.count("*").alias("copies"), F.min("signature").alias("signature")).select(
+        "digest", "first.*", "copies", "signature")
 
 
 def trie_pairs(texts: DataFrame, floor: int = FLOOR, following: int = NEXT) -> DataFrame:
-    """Columns a, b and depth: neighbours in some tree and the longest prefix they share there."""
-    # A path: the tree, its part of the signature, then bits of the digest, so that texts with
-    # equal paths can be dealt out to several tasks.
-    tree = F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.concat(
+    """Columns a, b (digests) and depth: neighbours in some tree, and the longest prefix that they
+    share in any."""
+    # A path: the tree, its part of the signature, then the digest, by which texts with equal parts
+    # can be dealt out to several tasks.
+    path = F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.concat(
         F.unhex(F.lpad(F.hex(t), 2, "0")),
         F.call_function("substring", F.col("signature"), t * (2 * DEPTH) + 1, F.lit(2 * DEPTH)),
-        F.substring(F.col("digest"), 1, 4))))
-    paths = texts.select(tree.alias("path"), "id").repartitionByRange("path") \
-        .sortWithinPartitions("path", "id")
+        F.col("digest"))))
+    paths = texts.select(path.alias("path")).repartitionByRange("path").sortWithinPartitions("path")
+    end = 1 + 2 * DEPTH
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before: list[tuple[bytes, int]] = []
+        before: list[bytes] = []
         for batch in batches:
-            out: list[tuple[int, int, int]] = []
-            for path, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for other, other_key in before:
+            out: list[tuple[bytes, bytes, int]] = []
+            for path in batch.column(0).to_pylist():
+                for other in before:
                     if path[:1 + 2 * floor] != other[:1 + 2 * floor]:
                         continue
                     depth = floor
                     while depth < DEPTH and path[:3 + 2 * depth] == other[:3 + 2 * depth]:
                         depth += 1
-                    out.append((min(key, other_key), max(key, other_key), depth))
-                before = before[-following + 1:] + [(path, key)]
+                    out.append((min(path[end:], other[end:]), max(path[end:], other[end:]), depth))
+                before = [*before[1 - following:], path] if following > 1 else [path]
             columns = list(zip(*out)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
+                [pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.binary()),
                  pa.array(columns[2], pa.int32())], names=["a", "b", "depth"])
 
-    return paths.mapInArrow(neighbours, "a long, b long, depth int").filter("a <> b") \
-        .groupBy("a", "b").agg(F.max("depth").alias("depth"))
+    return paths.mapInArrow(neighbours, "a binary, b binary, depth int").groupBy("a", "b").agg(
+        F.max("depth").alias("depth"))
 
 
 def agreement(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs with the share of their signatures that agrees, an estimate of the similarity."""
-    signed = pairs.join(texts.select(F.col("id").alias("a"), F.col("signature").alias("of_a")), "a") \
-        .join(texts.select(F.col("id").alias("b"), F.col("signature").alias("of_b")), "b")
+    signed = pairs.join(texts.select(
+        F.col("digest").alias("a"), F.col("signature").alias("of_a")), "a") \
+        .join(texts.select(F.col("digest").alias("b"), F.col("signature").alias("of_b")), "b")
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +190,7 @@ def agreement(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 names=["a", "b", "depth", "agreement"])
 
     return signed.select("a", "b", "depth", "of_a", "of_b").mapInArrow(
-        agree, "a long, b long, depth int, agreement double")
+        agree, "a binary, b binary, depth int, agreement double")
 
 
 def chosen_depth(pairs: DataFrame, target: float = RECALL, similarity: float = SIMILARITY) -> int:
@@ -212,31 +208,43 @@ def chosen_depth(pairs: DataFrame, target: float = RECALL, similarity: float = S
     return FLOOR
 
 
+#: What names a document's text: two documents of one id may differ.
+_ROW = ["no_id", "id", "text_md5"]
+
+
+def keyed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The columns of ``_ROW`` and the text; a null text is empty."""
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
+                        F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return texts.select(
+        F.col("doc_id").isNull().alias("no_id"),
+        F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"),
+        F.unhex(F.md5(F.col("text").cast("binary"))).alias("text_md5"), "text")
+
+
 def verified(families: DataFrame, docs: DataFrame, similarity: float = SIMILARITY,
              doc_id: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
-    """Columns id, root and links from families (id, family, digest, copies): one row for each
-    member and pair of blocks, with the smallest member that it is linked to there, and how many
-    documents its links there stand for."""
+    """Columns digest, root and links, from the rows of ``distinct_sets`` with their family: one row
+    for each member and pair of blocks, with the smallest member that it is linked to there, and how
+    many documents its links there stand for."""
     sizes = families.groupBy("family").agg(F.count("*").alias("members"))
     blocks = F.ceil(F.col("members") / block).cast("int")
     placed = families.join(sizes, "family").filter("members > 1").withColumn(
-        "blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        "blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     # A block meets itself and every other one.
     units = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "family", "id", "digest", "copies", "block",
+        "family", "digest", *_ROW, "copies", "block",
         F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"),
-                        F.coalesce(F.col(text), F.lit("")).alias("text"))
-    with_text = units.join(texts, "id")
+    with_text = units.join(keyed_texts(docs, doc_id, text), _ROW)
 
     def compare(key: tuple, rows: pa.Table) -> pa.Table:
         first, second = key[1].as_py(), key[2].as_py()
-        members: dict[int, tuple[np.ndarray, int, int]] = {}
-        for row in rows.select(["id", "digest", "copies", "block", "text"]).to_pylist():
-            found = shingles(row["text"])
-            # An id may have other texts besides; repeated rows are counted in copies.
-            if row["id"] not in members and set_digest(found) == row["digest"]:
-                members[row["id"]] = (found, row["copies"], row["block"])
+        members: dict[bytes, tuple[np.ndarray, int, int]] = {}
+        for row in rows.select(["digest", "copies", "block", "text"]).to_pylist():
+            # A repeated row comes as often as it occurs.
+            if row["digest"] not in members:
+                members[row["digest"]] = (shingles(row["text"]), row["copies"], row["block"])
         ids = sorted(members)
         vocabulary: dict[int, int] = {}
         bits, counts = [], []
@@ -268,12 +276,12 @@ def verified(families: DataFrame, docs: DataFrame, similarity: float = SIMILARIT
                     links[y] += members[ids[x]][1]
                     low, high = sorted((top(x), top(y)))
                     root[high] = low
-        return pa.table({"id": pa.array(ids, pa.int64()),
-                         "root": pa.array([ids[top(x)] for x in range(len(ids))], pa.int64()),
+        return pa.table({"digest": pa.array(ids, pa.binary()),
+                         "root": pa.array([ids[top(x)] for x in range(len(ids))], pa.binary()),
                          "links": pa.array(links, pa.int64())})
 
     return with_text.groupBy("family", "first", "second").applyInArrow(
-        compare, "id long, root long, links long")
+        compare, "digest binary, root binary, links long")
 
 
 def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -290,37 +298,38 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.col("agreement") >= LEAST_AGREEMENT), "pairs")
     depth = chosen_depth(pairs, target, similarity)
     families = components(pairs.filter(F.col("depth") >= depth)).select(
-        "id", F.col("class").alias("family")).join(
-        texts.select("id", "digest", "copies"), "id")
+        F.col("id").alias("digest"), F.col("class").alias("family")).join(
+        texts.drop("signature"), "digest")
     checked = written(verified(families, docs, similarity, doc_id, text), "checked")
-    classes = components(checked.filter("id <> root").select(
-        F.col("id").alias("a"), F.col("root").alias("b")))
-    links = checked.groupBy("id").agg(F.sum("links").alias("links"))
-    judged = texts.select("digest", "id", "copies").join(classes, "id", "left").join(
-        links, "id", "left").select(
-        "digest", F.coalesce("class", "id").alias("class"),
-        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return sets.select("doc_id", "text_md5", "digest").join(judged, "digest").select(
-        "doc_id", "text_md5", F.when(F.col("class") < NO_ID, F.col("class")).alias("class_id"),
-        F.col("class").alias("class_key"), "n_links")
+    classes = components(checked.filter("digest <> root").select(
+        F.col("digest").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "digest")
+    links = checked.groupBy("digest").agg(F.sum("links").alias("links"))
+    judged = written(texts.select("digest", "no_id", "id", "copies").join(
+        classes, "digest", "left").join(links, "digest", "left").select(
+        "digest", F.when(~F.col("no_id"), F.col("id")).alias("id"),
+        F.coalesce("class", "digest").alias("class_key"),
+        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "judged")
+    least = judged.groupBy("class_key").agg(F.min("id").alias("class_id"))
+    named = judged.join(least, "class_key").select("digest", "class_key", "class_id", "n_links")
+    return sets.select("doc_id", "text_md5", "digest").join(named, "digest").select(
+        "doc_id", "text_md5", "class_id", "class_key", "n_links")
 
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     similarity: float = SIMILARITY, target: float = RECALL) -> DataFrame:
     """One document of each class, the one with the smallest id, with all its columns; of repeated
     rows of that document any one."""
-    keys = ["no_id", "id", "text_md5"]
     ids = F.coalesce(F.col("doc_id"), F.lit(0).cast("long")).alias("id")
     classes = jaccard_classes(docs, doc_id, text, similarity, target).select(
         "class_key", F.col("doc_id").isNull().alias("no_id"), ids, "text_md5")
-    counted = classes.groupBy("class_key", *keys).agg(F.count("*").alias("rows"))
+    counted = classes.groupBy("class_key", *_ROW).agg(F.count("*").alias("rows"))
     chosen = written(counted.groupBy("class_key").agg(
-        F.min(F.struct(*keys, "rows")).alias("first")).select("first.*"), "chosen")
+        F.min(F.struct(*_ROW, "rows")).alias("first")).select("first.*"), "chosen")
     repeated = written(chosen.filter("rows > 1"), "repeated")
     named = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row")).select(
         "row", F.col(f"row.{doc_id}").isNull().alias("no_id"),
-        F.coalesce(F.col(f"row.{doc_id}").cast("long"), F.lit(0)).alias("id"),
+        F.coalesce(F.col(f"row.{doc_id}").cast("long"), F.lit(0).cast("long")).alias("id"),
         F.unhex(F.md5(F.coalesce(F.col(f"row.{text}"), F.lit("")).cast("binary"))).alias("text_md5"))
-    once = named.join(chosen.filter("rows = 1"), keys, "left_semi")
-    several = named.join(repeated, keys, "left_semi").dropDuplicates(keys)
+    once = named.join(chosen.filter("rows = 1"), _ROW, "left_semi")
+    several = named.join(repeated, _ROW, "left_semi").dropDuplicates(_ROW)
     return once.unionByName(several).select("row.*")
