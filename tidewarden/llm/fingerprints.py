@@ -151,11 +151,11 @@ def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     firsts = sorted((r["run"], r["first"]) for r in placed.groupBy("run").agg(
         F.max("doc_id").alias("first")).collect())
     heads = spark.createDataFrame(
-        [(first, at, firsts[i - 1][0]) for i, (at, first) in enumerate(firsts)],
-        f"head {docs.schema[doc_id].dataType.simpleString()}, of int, before int")
-    first_text = placed.join(heads, placed.doc_id.eqNullSafe(heads["head"])
-                             & (placed.run == heads["of"])).groupBy("doc_id", "before").agg(
-        F.min("text").alias("text"))
+        [(first, firsts[i - 1][0]) for i, (_, first) in enumerate(firsts)],
+        f"head {docs.schema[doc_id].dataType.simpleString()}, before int")
+    # A row for each run, so at most ``parts``.
+    first_text = rows.join(F.broadcast(heads), rows.doc_id.eqNullSafe(heads["head"])).groupBy(
+        "doc_id", "before").agg(F.min("text").alias("text"))
     sent = placed.withColumn("is_next", F.lit(False)).unionByName(first_text.select(
         "doc_id", "text", F.col("before").alias("run"), F.lit(True).alias("is_next")))
     dealt = sent.repartition(F.col("run")).sortWithinPartitions(
