@@ -35,7 +35,6 @@ from tidewarden.session import shared_folder
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-RECORD_URN = "urn:record:"
 # Fixed by the standard.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -56,56 +55,70 @@ def _header(name: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))).otherwise("")
 
 
-def _rows(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
-    """Payloads with a number for each row, the same in every scan of the same files."""
-    return pages.select(
-        F.col(page_id).alias("page"), F.coalesce(F.col(url), F.lit("")).alias("url"),
-        F.coalesce(F.col(html), F.lit("")).alias("html"),
-        F.monotonically_increasing_id().alias("row")).withColumn(
-        "digest", base32_sha1(F.col("html").cast("binary"))).withColumn(
-        "bytes", F.octet_length("html").cast("long"))
+def _payloads(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
+    """Payloads with their digest and length; ``named`` is what orders equal ones."""
+    found = pages.select(
+        F.struct(F.col(page_id).isNull().alias("none"), F.col(page_id).alias("page"),
+                 F.coalesce(F.col(url), F.lit("")).alias("url")).alias("named"),
+        F.coalesce(F.col(html), F.lit("")).alias("html"))
+    return found.select("*", base32_sha1(F.col("html").cast("binary")).alias("digest"),
+                        F.octet_length("html").cast("long").alias("bytes"))
 
 
-def revisits(pages: DataFrame, least_bytes: int = 0, page_id: str = "page_id", url: str = "url",
-             html: str = "html") -> DataFrame:
-    """Columns row, of_row and of_page: rows whose payload another row holds, and which."""
-    slim = _rows(pages, page_id, url, html).filter(F.col("bytes") >= least_bytes).select(
-        "digest", "page", "url", "row")
-    first = slim.groupBy("digest").agg(F.count("*").alias("rows"), F.min(F.struct(
-        F.col("page").isNull().alias("none"), "page", "url", "row")).alias("first")).filter(
-        "rows > 1")
-    return slim.join(first, "digest").filter("row <> first.row").select(
-        "row", F.col("first.row").alias("of_row"), F.col("first.page").alias("of_page"))
+def shared_payloads(pages: DataFrame, least_bytes: int = 0, page_id: str = "page_id",
+                    url: str = "url", html: str = "html") -> DataFrame:
+    """Columns digest, first and times of payloads that several rows hold: the first of these rows,
+    and how many rows equal it."""
+    rows = _payloads(pages, page_id, url, html).filter(F.col("bytes") >= least_bytes).groupBy(
+        "digest", "named").agg(F.count("*").alias("times"))
+    return rows.groupBy("digest").agg(
+        F.min(F.struct("named", "times")).alias("least"), F.sum("times").alias("all")).filter(
+        "all > 1").select("digest", F.col("least.named").alias("first"), "least.times")
+
+
+def _urn(digest: Column, named: Column) -> Column:
+    """A name for a response, the same wherever it is worked out."""
+    name = F.md5(F.to_json(F.struct(digest.alias("digest"), named.alias("named"))))
+    return F.concat(F.lit("<urn:uuid:"), F.regexp_replace(
+        name, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
 
 
 def records(pages: DataFrame, least_bytes: int = 0, page_id: str = "page_id", url: str = "url",
             html: str = "html") -> DataFrame:
     """A column ``value``: a record for each page, without its END."""
-    copies = written(revisits(pages, least_bytes, page_id, url, html), "revisits")
-    typed = _rows(pages, page_id, url, html).join(copies, "row", "left").withColumn(
-        "is_response", F.col("of_row").isNull())
+    shared = written(shared_payloads(pages, least_bytes, page_id, url, html), "shared-payloads")
+    # Rows that repeat the response's are taken once and counted out again.
+    again = written(shared.filter("times > 1"), "repeated-pages")
+    once = _payloads(pages, page_id, url, html).join(shared, "digest", "left")
+    single = once.filter("times IS NULL OR times = 1 OR named <> first").withColumn(
+        "is_response", F.col("times").isNull() | (F.col("named") == F.col("first")))
+    several = _payloads(pages, page_id, url, html).join(again, "digest").filter(
+        "named = first").dropDuplicates(["digest"]).withColumn(
+        "is_response", F.explode(F.transform(F.sequence(F.lit(1), F.col("times").cast("int")),
+                                             lambda i: i == 1)))
+    typed = single.unionByName(several)
     number = F.col("bytes").cast("string")
 
-    def row_urn(name: str) -> Column:
-        return F.concat(F.lit(f"<{RECORD_URN}"), F.col(name).cast("string"), F.lit(">"))
-
     body = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"),
                     F.lit("Content-Length: "), number, F.lit(END),
                     F.when(F.col("is_response"), F.col("html")).otherwise(""))
     headers = F.concat(
         F.lit(VERSION), F.lit("WARC-Type: "),
         F.when(F.col("is_response"), "response").otherwise("revisit"), F.lit("\r\n"),
-        _header("WARC-Record-ID", row_urn("row")),
+        # Nothing refers to a revisit; any name of its own will do.
+        _header("WARC-Record-ID", F.when(F.col("is_response"), _urn(F.col("digest"), F.col("named")))
+                .otherwise(F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")))),
         # A header is one line.
-        _header("WARC-Target-URI", F.nullif(F.regexp_replace("url", "[\\x00-\\x20\\x7f]", "%20"),
-                                            F.lit(""))),
-        _header("X-Page-ID", F.col("page").cast("string")),
+        _header("WARC-Target-URI", F.nullif(F.regexp_replace(
+            "named.url", "[\\x00-\\x20\\x7f]", "%20"), F.lit(""))),
+        _header("X-Page-ID", F.col("named.page").cast("string")),
         F.lit("Content-Type: application/http; msgtype=response\r\n"),
         _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         _header("X-Payload-Length", number),
         F.when(F.col("is_response"), "").otherwise(F.concat(
-            F.lit(f"WARC-Profile: {PROFILE}\r\n"), _header("WARC-Refers-To", row_urn("of_row")),
-            _header("X-Refers-To-Page", F.col("of_page").cast("string")))))
+            F.lit(f"WARC-Profile: {PROFILE}\r\n"), _header(
+                "WARC-Refers-To", _urn(F.col("digest"), F.col("first"))),
+            _header("X-Refers-To-Page", F.col("first.page").cast("string")))))
     return typed.select(body.alias("body"), headers.alias("headers")).select(F.concat(
         "headers", F.lit("Content-Length: "), F.octet_length("body").cast("string"), F.lit(END),
         "body").alias("value"))
