@@ -67,7 +67,7 @@ WITH {SYNOP}
 SELECT DISTINCT station_id FROM synop WHERE measurement_timestamp <= {NOW}
 ORDER BY station_id LIMIT 100""")
 def weather_stations(spark, sf_dir):
-    return views.weather_stations(_synop(spark, sf_dir), AS_OF)
+    return views.weather_stations(_synop(spark, sf_dir), AS_OF, 100)
 
 
 @check(f"""
@@ -75,7 +75,7 @@ WITH {HYDRO}
 SELECT DISTINCT gauge_id FROM hydro WHERE measurement_timestamp <= {NOW}
 ORDER BY gauge_id LIMIT 100""")
 def hydro_gauges(spark, sf_dir):
-    return views.hydro_gauges(levels(events(spark, sf_dir)), AS_OF)
+    return views.hydro_gauges(levels(events(spark, sf_dir)), AS_OF, 100)
 
 
 @check(f"""
@@ -83,7 +83,7 @@ WITH {PREDICTIONS}
 SELECT DISTINCT gauge_id FROM predictions WHERE prediction_timestamp {AROUND_NOW}
 ORDER BY gauge_id LIMIT 100""")
 def forecast_gauges(spark, sf_dir):
-    return views.forecast_gauges(_predictions(spark, sf_dir), AS_OF)
+    return views.forecast_gauges(_predictions(spark, sf_dir), AS_OF, 100)
 
 
 @check("SELECT DISTINCT event_type FROM events WHERE ts <= "
@@ -141,10 +141,8 @@ def last_hydro(spark, sf_dir):
 
 _SERIES = f"""
 WITH {HYDRO}
-SELECT gauge_id, measurement_timestamp, water_level_cm, flow_m3s, is_warning FROM (
-  SELECT *, row_number() OVER (PARTITION BY gauge_id ORDER BY measurement_timestamp) AS rn
-  FROM hydro WHERE measurement_timestamp {LAST_DAY})
-WHERE rn <= 1000 """
+SELECT gauge_id, measurement_timestamp, water_level_cm, flow_m3s, is_warning
+FROM hydro WHERE measurement_timestamp {LAST_DAY} """
 
 
 @check(_SERIES)
@@ -152,18 +150,18 @@ def hydro_series(spark, sf_dir):
     return views.hydro_series(_hydro(spark, sf_dir), as_of=AS_OF)
 
 
-@check(_SERIES + "AND gauge_id = 'H_7'")
+@check(_SERIES + "AND gauge_id = 'H_7' ORDER BY measurement_timestamp LIMIT 1000")
 def hydro_series_of_gauge(spark, sf_dir):
-    return views.hydro_series(_hydro(spark, sf_dir), "H_7", AS_OF)
+    return views.hydro_series(_hydro(spark, sf_dir), "H_7", AS_OF, limit=1000)
 
 
 @check(f"""
 SELECT event_type, ts, value FROM events
-WHERE event_type = 'error' AND ts {LAST_DAY} ORDER BY ts LIMIT 50""")
+WHERE event_type = 'error' AND ts {LAST_DAY} ORDER BY ts LIMIT 1000""")
 def measured_series(spark, sf_dir):
     """The oldest rows of a busy key."""
     return trailing_series(events(spark, sf_dir), "event_type", "ts", ["value"], AS_OF,
-                           limit=50, only="error")
+                           only="error", limit=1000)
 
 
 @check(f"""
@@ -174,7 +172,8 @@ ORDER BY prediction_timestamp LIMIT 1000""")
 def forecast_series(spark, sf_dir):
     return trailing_series(
         _predictions(spark, sf_dir), "gauge_id", "prediction_timestamp",
-        ["predicted_water_level", "horizon_hours"], AS_OF, ahead=views.FORECAST_AHEAD, only="H_7")
+        ["predicted_water_level", "horizon_hours"], AS_OF, ahead=views.FORECAST_AHEAD, only="H_7",
+        limit=1000)
 
 
 @check(f"""
@@ -273,9 +272,7 @@ def _overview(spark, sf_dir):
 
 
 def _number(column: str, digits: int, unit: str) -> str:
-    """Number text with exactly ``digits`` places, rounded half up."""
-    number = f"CAST(round(CAST(CAST({column} AS VARCHAR) AS DECIMAL(30, 16)), {digits})"
-    return (f"coalesce(CAST({number} AS DECIMAL(30, {digits})) AS VARCHAR) || '{unit}', '—')")
+    return f"coalesce(printf('%.{digits}f', {column}::DOUBLE) || '{unit}', '—')"
 
 
 _OVERVIEW = f"""
@@ -392,7 +389,8 @@ def station_dictionary(spark, sf_dir):
         F.col("c_custkey").cast("string").alias("id_stacji"),
         F.concat(F.lit("Łódź Żabiniec "), F.col("c_name")).alias("stacja"),
         F.col("c_mktsegment").alias("rzeka"),
-        (F.col("c_nationkey") / 4.0).cast("string").alias("lat"),
+        F.when(F.col("c_nationkey") != 0, (F.col("c_nationkey") / 4.0).cast("string"))
+        .otherwise("").alias("lat"),
         F.when(F.col("c_custkey") % 50 != 0, (F.col("c_custkey") % 50).cast("string"))
         .alias("lon"))
     weather = table(spark, sf_dir, "supplier").select(

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidewarden.operators.joins import named
 from tidewarden.functions.text import (
     fold_polish, number_text, optional, station_label, zero_padded)
 from tidewarden.functions.times import event_time
@@ -129,11 +130,29 @@ def test_feed_documents_as_text(spark):
     assert feed_records(documents, RAW_WEATHER).count() == 2
 
 
+def test_numbers_are_rounded_as_they_are_stored(spark):
+    values = [0.25, 2.25, 0.125, 1.005, 1.115, 0.285, -0.25, -0.04, 2.5, 1e15, 99.95, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 1, 2):
+        got = df.select("v", number_text(F.col("v"), digits).alias("t")).collect()
+        assert [r.t for r in got] == [f"{r.v:.{digits}f}" for r in got]
+
+
+def test_one_name_for_an_id_that_is_listed_twice(spark):
+    listed = spark.createDataFrame([("a", "old"), ("b", None), ("a", "new")], "id string, name string")
+    seen = spark.createDataFrame([("a",), ("b",), ("c",)], "station string")
+    got = named(seen, listed, "station").orderBy("station").collect()
+    assert [tuple(r) for r in got] == [("a", "new"), ("b", "b"), ("c", "c")]
+
+
 def test_station_dictionary(spark, tmp_path):
     raw = frame(spark, RAW_HYDRO, {**HYDRO, "stacja": "Żółwin Śródm.", "rzeka": None},
                 {**HYDRO, "lat": None}, {**HYDRO, "lon": ""}, {**HYDRO, "lat": "0"}, HYDRO)
     built = build_stations(raw)
-    assert [r.name for r in built.collect()] == ["Zolwin Srodm. ()", "Przewozniki (Skroda)"]
+    assert [(r.name, r.lat == 0) for r in built.collect()] == [
+        ("Zolwin Srodm. ()", False), ("Przewozniki (Skroda)", True), ("Przewozniki (Skroda)", False)]
+    numbers = raw.withColumns({c: raw[c].try_cast("double") for c in ("lat", "lon")})
+    assert build_stations(numbers).count() == 2  # the number 0 is no coordinate
     write_stations(built, str(tmp_path / "hydro"))
     (tmp_path / "weather.csv").write_text("id,lat,lon\nIMGW_1,x,18.5\n", encoding="utf-8")
     row = read_stations(spark, str(tmp_path / "weather.csv")).first()
@@ -158,5 +177,5 @@ def test_text_functions(spark):
         station_label(F.col("s"), F.lit(None)).alias("bare"),
         event_time(F.lit("junk")).alias("junk")).first()
     assert row.asDict() == {
-        "n": "2.3%", "m": "—", "on": " v=2.25", "om": "", "p": "LODZ zolc", "empty": "",
+        "n": "2.2%", "m": "—", "on": " v=2.25", "om": "", "p": "LODZ zolc", "empty": "",
         "named": "Name (x)", "own": "x", "bare": "x", "junk": None}

@@ -34,10 +34,35 @@ def zero_padded(text: Column, width: int = 2) -> Column:
 
 
 def number_text(number: Column, decimals: int, unit: str = "") -> Column:
-    """Fixed-point text with a unit, a dash where there is no number."""
-    pattern = f"%.{decimals}f{unit.replace('%', '%%')}"
-    return (F.when(number.isNotNull(), F.format_string(pattern, number.cast("double")))
-            .otherwise(F.lit(MISSING_NUMBER)))
+    """Fixed-point text with a unit, a dash where there is no number.
+
+    The binary value itself is rounded, halves to the even digit: 2.25 is ``2.2``, and 1.005, which
+    lies just below its decimal form, is ``1.00``.
+    """
+    value, scale = number.cast("double"), 10.0 ** decimals
+    scaled = value * scale
+    down = F.floor(scaled).cast("double")
+    part = scaled - down
+    # What the product lost: at an apparent half it tells on which side the number lies.
+    lost = _product_error(value, scale, scaled)
+    up = (part > 0.5) | ((part == 0.5) & ((lost > 0) | ((lost == 0) & (down % 2 != 0))))
+    rounded = F.when(up, down + 1).otherwise(down)
+    # From 2 ** 52 on, every scaled number is whole.
+    shown = F.when(F.abs(scaled) < 2.0 ** 52, rounded / scale).otherwise(value)
+    text = F.format_string(f"%.{decimals}f{unit.replace('%', '%%')}", shown)
+    signed = F.when((value < 0) & (shown == 0), F.concat(F.lit("-"), F.format_string(
+        f"%.{decimals}f{unit.replace('%', '%%')}", F.lit(0.0)))).otherwise(text)
+    return F.when(number.isNotNull(), signed).otherwise(F.lit(MISSING_NUMBER))
+
+
+def _product_error(a: Column, b: float, product: Column) -> Column:
+    """Exact ``a * b`` less the rounded ``product``, from halves of 26 bits each."""
+    splitter = 134217729.0
+    high = splitter * a - (splitter * a - a)
+    low = a - high
+    b_high = splitter * b - (splitter * b - b)
+    b_low = b - b_high
+    return ((high * b_high - product) + high * b_low + low * b_high) + low * b_low
 
 
 def optional(prefix: str, value: Column) -> Column:

@@ -21,8 +21,11 @@ def with_station(df: DataFrame, stations: DataFrame, key: str,
 
 
 def named(df: DataFrame, stations: DataFrame, key: str, into: str = "name") -> DataFrame:
-    """The station's name, or its id where the dictionary has none."""
-    found = stations.select(F.col("id").alias("_station"), F.col("name").alias("_name"))
+    """The station's name, or its id where the dictionary has none. Of several entries of an id
+    the last counts."""
+    placed = stations.select("id", "name", F.monotonically_increasing_id().alias("_place"))
+    found = placed.groupBy(F.col("id").alias("_station")).agg(
+        F.max_by("name", "_place").alias("_name"))
     return (df.join(found, F.col(key) == F.col("_station"), "left")
             .withColumn(into, F.coalesce("_name", F.col(key)))
             .drop("_station", "_name"))

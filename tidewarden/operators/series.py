@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewarden.functions.times import Instant, clock_text, trailing, up_to
@@ -29,20 +29,17 @@ def bucket_means(df: DataFrame, key: str, ts: str, columns: Sequence[str],
 
 def trailing_series(df: DataFrame, key: str, ts: str, columns: Sequence[str],
                     as_of: Instant = None, back: timedelta = DAY,
-                    ahead: timedelta = timedelta(0), limit: int = 1000,
-                    only=None) -> DataFrame:
-    """The trailing rows in time order, the oldest ``limit`` per key.
-
-    One key gives a top-k over its rows; all keys at once give a rank per key, limited ahead of
-    the shuffle.
-    """
+                    ahead: timedelta = timedelta(0), only=None,
+                    limit: int | None = None) -> DataFrame:
+    """The trailing rows; those of one key in time order, of which ``limit`` keeps the oldest."""
     rows = (trailing(of_key(df, key, only), ts, as_of, back, ahead)
             .select(key, ts, *columns))
-    if only is not None:
-        return rows.orderBy(ts).limit(limit)
-    oldest = Window.partitionBy(key).orderBy(ts)
-    return (rows.withColumn("_rank", F.row_number().over(oldest))
-            .filter(F.col("_rank") <= limit).drop("_rank"))
+    if only is None:
+        if limit is not None:
+            raise ValueError("a limit is for the series of one key")
+        return rows
+    ordered = rows.orderBy(ts)
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def last_seen(df: DataFrame, key: str, ts: str, as_of: Instant = None, only=None) -> DataFrame:
@@ -51,11 +48,13 @@ def last_seen(df: DataFrame, key: str, ts: str, as_of: Instant = None, only=None
             .groupBy(key).agg(F.max(ts).alias("last_ts")))
 
 
-def key_list(df: DataFrame, key: str, ts: str, as_of: Instant = None, limit: int = 100,
+def key_list(df: DataFrame, key: str, ts: str, as_of: Instant = None, limit: int | None = None,
              back: timedelta | None = None, ahead: timedelta = timedelta(0)) -> DataFrame:
-    """The first ``limit`` keys in order that have a row in the span (no ``back``: all past)."""
+    """The keys in order that have a row in the span (no ``back``: all past), or the first
+    ``limit`` of them."""
     rows = up_to(df, ts, as_of) if back is None else trailing(df, ts, as_of, back, ahead)
-    return rows.select(key).distinct().orderBy(key).limit(limit)
+    keys = rows.select(key).distinct().orderBy(key)
+    return keys if limit is None else keys.limit(limit)
 
 
 def series_summary(df: DataFrame, key: str, ts: str, present: Sequence[str] = ()) -> DataFrame:

@@ -16,15 +16,23 @@ NO_MESSAGE = "brak opisu"
 VALUE_TEXT = " | wartość: "
 EXPIRES_TEXT = " | wygasa: "
 UNKNOWN = "?"
+# An alert id that is neither missing nor empty.
+NAMED_ALERT = '"alert_id"\\s*:\\s*"[^"]'
 
 
 def current_alerts(messages: DataFrame, arrival: str = "offset") -> DataFrame:
     """The last message of every alert id. All messages of an id are in one partition of the
-    topic, so the offset orders them."""
-    alerts = decoded(messages, ALERT, ["alert_id"], keep=[arrival]).filter("alert_id != ''")
-    newest = Window.partitionBy("alert_id").orderBy(F.col(arrival).desc())
-    return (alerts.withColumn("_rank", F.row_number().over(newest))
-            .filter("_rank = 1").drop("_rank", arrival))
+    topic, so the offset orders them.
+
+    The newest message of each key is found first, and only that is parsed: the key of an alert
+    message is its id. Messages that name no id don't count; one that names it but is no valid JSON
+    hides the id's earlier versions.
+    """
+    text = F.make_valid_utf8(F.col("value").cast("string"))
+    named = messages.filter(text.rlike(NAMED_ALERT)).select("key", arrival, "value")
+    newest = Window.partitionBy("key").orderBy(F.col(arrival).desc())
+    last = named.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1")
+    return decoded(last, ALERT, ["alert_id"]).filter("alert_id != ''")
 
 
 def alert_board(alerts: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewarden.functions.times import Instant, event_time
@@ -19,6 +19,18 @@ LOGICAL_KEYS = {"synop": ("station_id", "measurement_timestamp"),
 JUDGES = {"synop": judged_weather, "hydro": judged_hydro}
 
 
+def judged(raw: DataFrame, topic: str, as_of: Instant = None,
+           warning_level: Column | float | None = None) -> DataFrame:
+    """A feed's records, converted and judged; gauges at ``warning_level`` or above are warned of.
+    """
+    if warning_level is None:
+        return JUDGES[topic](raw, as_of)
+    if topic != "hydro":
+        raise ValueError("a warning level is for water levels")
+    level = warning_level if isinstance(warning_level, Column) else F.lit(warning_level)
+    return judged_hydro(raw, as_of, level)
+
+
 @dataclass(frozen=True)
 class Ingested:
     """Usable records, the new ones among them, and the rejects, all from ``judged``."""
@@ -35,29 +47,30 @@ class Ingested:
         return rejected(self.judged)
 
 
-def ingest(raw: DataFrame, topic: str, seen: DataFrame | None = None,
-           as_of: Instant = None) -> Ingested:
+def ingest(raw: DataFrame, topic: str, seen: DataFrame | None = None, as_of: Instant = None,
+           warning_level: Column | float | None = None) -> Ingested:
     """Polls of a feed as a batch: usable records, those not ``seen`` before, and the rejects with
     their reasons.
 
     Of several records with one logical key the earliest poll wins, then the earlier place in it.
     """
-    judged = JUDGES[topic](raw, as_of)
-    placed = usable(judged).withColumn("_place", F.monotonically_increasing_id())
+    records = judged(raw, topic, as_of, warning_level)
+    placed = usable(records).withColumn("_place", F.monotonically_increasing_id())
     keys = LOGICAL_KEYS[topic]
     new = first_per_key(placed, keys, [c for c in (POLLED_AT, "_place") if c in placed.columns])
     if seen is not None:
         new = only_new(new, seen, keys)
-    return Ingested(judged, new.drop(POLLED_AT, "_place"))
+    return Ingested(records, new.drop(POLLED_AT, "_place"))
 
 
 def ingest_stream(raw: DataFrame, topic: str,
-                  lateness: timedelta = timedelta(days=1)) -> DataFrame:
+                  lateness: timedelta = timedelta(days=1),
+                  warning_level: Column | float | None = None) -> DataFrame:
     """The new usable records of a feed stream, one per logical key within ``lateness``.
 
     State is bounded by the lateness; repeats over all time are kept out by the history tables.
     """
-    good = (usable(JUDGES[topic](raw)).drop(POLLED_AT)
+    good = (usable(judged(raw, topic, warning_level=warning_level)).drop(POLLED_AT)
             .withColumn("event_time", event_time(F.col("measurement_timestamp")))
             .filter(F.col("event_time").isNotNull()))
     return first_in_stream(good, LOGICAL_KEYS[topic], "event_time", lateness).drop("event_time")

@@ -90,15 +90,15 @@ def map_layer(overview: DataFrame, alerts: DataFrame, stations: DataFrame) -> Da
         F.col("category"), CATEGORY_COLORS, F.lit(None).cast("string")))
 
 
-def weather_stations(synop: DataFrame, as_of: Instant = None, limit: int = 100) -> DataFrame:
+def weather_stations(synop: DataFrame, as_of: Instant = None, limit: int | None = None) -> DataFrame:
     return key_list(synop, "station_id", TIME, as_of, limit)
 
 
-def hydro_gauges(hydro: DataFrame, as_of: Instant = None, limit: int = 100) -> DataFrame:
+def hydro_gauges(hydro: DataFrame, as_of: Instant = None, limit: int | None = None) -> DataFrame:
     return key_list(hydro, "gauge_id", TIME, as_of, limit)
 
 
-def forecast_gauges(predictions: DataFrame, as_of: Instant = None, limit: int = 100,
+def forecast_gauges(predictions: DataFrame, as_of: Instant = None, limit: int | None = None,
                     back: timedelta = DAY, ahead: timedelta = FORECAST_AHEAD) -> DataFrame:
     """Gauges that have forecasts around now."""
     return key_list(predictions, "gauge_id", "prediction_timestamp", as_of, limit, back, ahead)
@@ -113,10 +113,10 @@ def weather_series(synop: DataFrame, station: str | None = None, as_of: Instant
 
 
 def hydro_series(hydro: DataFrame, gauge: str | None = None, as_of: Instant = None,
-                 back: timedelta = DAY, limit: int = 1000) -> DataFrame:
-    """Level, flow and warning flag over the trailing span, the oldest ``limit`` rows."""
-    return trailing_series(hydro, "gauge_id", TIME, HYDRO_COLUMNS, as_of, back, limit=limit,
-                           only=gauge)
+                 back: timedelta = DAY, limit: int | None = None) -> DataFrame:
+    """Level, flow and warning flag over the trailing span; of one gauge the oldest ``limit``."""
+    return trailing_series(hydro, "gauge_id", TIME, HYDRO_COLUMNS, as_of, back, only=gauge,
+                           limit=limit)
 
 
 def series_or_last_seen(readings: DataFrame, key: str, series: DataFrame,
@@ -133,16 +133,17 @@ def series_or_last_seen(readings: DataFrame, key: str, series: DataFrame,
 
 def forecast_overlay(hydro: DataFrame, predictions: DataFrame, gauge: str | None = None,
                      as_of: Instant = None, back: timedelta = DAY,
-                     ahead: timedelta = FORECAST_AHEAD, limit: int = 1000) -> DataFrame:
+                     ahead: timedelta = FORECAST_AHEAD, limit: int | None = None) -> DataFrame:
     """Measured and predicted levels on one time axis.
 
-    Measurements end at ``as_of``, predictions ``ahead`` later.
+    Measurements end at ``as_of``, predictions ``ahead`` later. Of one gauge, ``limit`` keeps the
+    oldest of each.
     """
     measured = trailing_series(hydro, "gauge_id", TIME, ["water_level_cm"], as_of, back,
-                               limit=limit, only=gauge)
+                               only=gauge, limit=limit)
     predicted = trailing_series(
         predictions, "gauge_id", "prediction_timestamp",
-        ["predicted_water_level", "horizon_hours"], as_of, back, ahead, limit, gauge)
+        ["predicted_water_level", "horizon_hours"], as_of, back, ahead, gauge, limit)
     return measured.select(
         "gauge_id", F.lit(MEASURED).alias("series"), F.col(TIME).alias("ts"),
         F.col("water_level_cm").cast("double").alias("level"),

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewarden.functions.text import fold_polish, prefixed
 from tidewarden.operators.normalize import HYDRO_PREFIX
@@ -37,12 +38,14 @@ def combined_stations(spark: SparkSession, paths: Mapping[str, str]) -> DataFram
 
 
 def build_stations(raw_hydro: DataFrame) -> DataFrame:
-    """Dictionary rows of the gauges that have coordinates, named ``name (river)`` in ASCII."""
+    """Dictionary rows of the gauges that have coordinates, named ``name (river)`` in ASCII.
+
+    Missing is what is null, empty text or the number 0; the text ``0`` is a coordinate.
+    """
     placed = raw_hydro
     for c in ("lat", "lon"):
-        placed = placed.filter(
-            F.col(c).isNotNull() & (F.col(c).cast("string") != "")
-            & F.coalesce(F.col(c).try_cast("double") != 0, F.lit(True)))
+        nothing = "" if isinstance(raw_hydro.schema[c].dataType, T.StringType) else 0
+        placed = placed.filter(F.col(c).isNotNull() & (F.col(c) != F.lit(nothing)))
     name = F.concat(F.coalesce("stacja", F.lit("")), F.lit(" ("),
                     F.coalesce("rzeka", F.lit("")), F.lit(")"))
     return placed.select(prefixed(HYDRO_PREFIX, F.col("id_stacji")).alias("id"),
