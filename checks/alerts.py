@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.standins import (
     AS_OF, HYDRO, HYDRO_STATIONS, K, RAW_ALERTS, SYNOP, WEATHER_STATIONS, check, events,
-    events_stream, half_up, hydro, messages, raw_alerts, stations, synop, with_k)
+    events_stream, half_up, hydro, landed, messages, raw_alerts, stations, synop, with_k)
 from tidewarden.operators.joins import only_new
 from tidewarden.operators.rules import Rule, classified
 from tidewarden.operators.windows import fall, rise, sliding_extremes
@@ -16,7 +16,7 @@ from tidewarden.plans import alerts as plans
 from tidewarden.plans import board
 from tidewarden.schemas import ALERT
 from tidewarden.session import shared_folder
-from tidewarden.sources.messages import decoded, folder_writer, keyed_json
+from tidewarden.sources.messages import decoded, folder_writer, keyed_json, landed_stream
 from tidewarden.streaming.jobs import start_alert_job
 
 HOUR = timedelta(hours=1)
@@ -70,9 +70,9 @@ def severity_classes(spark, sf_dir):
         "event_type", "window_start", "fall", "max_k", "severity")
 
 
-def _storm_sql(closed: str = "TRUE") -> str:
+def _storm_sql(closed: str = "TRUE", synop: str = SYNOP) -> str:
     return f"""
-WITH {SYNOP}, {WEATHER_STATIONS},
+WITH {synop}, {WEATHER_STATIONS},
 windows AS ({windows_sql("synop", "station_id", "measurement_timestamp", "pressure_hpa", 3,
                          "wind_speed")}),
 scored AS (
@@ -157,6 +157,73 @@ def storm_stream(spark, sf_dir):
     return _published(spark, found)
 
 
+# Every reading arrives again a second later with other values; only the first copy counts.
+REPEATED = SYNOP.replace("synop AS (", "once AS (", 1) + """,
+copies AS (
+  SELECT * FROM once UNION ALL
+  SELECT station_id, measurement_timestamp, temperature, humidity, pressure_hpa + 40,
+         wind_speed + 30, ingestion_timestamp + INTERVAL 1 SECOND FROM once),
+synop AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY station_id, measurement_timestamp
+                                 ORDER BY ingestion_timestamp) AS rn FROM copies) WHERE rn = 1)"""
+
+
+def repeated(readings):
+    """The same rows: each reading, then its copy."""
+    copy = F.explode(F.array(F.lit(0), F.lit(1))).alias("copy")
+    rows = readings.select("*", copy)
+    return rows.select(
+        "station_id", "measurement_timestamp", "temperature", "humidity",
+        (F.col("pressure_hpa") + 40 * F.col("copy")).alias("pressure_hpa"),
+        (F.col("wind_speed") + 30 * F.col("copy")).alias("wind_speed"),
+        (F.col("ingestion_timestamp") + F.make_dt_interval(secs=F.col("copy")))
+        .alias("ingestion_timestamp"))
+
+
+@check(_storm_sql(synop=REPEATED))
+def storm_alerts_repeats(spark, sf_dir):
+    """Repeated readings with other values don't move the windows."""
+    rows = repeated(synop(events(spark, sf_dir))).repartition(5)
+    return plans.storm_alerts(rows, stations(spark, sf_dir, "weather"), as_of=AS_OF,
+                              ts="measurement_timestamp")
+
+
+@check(_storm_sql(_closed(1), REPEATED))
+def storm_stream_repeats(spark, sf_dir):
+    """The same as a stream of three batches, state carried over."""
+    rows = landed(spark, events(spark, sf_dir))
+    sent = messages(rows, repeated(synop(rows)), "synop", "station_id")
+    found = plans.storm_alerts(plans.synop_readings(sent), stations(spark, sf_dir, "weather"),
+                               as_of=AS_OF)
+    return _published(spark, found)
+
+
+@check(_storm_sql(_closed(1)))
+def storm_stream_late(spark, sf_dir):
+    """Two batches, a stop, and a restart with a third one and readings of the first day that come
+    too late: they change nothing, and no window comes twice."""
+    folder = shared_folder(spark, "landed")
+    readings = synop(events(spark, sf_dir))
+    time = F.col("measurement_timestamp")
+    sent = messages(readings, readings, "synop", "station_id")
+    late = readings.filter(time < "2024-01-02").withColumn("pressure_hpa", F.lit(1.0)).withColumn(
+        "measurement_timestamp", time + F.make_dt_interval(mins=F.lit(1)))
+    out, checkpoint = shared_folder(spark, "alerts"), shared_folder(spark, "alerts-checkpoint")
+    stamp = F.col("timestamp")
+    for parts in ([sent.filter(stamp < "2024-01-08"),
+                   sent.filter((stamp >= "2024-01-08") & (stamp < "2024-01-16"))],
+                  [sent.filter(stamp >= "2024-01-16"),
+                   messages(late, late, "synop", "station_id")]):
+        for part in parts:
+            part.coalesce(1).write.mode("append").parquet(folder)
+        stream = landed_stream(spark, folder, maxFilesPerTrigger="1")
+        found = plans.storm_alerts(plans.synop_readings(stream),
+                                   stations(spark, sf_dir, "weather"), as_of=AS_OF)
+        start_alert_job(found, folder_writer(out), checkpoint, once=True).awaitTermination()
+    return decoded(spark.read.parquet(out), ALERT)
+
+
 @check(_flood_sql(_closed(2)))
 def flood_stream(spark, sf_dir):
     rows = events_stream(spark, sf_dir)

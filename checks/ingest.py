@@ -9,12 +9,13 @@ from pyspark.sql import types as T
 
 from checks.alerts import alert_messages
 from checks.standins import (
-    AS_OF, HYDRO, K, PREDICTIONS, RAW_ALERTS, SYNOP, check, events, events_stream, hydro,
-    messages, predictions, synop, with_k, zoneless)
+    AS_OF, HYDRO, K, PREDICTIONS, RAW_ALERTS, SYNOP, check, events, hydro, landed, messages,
+    predictions, synop, with_k, zoneless)
 from tidewarden.functions.text import logical_key
 from tidewarden.operators.dedup import first_in_stream, first_per_key
 from tidewarden.operators.normalize import judged_hydro, judged_weather, rejected, usable
 from tidewarden.plans.ingest import ingest, ingest_report, ingest_stream
+from tidewarden.schemas import HYDRO as HYDRO_MESSAGE
 from tidewarden.schemas import (
     ALERTS_HISTORY, HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, RAW_WEATHER,
     SYNOP_MEASUREMENTS)
@@ -84,10 +85,16 @@ RAW_HYDRO_SQL = f"""raw_hydro AS (
          CASE WHEN {K} % 13 <> 0 AND {K} % 17 <> 0 THEN {K} END AS water_level_cm,
          CASE WHEN {K} % 7 <> 0 THEN {K} / 4.0::DOUBLE END AS flow_m3s,
          {K} % 11 = 0 AS bad_flow, FALSE AS is_warning,
-         '2024-01-20T00:00:00Z' AS ingestion_timestamp
+         '2024-01-20T00:00:00Z' AS ingestion_timestamp, ts, event_id
   FROM events)"""
 
 
+def sent_twice(raw):
+    """Each record followed by a copy of the same gauge and time with another level."""
+    level = F.explode(F.array(F.col("stan_wody"), F.lit("7"))).alias("stan_wody")
+    return raw.select(*[level if c == "stan_wody" else c for c in raw.columns])
+
+
 @check(f"""
 WITH {RAW_WEATHER_SQL}
 SELECT * FROM raw_weather
@@ -111,7 +118,7 @@ def reject_weather(spark, sf_dir):
 
 @check(f"""
 WITH {RAW_HYDRO_SQL}
-SELECT * EXCLUDE (bad_flow) FROM raw_hydro
+SELECT * EXCLUDE (bad_flow, ts, event_id) FROM raw_hydro
 WHERE measurement_timestamp IS NOT NULL AND water_level_cm IS NOT NULL AND NOT bad_flow""")
 def normalize_hydro(spark, sf_dir):
     return usable(judged_hydro(raw_hydro(events(spark, sf_dir)), AS_OF))
@@ -161,6 +168,23 @@ good AS (SELECT * EXCLUDE (bad_flow) FROM raw_hydro
 fresh AS (SELECT DISTINCT gauge_id, measurement_timestamp FROM good
           WHERE measurement_timestamp >= '2024-01-10T00:00:00Z')"""
 
+# Every record is sent twice, the second time with the level 7, which is never missing.
+_TWICE = f"""
+WITH {RAW_HYDRO_SQL},
+twice AS (
+  SELECT gauge_id, measurement_timestamp, water_level_cm, flow_m3s, is_warning, ts, event_id,
+         0 AS copy FROM raw_hydro WHERE NOT bad_flow AND water_level_cm IS NOT NULL
+  UNION ALL
+  SELECT gauge_id, measurement_timestamp, 7, flow_m3s, is_warning, ts, event_id, 1
+  FROM raw_hydro WHERE NOT bad_flow),
+first AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY gauge_id, measurement_timestamp
+                                 ORDER BY ts, event_id, copy) AS rn
+    FROM twice WHERE measurement_timestamp IS NOT NULL) WHERE rn = 1)
+SELECT gauge_id, measurement_timestamp, water_level_cm, flow_m3s, is_warning FROM first"""
+_PAYLOAD = ("gauge_id", "measurement_timestamp", "water_level_cm", "flow_m3s", "is_warning")
+
 
 def _second_poll(spark, sf_dir):
     """All records, of which those before the 10th were published earlier."""
@@ -170,9 +194,15 @@ def _second_poll(spark, sf_dir):
     return ingest(raw, "hydro", seen.select("gauge_id", "measurement_timestamp"), AS_OF)
 
 
-@check(f"{_NEW_HYDRO} SELECT * FROM fresh")
+@check(f"{_TWICE} WHERE measurement_timestamp >= '2024-01-10T00:00:00Z'")
 def ingest_new(spark, sf_dir):
-    return _second_poll(spark, sf_dir).new.select("gauge_id", "measurement_timestamp")
+    """The first copies that were not published before the 10th."""
+    rows = events(spark, sf_dir).repartition(1).sortWithinPartitions("ts", "event_id")
+    raw = sent_twice(raw_hydro(rows))
+    seen = usable(judged_hydro(
+        raw.filter(F.col("stan_wody_data_pomiaru") < "2024-01-10"), AS_OF))
+    new = ingest(raw, "hydro", seen.select("gauge_id", "measurement_timestamp"), AS_OF).new
+    return new.select(*_PAYLOAD)
 
 
 @check("""
@@ -198,22 +228,19 @@ def ingest_counts(spark, sf_dir):
     return ingest_report(_second_poll(spark, sf_dir), "hydro")
 
 
-@check(f"""{_NEW_HYDRO} SELECT DISTINCT gauge_id, measurement_timestamp FROM good""")
+@check(_TWICE)
 def ingest_job(spark, sf_dir):
     """The feed as a stream into a topic folder, run again from a new checkpoint: nothing twice."""
     root = shared_folder(spark, "ingest")
+    stream = landed(spark, events(spark, sf_dir).orderBy("ts", "event_id"))
     for run in ("first", "second"):
         job = start_ingest_job(
-            raw_hydro(events_stream(spark, sf_dir)), "hydro", folder_writer(f"{root}/{run}"),
+            sent_twice(raw_hydro(stream)), "hydro", folder_writer(f"{root}/{run}"),
             folder_writer(f"{root}/{run}-rejects"), f"{root}/seen", f"{root}/{run}-checkpoint",
             once=True)
         job.awaitTermination()
     sent = spark.read.parquet(f"{root}/first").unionByName(spark.read.parquet(f"{root}/second"))
-    return decoded(sent, HYDRO_KEYS)
-
-
-HYDRO_KEYS = T.StructType([T.StructField("gauge_id", T.StringType()),
-                           T.StructField("measurement_timestamp", T.StringType())])
+    return decoded(sent, HYDRO_MESSAGE).select(*_PAYLOAD)
 
 
 @check("""
@@ -224,19 +251,23 @@ def dedup_first(spark, sf_dir):
     return first_per_key(events(spark, sf_dir), ["event_type", "user_id"], ["ts"])
 
 
-@check("SELECT DISTINCT event_type, user_id FROM events")
+@check("""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts) AS rn FROM events)
+WHERE rn = 1""")
 def dedup_stream(spark, sf_dir):
-    """Streaming deduplication; which copy stays is open within a batch, so keys only."""
-    rows = events_stream(spark, sf_dir).withColumn("at", F.col("ts").cast("timestamp"))
+    """Streaming deduplication over three batches: the first copy of every key stays."""
+    rows = landed(spark, events(spark, sf_dir)).withColumn("at", F.col("ts").cast("timestamp"))
     kept = first_in_stream(rows, ["event_type", "user_id"], "at", timedelta(days=60))
-    return _written(spark, kept).select("event_type", "user_id")
+    return _written(spark, kept).drop("at")
 
 
-@check(f"""{_NEW_HYDRO} SELECT DISTINCT gauge_id, measurement_timestamp FROM good""")
+@check(_TWICE)
 def ingest_dedup_stream(spark, sf_dir):
-    """Feed records normalised and deduplicated in stream state."""
-    new = ingest_stream(raw_hydro(events_stream(spark, sf_dir)), "hydro", timedelta(days=60))
-    return _written(spark, new).select("gauge_id", "measurement_timestamp")
+    """Feed records normalised and deduplicated in stream state, over three batches."""
+    stream = landed(spark, events(spark, sf_dir).orderBy("ts", "event_id"))
+    new = ingest_stream(sent_twice(raw_hydro(stream)), "hydro", timedelta(days=60))
+    return _written(spark, new).select(*_PAYLOAD)
 
 
 def _written(spark, stream):
@@ -277,7 +308,7 @@ def insert_if_absent(spark, sf_dir):
 
 def _history(spark, sf_dir, stream):
     """Three topics as one message stream, stored in their history tables."""
-    rows = events_stream(spark, sf_dir) if stream else events(spark, sf_dir)
+    rows = landed(spark, events(spark, sf_dir)) if stream else events(spark, sf_dir)
     alerts = alert_messages(rows).select(
         F.lit("alerts").alias("topic"), F.lit(0).alias("partition"), "offset",
         F.lit(None).cast("timestamp").alias("timestamp"), "key", "value")

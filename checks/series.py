@@ -6,18 +6,19 @@ from pyspark.sql import functions as F
 
 from checks.standins import (
     AS_OF, HYDRO, HYDRO_STATIONS, PREDICTIONS, RAW_ALERTS, SYNOP, WEATHER_STATIONS, check,
-    events, hydro, levels, predictions, stations, synop, table, zoneless)
+    events, hydro, levels, predictions, stations, synop, table, zoned, zoneless)
 from tidewarden.functions.text import fold_polish, logical_key, station_label
 from tidewarden.functions.times import clock_text
 from tidewarden.operators.joins import named
 from tidewarden.operators.recent import (
-    enough_recent, latest_per_key, recent_lags, recent_rows)
+    latest_per_key, recent_lags, recent_rows)
 from tidewarden.operators.series import (
     bucket_means, key_list, last_seen, series_summary, trailing_series, warnings_of)
 from tidewarden.plans import board, views
 from tidewarden.plans import forecast as plans
-from tidewarden.schemas import HYDRO_PREDICTIONS
+from tidewarden.schemas import HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS
 from tidewarden.session import shared_folder
+from tidewarden.sources.latest import read_latest, update_latest
 from tidewarden.sources.stations import build_stations, combined_stations, write_stations
 
 NOW = f"TIMESTAMP '{AS_OF}'"
@@ -238,10 +239,14 @@ SELECT gauge_id, measurement_timestamp, water_level_cm FROM (
   SELECT *, row_number() OVER (PARTITION BY gauge_id ORDER BY measurement_timestamp DESC) AS rn
   FROM hydro) WHERE rn <= 3""")
 def recent_three_of_table(spark, sf_dir):
-    """The same from a table with days: of the older days only what the last one leaves open."""
-    rows = levels(events(spark, sf_dir)).withColumn("day", F.to_date("measurement_timestamp"))
-    some = enough_recent(rows, rows, "gauge_id", 3, F.to_date(F.lit("2024-01-29")))
-    return recent_rows(some.drop("day"), "gauge_id", "measurement_timestamp", 3).drop("rank")
+    """The same from the latest rows kept beside a history table, after batches out of order."""
+    rows = zoned(_hydro(spark, sf_dir))
+    root = shared_folder(spark, "latest")
+    late = F.col("measurement_timestamp") >= "2024-01-15"
+    for part in (rows.filter(late), rows.filter(~late), rows.filter(late)):
+        update_latest(part, root, HYDRO_MEASUREMENTS)
+    return zoneless(read_latest(spark, root, HYDRO_MEASUREMENTS).select(
+        "gauge_id", "measurement_timestamp", "water_level_cm"))
 
 
 @check(f"""

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewarden.session import shared_folder
+
 AS_OF = "2024-01-20 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +53,13 @@ def zoneless(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.TimestampType) else F.col(f.name) for f in df.schema.fields])
 
 
+def zoned(df: DataFrame) -> DataFrame:
+    """The same times as the history tables have them."""
+    return df.select(*[
+        F.col(f.name).cast("timestamp").alias(f.name)
+        if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name) for f in df.schema.fields])
+
+
 def with_k(rows: DataFrame) -> DataFrame:
     """The second metric as a column of its own, parsed once per row."""
     return rows.select("*", F.inline(F.array(F.from_json("props", "k int"))))
@@ -108,6 +117,19 @@ HYDRO = f"""hydro AS (
   FROM events)"""
 
 
+def landed(spark, rows: DataFrame, parts: int = 3, order: str = "ts") -> DataFrame:
+    """The rows as a stream of several files in time order, each a batch of its own."""
+    folder = shared_folder(spark, "landed")
+    cuts = rows.select(F.percentile_approx(F.unix_micros(F.col(order).cast("timestamp")), [
+        i / parts for i in range(1, parts)])).first()[0]
+    time = F.unix_micros(F.col(order).cast("timestamp"))
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = rows if low is None else rows.filter(time >= low)
+        part = part if high is None else part.filter(time < high)
+        part.coalesce(1).sortWithinPartitions(order).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def stations(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     prefix = {"weather": "IMGW_", "hydro": "H_"}[kind]
     return table(spark, sf_dir, "supplier").select(
@@ -152,9 +174,14 @@ def messages(rows: DataFrame, readings: DataFrame, topic: str, key: str) -> Data
     text = readings.select(*[
         F.date_format(f.name, TEXT_TIME).alias(f.name) if "timestamp" in f.name
         else F.col(f.name) for f in readings.schema.fields])
+    time = readings.columns[1] if "measurement_timestamp" in readings.columns \
+        else "event_timestamp"
     return text.select(
-        F.lit(topic).alias("topic"), F.lit(0).alias("partition"),
-        F.lit(0).cast("long").alias("offset"),
+        F.lit(topic).alias("topic"),
+        F.pmod(F.crc32(F.col(key).cast("binary")), F.lit(4)).cast("int").alias("partition"),
+        # Copies of a reading that differ in their arrival differ in their offset.
+        (F.unix_micros(F.to_timestamp(time)) * 2 + F.coalesce(F.unix_seconds(
+            F.to_timestamp("ingestion_timestamp")) % 2, F.lit(0))).alias("offset"),
         F.to_timestamp(readings.columns[1] if "measurement_timestamp" in readings.columns
                        else "event_timestamp").alias("timestamp"),
         F.col(key).cast("binary").alias("key"),

@@ -20,16 +20,26 @@ def first_per_key(df: DataFrame, keys: Sequence[str],
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
-def first_in_stream(df: DataFrame, keys: Sequence[str], ts: str, lateness: timedelta,
-                    spread: int = 8) -> DataFrame:
-    """Drops repeats of a key that arrive within ``lateness`` of each other.
+def first_in_stream(df: DataFrame, keys: Sequence[str], ts: str,
+                    lateness: timedelta) -> DataFrame:
+    """Keeps the first copy of a key among those that arrive within ``lateness`` of each other.
 
-    Streaming deduplication has no map-side step, so a key with a great many copies would send
-    all of them to one task. A first pass on key and source partition takes the copies apart over
-    ``spread`` tasks; the second then sees at most ``spread`` rows per key and batch.
+    The copies of a key come through one partition of their topic, hence through one task and in
+    order, and state keeps the first it sees.
     """
-    marked = df.withWatermark(ts, f"{int(lateness.total_seconds())} seconds")
-    if spread > 1:
-        marked = (marked.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(spread)))
-                  .dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part"))
-    return marked.dropDuplicatesWithinWatermark(list(keys))
+    return df.withWatermark(ts, f"{int(lateness.total_seconds())} seconds") \
+        .dropDuplicatesWithinWatermark(list(keys))
+
+
+def first_readings(df: DataFrame, key: str, ts: str, arrival: Sequence[str] = (),
+                   lateness: timedelta | None = None) -> DataFrame:
+    """The first copy of each reading, that is of ``key`` and time, on a batch or a stream.
+
+    A batch is ordered by those of the ``arrival`` columns that it has. A stream, whose copies come
+    in order as above, needs the ``lateness`` after which copies are dropped as late anyway.
+    """
+    if df.isStreaming:
+        return df.withWatermark(ts, f"{int(lateness.total_seconds())} seconds") \
+            .dropDuplicates([key, ts])
+    order = [name for name in arrival if name in df.columns]
+    return first_per_key(df, [key, ts], order or [ts])

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewarden.functions.times import Instant, event_time, instant, iso_text, span
+from tidewarden.operators.dedup import first_readings
 from tidewarden.operators.joins import with_station
 from tidewarden.operators.rules import Rule, classified
 from tidewarden.operators.windows import fall, rise, sliding_extremes
@@ -47,6 +48,10 @@ WIND_TEXT = "Silny wiatr {wind} m/s — ryzyko wichury"
 LEVEL_TEXT = "Wzrost poziomu wody {rise} cm/{span} — ryzyko podtopienia (poziom {level} cm)"
 
 
+#: Columns that order a batch's readings by arrival, as far as it has them.
+ARRIVAL = ("ingestion_timestamp", "partition", "offset")
+
+
 def _filled(template: str, kind: AlertKind, **values: Column) -> Column:
     """The template with its names replaced by column values."""
     hours = f"{int(kind.size.total_seconds() // 3600)}h"
@@ -98,14 +103,16 @@ def _payload(scored: DataFrame, kind: AlertKind, stations: DataFrame, station: s
 def storm_alerts(readings: DataFrame, stations: DataFrame, kind: AlertKind = STORM,
                  as_of: Instant = None, station: str = "station_id", ts: str = "event_time",
                  pressure: str = "pressure_hpa", wind: str = "wind_speed",
-                 panes: bool = False) -> DataFrame:
+                 panes: bool = False, arrival: Sequence[str] = ARRIVAL) -> DataFrame:
     """Alerts on a pressure drop within the window, or on strong wind.
 
-    The message and value tell the drop if it reaches the lowest level, else the wind.
+    The message and value tell the drop if it reaches the lowest level, else the wind. Of several
+    readings of a station at one time only the first to arrive counts.
     """
-    lateness = kind.lateness if readings.isStreaming else None
-    extremes = sliding_extremes(readings, [station], ts, pressure, kind.size, kind.slide,
-                                [wind], lateness, panes)
+    first = first_readings(readings, station, ts, arrival, kind.lateness)
+    # A stream has its watermark from the step before.
+    extremes = sliding_extremes(first, [station], ts, pressure, kind.size, kind.slide, [wind],
+                                None, panes)
     scored = extremes.withColumn("drop", fall()).withColumn("wind", F.col(f"max_{wind}"))
     dropped = F.col("drop") >= kind.rules[0].levels["Yellow"]
     rounded = {n: F.round(n, 1) for n in ("drop", "wind")}
@@ -117,11 +124,11 @@ def storm_alerts(readings: DataFrame, stations: DataFrame, kind: AlertKind = STO
 
 def flood_alerts(readings: DataFrame, stations: DataFrame, kind: AlertKind = FLOOD,
                  as_of: Instant = None, station: str = "gauge_id", ts: str = "event_time",
-                 level: str = "water_level_cm", panes: bool = False) -> DataFrame:
-    """Alerts on a water-level rise within the window."""
-    lateness = kind.lateness if readings.isStreaming else None
-    extremes = sliding_extremes(readings, [station], ts, level, kind.size, kind.slide,
-                                (), lateness, panes)
+                 level: str = "water_level_cm", panes: bool = False,
+                 arrival: Sequence[str] = ARRIVAL) -> DataFrame:
+    """Alerts on a water-level rise within the window; the first of repeated readings counts."""
+    first = first_readings(readings, station, ts, arrival, kind.lateness)
+    extremes = sliding_extremes(first, [station], ts, level, kind.size, kind.slide, (), None, panes)
     scored = extremes.withColumn("rise", rise())
     rounded = F.round("rise", 0)
     msg = _filled(LEVEL_TEXT, kind, rise=rounded, level=F.col("last_value"))

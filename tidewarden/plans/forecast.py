@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +11,7 @@ from tidewarden.operators.features import lag_lead
 from tidewarden.operators.recent import recent_lags
 from tidewarden.operators.regression import predicted, regression_stats, solved
 from tidewarden.schemas import HYDRO_PREDICTIONS, MODEL
+from tidewarden.sources.folders import children, remove
 
 LAGS = ("lag_0", "lag_1", "lag_2")
 # Horizons count rows ahead in the training series and hours ahead in the forecast.
@@ -55,10 +55,16 @@ def create_model_store(spark: SparkSession, path: str) -> None:
      .partitionBy("trained_at").parquet(path))
 
 
+def _runs(spark: SparkSession, path: str) -> list[str]:
+    """The stored runs' folders, oldest first."""
+    return [name for name in children(spark, path) if name.startswith("trained_at=")]
+
+
 def save_models(models: DataFrame, path: str, as_of: Instant = None) -> bool:
-    """Adds one training run, which replaces all earlier models; an empty run is not kept.
+    """Stores one training run, which replaces all earlier models; an empty run is not kept.
 
-    Runs lie side by side under ``trained_at``, so a failed write leaves the last run readable.
+    A run that is repeated for the same second replaces itself. The run before stays until the next,
+    so a failed write leaves it readable; older ones are removed.
     """
     stamped = models.withColumn("trained_at", F.date_format(
         instant(as_of), "yyyyMMddHHmmss"))
@@ -66,22 +72,22 @@ def save_models(models: DataFrame, path: str, as_of: Instant = None) -> bool:
     try:
         if stamped.isEmpty():
             return False
-        stamped.write.mode("append").partitionBy("trained_at").parquet(path)
+        (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("trained_at").parquet(path))
+        for name in _runs(models.sparkSession, path)[:-2]:
+            remove(models.sparkSession, f"{path}/{name}")
         return True
     finally:
         stamped.unpersist()
 
 
 def load_models(spark: SparkSession, path: str) -> DataFrame:
-    """Models of the latest training run; none if there was no run yet."""
-    try:
-        runs = spark.read.schema(_STORED).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """Models of the latest training run, the only one that is opened; none if there was no run
+    yet."""
+    runs = _runs(spark, path)
+    if not runs:
         return spark.createDataFrame([], MODEL)
-    latest = runs.agg(F.max("trained_at").alias("trained_at"))
-    return runs.join(F.broadcast(latest), "trained_at", "left_semi").drop("trained_at")
+    return spark.read.schema(MODEL).parquet(f"{path}/{runs[-1]}")
 
 
 def forecast_levels(history: DataFrame, models: DataFrame, gauge: str = "gauge_id",

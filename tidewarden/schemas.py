@@ -52,6 +52,10 @@ MODEL = T.StructType([
     T.StructField("n", T.LongType())])
 
 
+#: Days of the year 1 that stand for no day.
+UNDATED = 64
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """A stored table.
@@ -66,6 +70,12 @@ class TableSpec:
     key: tuple[str, ...]
     day: Callable[[], Column]
 
+    def stored_day(self) -> Column:
+        """``day``, and where the key tells none, one of ``UNDATED`` days of the year 1 by the key's
+        hash, so that undated rows share neither one folder nor one task."""
+        slot = F.pmod(F.xxhash64(*self.key), F.lit(UNDATED)).cast("int")
+        return F.coalesce(self.day(), F.date_add(F.make_date(F.lit(1), F.lit(1), F.lit(1)), slot))
+
     @property
     def stored_schema(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField("day", T.DateType())])
@@ -86,7 +96,7 @@ SYNOP_MEASUREMENTS = TableSpec(
     _with_times(SYNOP, "measurement_timestamp", "ingestion_timestamp"),
     ("station_id", "measurement_timestamp"),
     lambda: F.to_date("measurement_timestamp"))
-# An alert id ends in the window start as yyyyMMddHH; ids of another form share the null day.
+# An alert id ends in the window start as yyyyMMddHH; ids of another form have no day.
 ALERTS_HISTORY = TableSpec(
     "alerts_history",
     _with_times(ALERT, "event_timestamp", "expires", "ingestion_timestamp"),

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import timedelta
+from collections.abc import Iterable, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +12,8 @@ from tidewarden.functions.times import Instant, instant, span
 from tidewarden.operators.dedup import first_per_key
 from tidewarden.operators.joins import only_new
 from tidewarden.schemas import TABLES, TableSpec
-
-# Beyond this many days in one batch the check reads the whole table instead of naming them.
-MAX_NAMED_DAYS = 400
-# Up to this many rows (about 20 MB of keys) a batch is broadcast to the stored side, beyond it
-# both sides are shuffled.
-MAX_BROADCAST_ROWS = 200_000
+from tidewarden.session import shared_folder
+from tidewarden.sources.folders import exists
 
 
 def table_path(root: str, spec: TableSpec) -> str:
@@ -46,10 +42,34 @@ def read_days(spark: SparkSession, root: str, spec: TableSpec, as_of: Instant =
         F.col("day").between(F.to_date(now - span(back)), F.to_date(now + span(ahead))))
 
 
-def register_tables(spark: SparkSession, root: str) -> None:
-    """Makes the history tables known to SQL under their own names."""
+def read_folders(spark: SparkSession, root: str, spec: TableSpec,
+                 days: Iterable[date]) -> DataFrame:
+    """The rows of some days; only the folders of these are listed and opened."""
+    base = table_path(root, spec)
+    paths = [f"{base}/day={day.isoformat()}" for day in sorted(days)]
+    present = [path for path in paths if exists(spark, path)]
+    if not present:
+        return spark.createDataFrame([], spec.stored_schema)
+    return spark.read.schema(spec.stored_schema).option("basePath", base).parquet(*present)
+
+
+def register_tables(spark: SparkSession, root: str, back: timedelta = timedelta(hours=24),
+                    ahead: timedelta = timedelta(hours=4)) -> None:
+    """Makes the history tables known to SQL under their own names, with their ``day``, and as
+    ``<name>_recent`` the days from ``back`` before now to ``ahead`` after it, for statements about
+    the last hours: only these days' folders are opened."""
     for spec in TABLES.values():
-        read_table(spark, root, spec).drop("day").createOrReplaceTempView(spec.name)
+        read_table(spark, root, spec).createOrReplaceTempView(spec.name)
+        read_days(spark, root, spec, None, back, ahead).createOrReplaceTempView(
+            f"{spec.name}_recent")
+
+
+def keyless(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows that cannot be stored, as a part of their key is missing."""
+    missing = F.lit(False)
+    for name in spec.key:
+        missing = missing | F.col(name).isNull()
+    return rows.filter(missing)
 
 
 def absent_rows(rows: DataFrame, stored: DataFrame, key: Sequence[str],
@@ -60,24 +80,11 @@ def absent_rows(rows: DataFrame, stored: DataFrame, key: Sequence[str],
 
 
 def stored_rows(rows: DataFrame, root: str, spec: TableSpec) -> DataFrame:
-    """The stored rows that may share a key with ``rows``.
-
-    One count per day, which the natural key determines, prunes the table to the days of the
-    batch and proves the batch's size. A small batch is broadcast to the stored side, so that the
-    table is scanned without a shuffle; what it finds is as small as the batch.
-    """
-    stored = read_table(rows.sparkSession, root, spec)
-    days = (rows.groupBy(spec.day().alias("day")).count()
-            .limit(MAX_NAMED_DAYS + 1).collect())
-    if len(days) > MAX_NAMED_DAYS:
-        return stored
-    named = F.col("day").isin([d.day for d in days if d.day is not None])
-    stored = stored.filter(named | F.col("day").isNull() if None in [d.day for d in days]
-                           else named)
-    if sum(d["count"] for d in days) > MAX_BROADCAST_ROWS:
-        return stored
-    keys = list(spec.key)
-    return F.broadcast(stored.join(F.broadcast(rows.select(*keys)), keys, "left_semi"))
+    """The stored rows of the days that ``rows`` touch, which hold every key they may share: a
+    row's day follows from its key. One value per day reaches the driver."""
+    days = rows.na.drop(subset=list(spec.key)).select(
+        spec.stored_day().alias("day")).distinct().collect()
+    return read_folders(rows.sparkSession, root, spec, [d.day for d in days])
 
 
 def insert_absent(rows: DataFrame, root: str, spec: TableSpec,
@@ -85,13 +92,29 @@ def insert_absent(rows: DataFrame, root: str, spec: TableSpec,
     """Appends the rows whose key the table does not hold; the first writer wins. Returns the
     number of rows added.
 
-    Safe to repeat for one writer per table. The rebalance keeps files large and splits a day
-    that is too big for one task. ``rows`` are read more than once: cache them if they are costly.
+    Safe to repeat for one writer per table. The check joins on day and key, with one plan for every
+    size. The rebalance keeps files large and splits a day that is too big for one task. ``rows``
+    are read twice, for their days and for themselves: cache them if they are costly.
     """
+    dated = rows.withColumn("day", spec.stored_day())
     stored = stored_rows(rows, root, spec)
     added = Observation()
-    fresh = absent_rows(rows, stored, spec.key, order).withColumn("day", spec.day())
+    fresh = only_new(first_per_key(dated.na.drop(subset=list(spec.key)), spec.key, order), stored,
+                     ["day", *spec.key])
     (fresh.select(*spec.schema.names, "day").hint("rebalance", "day")
      .observe(added, F.count(F.lit(1)).alias("rows"))
      .write.mode("append").partitionBy("day").parquet(table_path(root, spec)))
     return added.get.get("rows", 0)
+
+
+def compact(spark: SparkSession, root: str, spec: TableSpec, days: Iterable[date]) -> None:
+    """Rewrites some days into few files each. For the table's writer, between two of its batches.
+
+    The rows are first copied to the shared folder, so that a failed rewrite can be repeated from
+    there; each day is replaced whole.
+    """
+    copy = shared_folder(spark, f"compact-{spec.name}")
+    read_folders(spark, root, spec, days).write.parquet(copy)
+    (spark.read.schema(spec.stored_schema).parquet(copy).hint("rebalance", "day")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day").parquet(table_path(root, spec)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -9,22 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewarden.functions.times import Instant, event_time, instant, span
+from tidewarden.functions.times import Instant, event_time
 from tidewarden.operators.normalize import usable
-from tidewarden.operators.recent import enough_recent
 from tidewarden.plans.forecast import (
-    HORIZONS, LAGS, create_model_store, forecast_levels, load_models, save_models,
-    train_level_models)
+    HORIZONS, create_model_store, forecast_levels, load_models, save_models, train_level_models)
 from tidewarden.plans.ingest import JUDGES, LOGICAL_KEYS, ingest
 from tidewarden.schemas import (
     HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, TOPICS, TableSpec)
 from tidewarden.sources.messages import BatchWriter, decoded, keyed_json, row_json
-from tidewarden.sources.tables import create_tables, insert_absent, read_table, stored_rows
+from tidewarden.sources.latest import read_latest, update_latest
+from tidewarden.sources.tables import (
+    create_tables, insert_absent, keyless, read_table, stored_rows)
 
 SCORING_INTERVAL = timedelta(seconds=300)
 RETRAIN_EVERY = 6
-# A cycle looks for the latest readings in the days of this span first.
-RECENT = timedelta(days=3)
 
 
 def _started(stream: DataFrame, step, checkpoint: str, every: timedelta | None,
@@ -71,8 +70,11 @@ def history_rows(messages: DataFrame, topic: str) -> tuple[DataFrame, TableSpec]
 
 def start_history_job(messages: DataFrame, root: str, checkpoint: str,
                       topics: tuple[str, ...] = tuple(TOPICS),
-                      every: timedelta | None = None, once: bool = False) -> StreamingQuery:
-    """Stores every topic in its history table, insert-if-absent.
+                      every: timedelta | None = None, once: bool = False,
+                      write_rejects: BatchWriter | None = None) -> StreamingQuery:
+    """Stores every topic in its history table, insert-if-absent, and keeps the latest rows of each
+    station and gauge beside it. Rows without a whole key go to ``write_rejects``, as JSON under
+    their topic's name.
 
     The append and the checkpoint are two commits; a batch that is repeated after a crash finds
     its rows stored and adds nothing. Keep to one writer per table.
@@ -81,11 +83,18 @@ def start_history_job(messages: DataFrame, root: str, checkpoint: str,
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
+        lost: list[DataFrame] = []
         for topic in topics:
             rows, spec = history_rows(batch, topic)
             rows.persist()  # the insert reads them twice: once for their days
             insert_absent(rows, root, spec, ["ingestion_timestamp", "partition", "offset"])
-            rows.unpersist()
+            if len(spec.key) == 2:
+                update_latest(rows, root, spec, ("ingestion_timestamp", "partition", "offset"))
+            lost.append(keyed_json(keyless(rows, spec).withColumn("topic", F.lit(topic)), "topic"))
+            if write_rejects is None:
+                rows.unpersist()
+        if write_rejects is not None:
+            write_rejects(functools.reduce(DataFrame.unionByName, lost), batch_id)
         batch.unpersist()
 
     return _started(messages, store, checkpoint, every, once)
@@ -93,7 +102,7 @@ def start_history_job(messages: DataFrame, root: str, checkpoint: str,
 
 def start_ingest_job(raw: DataFrame, topic: str, write: BatchWriter, write_rejects: BatchWriter,
                      seen_root: str, checkpoint: str, every: timedelta | None = None,
-                     once: bool = False) -> StreamingQuery:
+                     once: bool = False, warning_level: float | None = None) -> StreamingQuery:
     """Normalises a raw feed stream, publishes readings not published before, keeps rejects.
 
     The logical keys published so far are kept as a table, so they outlast a restart, each with
@@ -109,7 +118,7 @@ def start_ingest_job(raw: DataFrame, topic: str, write: BatchWriter, write_rejec
         origin = f"{checkpoint}#{batch_id}"
         seen = (stored_rows(usable(JUDGES[topic](batch)), seen_root, spec)
                 .filter(F.col("origin") != origin))
-        result = ingest(batch, topic, seen)
+        result = ingest(batch, topic, seen, warning_level=warning_level)
         new = result.new.persist()
         write(keyed_json(new, spec.key[0]), batch_id)
         write_rejects(result.rejected, batch_id)
@@ -131,15 +140,15 @@ def _seen_spec(topic: str) -> TableSpec:
 
 def score(spark, root: str, models_path: str, cycle: int, retrain_every: int = RETRAIN_EVERY,
           as_of: Instant = None) -> int:
-    """One scoring cycle over the stored history: retrain when due or when there is no model,
-    forecast, store the forecasts insert-if-absent. Returns the number of gauges with new ones."""
+    """One scoring cycle: retrain on the stored history when due or when there is no model, forecast
+    from the latest rows that the history job keeps, store the forecasts insert-if-absent. Returns
+    the number of gauges with new ones. Other cycles open no folder of the history."""
     history = read_table(spark, root, HYDRO_MEASUREMENTS)
     models = load_models(spark, models_path)
     if cycle % retrain_every == 0 or models.isEmpty():
         save_models(train_level_models(history), models_path, as_of)
         models = load_models(spark, models_path)
-    since = F.to_date(instant(as_of) - span(RECENT))
-    recent = enough_recent(history, models, "gauge_id", len(LAGS), since)
+    recent = read_latest(spark, root, HYDRO_MEASUREMENTS)
     forecasts = forecast_levels(recent, models, as_of=as_of).persist()
     added = insert_absent(forecasts, root, HYDRO_PREDICTIONS, ["created_at"])
     forecasts.unpersist()
@@ -148,13 +157,13 @@ def score(spark, root: str, models_path: str, cycle: int, retrain_every: int = R
 
 def start_scoring_job(ticks: DataFrame, root: str, models_path: str, checkpoint: str,
                       every: timedelta = SCORING_INTERVAL, retrain_every: int = RETRAIN_EVERY,
-                      once: bool = False) -> StreamingQuery:
+                      once: bool = False, as_of: Instant = None) -> StreamingQuery:
     """Scores on every micro-batch of ``ticks``, for instance the hydro messages: without new
     readings there is no new forecast to make."""
     create_tables(ticks.sparkSession, root, [HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS])
     create_model_store(ticks.sparkSession, models_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        score(batch.sparkSession, root, models_path, batch_id, retrain_every)
+        score(batch.sparkSession, root, models_path, batch_id, retrain_every, as_of)
 
     return _started(ticks, run, checkpoint, every, once)

@@ -30,6 +30,10 @@ SOURCE_TOPIC = {"storm": ("SOURCE_TOPIC", "synop"), "flood": ("SOURCE_TOPIC", "h
 CHECKPOINT = {"ingest-synop": "CHECKPOINT_SYNOP", "ingest-hydro": "CHECKPOINT_HYDRO_FEED",
               "storm": "CHECKPOINT_WEATHER", "flood": "CHECKPOINT_HYDRO",
               "history": "CHECKPOINT_HISTORY", "score": "CHECKPOINT_SCORE"}
+#: What a job cannot do without.
+NEEDED = {"ingest-synop": ("feed", "rejects", "tables"),
+          "ingest-hydro": ("feed", "rejects", "tables"),
+          "history": ("tables",), "score": ("tables", "models")}
 
 
 def _env(setting: tuple[str, str]) -> str:
@@ -60,7 +64,7 @@ def _ingest(spark: SparkSession, job: str, args: argparse.Namespace,
     raw = raw_feed_stream(spark, args.feed, {"synop": RAW_WEATHER, "hydro": RAW_HYDRO}[kind])
     return start_ingest_job(
         raw, kind, kafka_writer(_env(BROKERS), _env(FEED_TOPIC[job])),
-        folder_writer(args.rejects), args.tables, checkpoint)
+        folder_writer(args.rejects), args.tables, checkpoint, warning_level=args.warning_level)
 
 
 def main() -> None:
@@ -71,7 +75,15 @@ def main() -> None:
     parser.add_argument("--tables", help="root folder of the history tables")
     parser.add_argument("--models", help="folder of the level models")
     parser.add_argument("--preview", action="store_true", help="also show alerts on the console")
+    parser.add_argument("--warning-level", type=float, help="water level in cm to warn of")
+    parser.add_argument("--offsets", default="1000000",
+                        help="most messages that one batch of the history job takes")
     args = parser.parse_args()
+    for name in NEEDED.get(args.job, ()):
+        if not getattr(args, name):
+            parser.error(f"{args.job} needs --{name}")
+    if args.warning_level is not None and args.job != "ingest-hydro":
+        parser.error("--warning-level is for ingest-hydro")
     spark = build_session(f"tidewarden-{args.job}", os.getenv("SPARK_MASTER"))
     checkpoint = _checkpoint(spark, args.job)
     if args.job in FEED_TOPIC:
@@ -80,8 +92,10 @@ def main() -> None:
         write = kafka_writer(_env(BROKERS), _env(ALERTS_TOPIC))
         query = start_alert_job(_alerts(spark, args.job), write, checkpoint, args.preview)
     elif args.job == "history":
-        messages = message_stream(spark, _env(BROKERS), ["hydro", "synop", "alerts"], "earliest")
-        query = start_history_job(messages, args.tables, checkpoint)
+        messages = message_stream(spark, _env(BROKERS), ["hydro", "synop", "alerts"], "earliest",
+                                  maxOffsetsPerTrigger=args.offsets)
+        rejects = folder_writer(args.rejects) if args.rejects else None
+        query = start_history_job(messages, args.tables, checkpoint, write_rejects=rejects)
     else:
         ticks = message_stream(spark, _env(BROKERS), ["hydro"], "latest")
         query = start_scoring_job(ticks, args.tables, args.models, checkpoint)
