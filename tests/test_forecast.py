@@ -1,17 +1,20 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidewarden.operators.features import lag_lead
-from tidewarden.operators.recent import enough_recent, recent_lags, recent_rows
+from tidewarden.operators.recent import recent_lags
+from tidewarden.operators.series import series_summary
 from tidewarden.plans.forecast import (
     export_predictions, forecast_levels, load_models, save_models, train_level_models)
-from tidewarden.plans.views import forecast_horizons, forecast_overlay
+from tidewarden.plans.views import forecast_horizons, forecast_overlay, hydro_series
 from tidewarden.schemas import HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, MODEL
+from tidewarden.sources.latest import read_latest, update_latest
 from tidewarden.sources.tables import create_tables, insert_absent, read_table
 from tidewarden.streaming.jobs import score
 
@@ -122,6 +125,11 @@ def test_model_store(spark, tmp_path):
     assert save_models(first.filter("gauge_id = 'a'"), path, "2026-01-02 00:00:00")
     assert not save_models(first.limit(0), path, "2026-01-03 00:00:00")
     assert [r.gauge_id for r in load_models(spark, path).collect()] == ["a"]
+    # A repeat of a run replaces it, and older runs go.
+    assert save_models(first, path, "2026-01-02 00:00:00")
+    assert load_models(spark, path).count() == 2
+    assert save_models(first, path, "2026-01-04 00:00:00")
+    assert len(list((tmp_path / "models").glob("trained_at=*"))) == 2
 
 
 def test_scoring_keeps_the_first_forecast(spark, tmp_path):
@@ -161,20 +169,41 @@ def test_overlay_and_export(spark, tmp_path):
     assert back.columns == made.columns and back.count() == 4
 
 
-def test_silent_gauges_are_found_in_older_days(spark):
-    """Newest rows per gauge, whether the last days hold them, some of them or none."""
-    day = 86_400
-    rows = [("busy", i * 3600) for i in range(24 * 10)] + [
-        ("slow", i * 4 * day) for i in range(3)] + [("silent", i) for i in range(5)] + [
-        ("unwanted", 0)]
-    history = spark.createDataFrame(rows, "key string, s long").select(
-        "key", F.timestamp_seconds("s").alias("ts")).withColumn("day", F.to_date("ts"))
-    wanted = spark.createDataFrame([("busy",), ("slow",), ("silent",)], "key string")
-    since = F.to_date(F.lit("1970-01-08"))
-    some = enough_recent(history, wanted, "key", 3, since)
-    newest = recent_rows(some, "key", "ts", 3).filter("key != 'unwanted'")
-    every = recent_rows(history, "key", "ts", 3).filter("key != 'unwanted'")
-    assert newest.exceptAll(every).isEmpty() and every.exceptAll(newest).isEmpty()
-    assert some.filter("key = 'busy'").count() == 24 * 3
-    few = enough_recent(history, wanted.filter("key = 'busy'"), "key", 3, since)
-    assert few.filter("day < '1970-01-08'").isEmpty()
+def test_latest_rows_of_silent_and_late_stations(spark, tmp_path):
+    """Batches out of order, repeats, gauges that fell silent: always the newest rows of each."""
+    def batch(*rows):
+        return spark.createDataFrame([(g, datetime(2026, 1, d, h), v, None, False,
+                                       datetime(2026, 2, 1)) for g, d, h, v in rows],
+                                     HYDRO_MEASUREMENTS.schema)
+
+    def latest():
+        return sorted((r.gauge_id, r.measurement_timestamp.day, r.measurement_timestamp.hour,
+                       r.water_level_cm)
+                      for r in read_latest(spark, root, HYDRO_MEASUREMENTS).collect())
+
+    root = str(tmp_path)
+    assert latest() == []
+    first = batch(("a", 5, 1, 1), ("a", 5, 2, 2), ("silent", 1, 0, 9))
+    for _ in range(2):
+        update_latest(first, root, HYDRO_MEASUREMENTS)
+    update_latest(batch(("a", 6, 1, 3), ("a", 6, 2, 4), ("a", 5, 2, 77), ("a", 2, 0, 8)), root,
+                  HYDRO_MEASUREMENTS)
+    update_latest(batch(("a", 4, 0, 5), ("b", 4, 0, 6)), root, HYDRO_MEASUREMENTS)
+    assert latest() == [("a", 5, 2, 2), ("a", 6, 1, 3), ("a", 6, 2, 4), ("b", 4, 0, 6),
+                        ("silent", 1, 0, 9)]
+    assert len(list((tmp_path / "hydro_measurements_latest").iterdir())) == 2
+
+
+def test_a_long_series_is_whole(spark):
+    now = F.lit("2026-01-02 00:00:00").cast("timestamp")
+    minutes = spark.range(1440).select(
+        F.lit("g").alias("gauge_id"),
+        (now - F.make_dt_interval(mins=F.col("id").cast("int") + 1)).alias("measurement_timestamp"),
+        F.lit(1).alias("water_level_cm"), F.lit(1.0).alias("flow_m3s"),
+        F.lit(True).alias("is_warning"))
+    series = hydro_series(minutes, as_of="2026-01-02 00:00:00")
+    row = series_summary(series, "gauge_id", "measurement_timestamp").first()
+    assert (row.readings, row.last_clock) == (1440, "23:59 UTC")
+    assert hydro_series(minutes, "g", "2026-01-02 00:00:00", limit=1000).count() == 1000
+    with pytest.raises(ValueError):
+        hydro_series(minutes, limit=1000)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401
 from checks.standins import QUERIES
-from tidewarden.schemas import HYDRO_PREDICTIONS
+from tidewarden.schemas import ALERTS_HISTORY, HYDRO_PREDICTIONS, TABLES
 from tidewarden.sources import tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -39,8 +39,7 @@ def test_no_cross_join_no_row_at_a_time_python(spark, name):
 
 
 @pytest.mark.parametrize("name", [
-    "dedup_first", "current_alerts", "recent_three", "recent_levels", "latest_text",
-    "ingest_new"])
+    "dedup_first", "current_alerts", "recent_three", "recent_levels", "latest_text"])
 def test_rank_filters_limit_groups_ahead_of_the_shuffle(spark, name):
     text = plan_of(spark, name)
     assert "WindowGroupLimit" in text and "row_number()" in text
@@ -99,9 +98,7 @@ def test_large_dictionaries_are_not_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
-def test_insert_prunes_days_and_gives_one_answer_with_and_without_broadcast(
-        spark, tmp_path, monkeypatch, limit):
+def test_insert_opens_only_the_days_of_its_batch(spark, tmp_path):
     root, spec = str(tmp_path), HYDRO_PREDICTIONS
     tables.create_tables(spark, root, [spec])
 
@@ -113,15 +110,67 @@ def test_insert_prunes_days_and_gives_one_answer_with_and_without_broadcast(
             F.current_timestamp().alias("created_at"))
 
     assert tables.insert_absent(rows(0, 240), root, spec, ["created_at"]) == 240
-    monkeypatch.setattr(tables, "MAX_BROADCAST_ROWS", limit)
     stored = tables.stored_rows(rows(230, 250), root, spec)
-    assert (stored.count() == 10) == bool(limit)
-    assert stored.select("day").distinct().count() <= 2
+    assert len({name.rsplit("/", 2)[1] for name in stored.inputFiles()}) == 1
+    # A folder that no batch touches may hold anything.
+    (tmp_path / spec.name / "day=2020-01-01").mkdir()
+    (tmp_path / spec.name / "day=2020-01-01" / "part.parquet").write_text("no Parquet")
     assert tables.insert_absent(rows(230, 250), root, spec, ["created_at"]) == 10
-    monkeypatch.setattr(tables, "MAX_NAMED_DAYS", 1)
     assert tables.insert_absent(rows(0, 260), root, spec, ["created_at"]) == 10
 
 
+def test_undated_rows_are_dealt_over_folders(spark, tmp_path):
+    root, spec = str(tmp_path), ALERTS_HISTORY
+    tables.create_tables(spark, root, [spec])
+    rows = spark.range(300).select(*[
+        (F.concat(F.lit("odd-"), F.col("id").cast("string")) if f.name == "alert_id"
+         else F.lit(None)).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
+    assert tables.insert_absent(rows, root, spec) == 300
+    assert tables.insert_absent(rows, root, spec) == 0
+    stored = tables.read_table(spark, root, spec)
+    assert stored.filter("day IS NULL").isEmpty()
+    assert stored.groupBy("day").count().filter("count > 30").isEmpty()
+
+
+def test_compaction_keeps_the_rows_and_leaves_few_files(spark, tmp_path):
+    root, spec = str(tmp_path), HYDRO_PREDICTIONS
+    tables.create_tables(spark, root, [spec])
+    for i in range(4):
+        at = F.timestamp_seconds(F.lit(1_700_000_000 + 60 * i))
+        tables.insert_absent(spark.range(1).select(
+            F.lit("a").alias("gauge_id"), at.alias("prediction_timestamp"),
+            F.lit(1.0).alias("predicted_water_level"), F.lit(2).alias("horizon_hours"),
+            at.alias("created_at")), root, spec, ["created_at"])
+    before = tables.read_table(spark, root, spec)
+    rows, days = before.collect(), [r.day for r in before.select("day").distinct().collect()]
+    assert len(before.inputFiles()) >= 4
+    tables.compact(spark, root, spec, days)
+    after = tables.read_table(spark, root, spec)
+    assert sorted(after.collect()) == sorted(rows) and len(after.inputFiles()) == 1
+
+
+@pytest.mark.parametrize("statement", [
+    "SELECT avg(temperature) FROM synop_measurements_recent WHERE station_id = 'a'"
+    " AND measurement_timestamp >= now() - INTERVAL '24 hours'",
+    "SELECT * FROM hydro_measurements_recent WHERE gauge_id = 'a'"
+    " AND measurement_timestamp >= now() - INTERVAL '24 hours'",
+    "SELECT * FROM hydro_predictions_recent WHERE prediction_timestamp"
+    " <= now() + INTERVAL '4 hours'",
+    "SELECT * FROM hydro_measurements WHERE day = DATE '2024-01-01'"])
+def test_statements_prune_days(spark, tmp_path, statement):
+    tables.create_tables(spark, str(tmp_path))
+    for spec in TABLES.values():
+        tables.insert_absent(spark.range(1).select(*[
+            (F.current_timestamp() if "timestamp" in f.name else F.lit("1")).cast(f.dataType)
+            .alias(f.name) if f.name in spec.key else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in spec.schema.fields]), str(tmp_path), spec, spec.key)
+    tables.register_tables(spark, str(tmp_path))
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        spark.sql(statement).explain("formatted")
+    assert "day#" in out.getvalue().split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_trailing_reads_touch_only_their_days(spark, tmp_path):
     root, spec = str(tmp_path), HYDRO_PREDICTIONS
     tables.create_tables(spark, root, [spec])

@@ -21,6 +21,10 @@ def _versions(spark: SparkSession, path: str) -> list[str]:
             if "_SUCCESS" in children(spark, f"{path}/{name}")]
 
 
+def has_latest(spark: SparkSession, root: str, spec: TableSpec) -> bool:
+    return bool(_versions(spark, f"{table_path(root, spec)}_latest"))
+
+
 def read_latest(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     """The newest rows by the second column of the key, of each first column."""
     path = f"{table_path(root, spec)}_latest"

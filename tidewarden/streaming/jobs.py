@@ -18,7 +18,7 @@ from tidewarden.plans.ingest import JUDGES, LOGICAL_KEYS, ingest
 from tidewarden.schemas import (
     HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, TOPICS, TableSpec)
 from tidewarden.sources.messages import BatchWriter, decoded, keyed_json, row_json
-from tidewarden.sources.latest import read_latest, update_latest
+from tidewarden.sources.latest import has_latest, read_latest, update_latest
 from tidewarden.sources.tables import (
     create_tables, insert_absent, keyless, read_table, stored_rows)
 
@@ -148,6 +148,8 @@ def score(spark, root: str, models_path: str, cycle: int, retrain_every: int = R
     if cycle % retrain_every == 0 or models.isEmpty():
         save_models(train_level_models(history), models_path, as_of)
         models = load_models(spark, models_path)
+    if not has_latest(spark, root, HYDRO_MEASUREMENTS):  # a table of before they were kept
+        update_latest(history, root, HYDRO_MEASUREMENTS)
     recent = read_latest(spark, root, HYDRO_MEASUREMENTS)
     forecasts = forecast_levels(recent, models, as_of=as_of).persist()
     added = insert_absent(forecasts, root, HYDRO_PREDICTIONS, ["created_at"])
