@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from tidewarden.sources.folders import remove
+
 _SETTINGS = {
     # All times are UTC.
     "spark.sql.session.timeZone": "UTC",
@@ -19,6 +21,8 @@ _SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+_given: list[str] = []
+
 
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings the operators expect; ``extra`` keys use ``__`` for dots."""
@@ -32,7 +36,8 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder path below the one the cluster names in ``spark.checkpoint.dir``.
+    """A new folder path below the one the cluster names in ``spark.checkpoint.dir``, for
+    ``clear_shared`` to remove.
 
     Only a local session may go without that setting; it then gets a folder of its own.
     """
@@ -42,4 +47,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidewarden-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _given.append(f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    return _given[-1]
+
+
+def clear_shared(spark: SparkSession) -> None:
+    """Removes the shared folders given out so far: results that were read from them are done with.
+    """
+    while _given:
+        remove(spark, _given.pop())
