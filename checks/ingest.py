@@ -306,9 +306,9 @@ def insert_if_absent(spark, sf_dir):
         "gauge_id", "measurement_timestamp", "water_level_cm"))
 
 
-def _history(spark, sf_dir, stream):
-    """Three topics as one message stream, stored in their history tables."""
-    rows = landed(spark, events(spark, sf_dir)) if stream else events(spark, sf_dir)
+def _history(spark, sf_dir, topic):
+    """One of three topics in one message stream of three batches, stored in its history table."""
+    rows = landed(spark, events(spark, sf_dir))
     alerts = alert_messages(rows).select(
         F.lit("alerts").alias("topic"), F.lit(0).alias("partition"), "offset",
         F.lit(None).cast("timestamp").alias("timestamp"), "key", "value")
@@ -317,7 +317,8 @@ def _history(spark, sf_dir, stream):
             .unionByName(alerts))
     root = shared_folder(spark, "history")
     for run in ("first", "again"):
-        job = start_history_job(sent, root, shared_folder(spark, f"history-{run}"), once=True)
+        job = start_history_job(sent, root, shared_folder(spark, f"history-{run}"), (topic,),
+                                once=True)
         job.awaitTermination()
     return root
 
@@ -325,13 +326,13 @@ def _history(spark, sf_dir, stream):
 @check(f"WITH {HYDRO} SELECT * FROM hydro")
 def hydro_history(spark, sf_dir):
     """History from a message stream, replayed from the start: every reading once."""
-    root = _history(spark, sf_dir, stream=True)
+    root = _history(spark, sf_dir, "hydro")
     return zoneless(read_table(spark, root, HYDRO_MEASUREMENTS).drop("day"))
 
 
 @check(f"WITH {SYNOP} SELECT * FROM synop")
 def synop_history(spark, sf_dir):
-    root = _history(spark, sf_dir, stream=True)
+    root = _history(spark, sf_dir, "synop")
     return zoneless(read_table(spark, root, SYNOP_MEASUREMENTS).drop("day"))
 
 
@@ -344,7 +345,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY ingestion_time
 WHERE rn = 1""")
 def alerts_history(spark, sf_dir):
     """The first version of every alert stays in the history."""
-    root = _history(spark, sf_dir, stream=True)
+    root = _history(spark, sf_dir, "alerts")
     return zoneless(read_table(spark, root, ALERTS_HISTORY).select(
         "alert_id", "alert_type", "station_id", "lat", "lon", "severity", "msg", "value",
         "event_timestamp"))
