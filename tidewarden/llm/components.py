@@ -11,24 +11,38 @@ from tidewarden.llm.common import written
 def components(edges: DataFrame) -> DataFrame:
     """Columns id and class (the smallest id reached), for every id in edges (a, b).
 
-    In each round every class takes the smallest label that any of its members sees at a neighbour,
-    so classes merge whole; minima are formed before the shuffle, so a hub is no hot task. Labels are
-    written after each round. Edges from an id to itself name it without linking it.
+    In each round every id points to its smallest neighbour, if that is smaller; pointers are followed
+    to the roots by doubling, and the graph shrinks to one id per root with the edges between them.
+    Minima are formed before the shuffle, so a hub is no hot task, and edges inside a class are read
+    once. Each round's graph and pointers are written. An edge from an id to itself names it without
+    linking it.
     """
-    both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = both.groupBy(F.col("a").alias("id")).agg(
-        F.least(F.col("a"), F.min("b")).alias("class"))
-    labels = written(labels, "labels")
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    graph = written(edges.select(*ordered).distinct(), "edges")
+    rounds: list[DataFrame] = []
     while True:
-        seen = both.join(labels.select(F.col("id").alias("b"), F.col("class").alias("seen")), "b") \
-            .groupBy(F.col("a").alias("id")).agg(F.min("seen").alias("seen"))
-        hooked = written(labels.join(seen, "id").select(
-            "id", F.col("class").alias("old"), F.least("class", "seen").alias("new")), "hooked")
-        lowest = hooked.groupBy("old").agg(F.min("new").alias("lowest"))
-        # A class that isn't its own label yet follows the label's own class.
-        roots = hooked.select(F.col("id").alias("old"), F.col("new").alias("root"))
-        labels = written(hooked.join(lowest, "old").join(roots, "old", "left").select(
-            "id", "old", F.least("new", "lowest", F.coalesce("root", "lowest")).alias("class")),
-            "labels")
-        if labels.filter("old <> class").isEmpty():
-            return labels.select("id", "class")
+        both = graph.select("a", "b").union(graph.select("b", "a"))
+        up = written(both.groupBy(F.col("a").alias("id")).agg(
+            F.least(F.col("a"), F.min("b")).alias("up")), "up")
+        moved = True
+        while moved:
+            above = up.select(F.col("id").alias("up"), F.col("up").alias("top"))
+            up = written(up.join(above, "up").select("id", F.col("top").alias("up"),
+                                                     (F.col("top") != F.col("up")).alias("moved")),
+                         "up")
+            moved = not up.filter("moved").isEmpty()
+            up = up.select("id", "up")
+        rounds.append(up)
+        between = graph.filter("a <> b")
+        for end in ("a", "b"):
+            between = between.join(up.select(F.col("id").alias(end), F.col("up").alias(f"{end}_up")),
+                                   end).drop(end).withColumnRenamed(f"{end}_up", end)
+        graph = written(between.select(*ordered).filter("a <> b").distinct(), "edges")
+        if graph.isEmpty():
+            break
+    classes = rounds.pop()
+    while rounds:
+        above = classes.select(F.col("id").alias("up"), F.col("up").alias("class"))
+        classes = rounds.pop().join(above, "up", "left").select(
+            "id", F.coalesce("class", "up").alias("up"))
+    return classes.select("id", F.col("up").alias("class"))
