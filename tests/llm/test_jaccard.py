@@ -146,3 +146,21 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     got = {r.id: r["class"] for r in components(edges).collect()}
     assert {got[i] for i in range(100, 161)} == {100}
     assert {got[i] for i in range(1000, 1100)} == {1000} and got[5] == 5
+
+
+def test_components_of_random_graphs(spark):
+    random.seed(12)
+    pairs = [(random.randrange(120), random.randrange(120)) for _ in range(90)]
+    root = {i: i for pair in pairs for i in pair}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        low, high = sorted((top(a), top(b)))
+        root[high] = low
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    assert {r.id: r["class"] for r in components(edges).collect()} == {i: top(i) for i in root}
+    assert components(edges.limit(0)).collect() == []
