@@ -38,9 +38,9 @@ def train_level_models(history: DataFrame, gauge: str = "gauge_id",
                        min_history: int = MIN_HISTORY, min_complete: int = MIN_COMPLETE,
                        part: str | None = "day") -> DataFrame:
     """Coefficients per gauge and horizon; none at all while the history is too short."""
-    if history.select(gauge).limit(min_history).count() < min_history:
-        return history.sparkSession.createDataFrame([], MODEL)
-    stats = level_stats(history, gauge, ts, level, min_complete, part)
+    readings = history.select(gauge).limit(min_history).agg(F.count(F.lit(1)).alias("n")).scalar()
+    stats = level_stats(history, gauge, ts, level, min_complete, part).filter(
+        readings >= min_history)
     return (solved(stats, gauge, LAGS, {f"lead_{h}": h for h in HORIZONS})
             .withColumnRenamed(gauge, "gauge_id"))
 
