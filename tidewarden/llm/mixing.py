@@ -20,6 +20,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewarden.llm.common import written
+
 #: Largest mean of one draw, and the counts its inverse distinguishes (the rest weighs under 1e-13).
 STEP = 8
 COUNTS = 48
@@ -74,7 +76,8 @@ def poisson_mix(docs: DataFrame, weights: DataFrame | None = None, exponent: flo
     """The documents' columns with ``copy`` (from 0) and ``shuffle_key``, a row for each copy."""
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
     kept = [c for c in docs.columns if c.lower() not in ("copy", "shuffle_key")]
-    table = rates(docs, weights, exponent, size, source).select(
+    # Written, so that Spark knows how few sources there are and need not shuffle the documents.
+    table = written(rates(docs, weights, exponent, size, source), "rates").select(
         F.struct("source", "draws", "reach").alias("__rate"))
     rated = docs.select(*kept).join(
         table, F.col(source).eqNullSafe(F.col("__rate.source")))
