@@ -138,7 +138,8 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", u
         F.count("*").alias("pages"), F.count_if(F.col("fit.verdict") == "allow").alias("allowed"),
         F.count_if(F.col("fit.verdict") == "block").alias("blocked")), "hosts")
     edges = written(link_edges(pages, url, html), "edges")
-    scores = host_scores(hosts, edges, rounds).withColumnRenamed("host", "scored")
+    scores = written(host_scores(hosts, edges, rounds), "scores").withColumnRenamed(
+        "host", "scored")
     own = F.when(F.col("distrust") > F.col("trust"), "block").otherwise("allow")
     return ruled.join(scores, F.col("host") == F.col("scored"), "left").select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"),
