@@ -16,26 +16,27 @@ NO_MESSAGE = "brak opisu"
 VALUE_TEXT = " | wartość: "
 EXPIRES_TEXT = " | wygasa: "
 UNKNOWN = "?"
-# An alert id that is neither missing nor empty.
-NAMED_ALERT = '"alert_id"\\s*:\\s*"([^"]+)"'
 
 
 def current_alerts(messages: DataFrame, arrival: str = "offset") -> DataFrame:
     """The last message of every alert id. All messages of an id are in one partition of the
     topic, so the offset orders them.
 
-    The newest message of each id is found first, and only that is parsed: an alert message's key is
-    its id, and one without a key names it in its text. Messages that name no id don't count; one
-    that names it but is no valid JSON hides the id's earlier versions.
+    An alert message's key is its id, so the newest message of each key is found first and only that
+    is parsed; what the keys leave apart, for instance messages without one, is settled by id. A
+    message that is no valid JSON, or names no id, hides the earlier ones of its key.
     """
-    text = F.make_valid_utf8(F.col("value").cast("string"))
-    named_id = F.nullif(F.regexp_extract(text, NAMED_ALERT, 1), F.lit(""))
-    key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None)
-    named = messages.select(named_id.alias("_named"), key.alias("_key"), arrival, "value").filter(
-        "_named IS NOT NULL").withColumn("_id", F.coalesce("_key", "_named"))
-    newest = Window.partitionBy("_id").orderBy(F.col(arrival).desc())
-    last = named.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1")
-    return decoded(last, ALERT, ["alert_id"]).filter("alert_id != ''")
+    keyed = messages if "key" in messages.columns else messages.withColumn(
+        "key", F.lit(None).cast("binary"))
+    last = _newest(keyed.select(F.coalesce("key", "value").alias("key"), arrival, "value"), "key",
+                   arrival)
+    alerts = decoded(last, ALERT, ["alert_id"], keep=[arrival]).filter("alert_id != ''")
+    return _newest(alerts, "alert_id", arrival).drop(arrival)
+
+
+def _newest(rows: DataFrame, key: str, arrival: str) -> DataFrame:
+    newest = Window.partitionBy(key).orderBy(F.col(arrival).desc())
+    return rows.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
 def alert_board(alerts: DataFrame) -> DataFrame:
