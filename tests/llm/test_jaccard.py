@@ -139,6 +139,32 @@ def test_the_prefix_is_shortened_until_the_recall_is_reached(spark):
     assert j.chosen_depth(pairs([(4, 0.8)] * 9)) == j.FLOOR
 
 
+def signed(spark, rows):
+    return spark.createDataFrame(
+        [(bytes([i]) * 16, np.array(row, ">u2").tobytes()) for i, row in enumerate(rows)],
+        "digest binary, signature binary")
+
+
+def test_all_texts_of_a_long_run_are_compared(spark):
+    """Alike texts that share one prefix only, with other texts between them."""
+    rng = np.random.default_rng(3)
+    alike = rng.integers(0, 60_000, j.TREES * j.DEPTH)
+    rows = [alike.copy() if i in (0, 9) else rng.integers(0, 60_000, j.TREES * j.DEPTH)
+            for i in range(10)]
+    for i, row in enumerate(rows):
+        row[:j.DEPTH] = [1, 2, 3, 4, 5, 6, 7 + i, 0]
+        row[j.DEPTH::j.DEPTH] = 60_001 + i
+    texts = signed(spark, rows)
+    ends = (bytes(16), bytes([9]) * 16)
+    assert ends not in {(r.a, r.b) for r in j.trie_pairs(texts).collect()}
+    got = {r.digest: r.family for r in j.candidate_families(texts).collect()}
+    assert {bytes(k) for k in got} == set(ends) and len(set(map(bytes, got.values()))) == 1
+    placed = texts.withColumn("family", F.col("digest"))
+    for block in (2, 100):
+        links = j.run_links(placed, 6, block=block).collect()
+        assert {tuple(sorted((bytes(r.a), bytes(r.b)))) for r in links} == {ends}
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     hub = [(1000, i) for i in range(1001, 1100)]

@@ -6,7 +6,8 @@ trie, and those with long common prefixes lie side by side. Each text is paired
 follow it. Candidates are pairs whose prefix is long enough in some tree: starting from the whole
 path, the prefix is shortened until the estimated recall reaches its target. The estimate weighs each
 pair found by the chance that its similarity had to be found at that depth; never shorter than
-``FLOOR``, where a pair at the threshold itself is found with probability 0.99999.
+``FLOOR``, where a pair at the threshold itself is found with probability 0.99999. However many texts
+share a prefix of that length in a tree, each is then compared with all of them by signatures.
 
 Candidates that the whole signatures put far below the threshold are left out. The others form
 families (connected components), and every pair of a family is then verified exactly on the shingle
@@ -45,6 +46,8 @@ NEXT = 3
 LEAST_AGREEMENT = 0.62
 #: Members of a block; a task compares two blocks.
 BLOCK = 64
+#: Texts of a block of those that share a prefix; only signatures are compared there.
+RUN_BLOCK = 256
 _SPACES = re.compile("[\x20\x09-\x0d]+")
 # Fixed: an odd base of the polynomial over bytes, its inverse modulo 2 ** 64, mixing multipliers.
 _BASE = 0x9E3779B97F4A7C15
@@ -208,6 +211,64 @@ def chosen_depth(pairs: DataFrame, target: float = RECALL, similarity: float = S
     return FLOOR
 
 
+def run_links(placed: DataFrame, depth: int, block: int = RUN_BLOCK) -> DataFrame:
+    """Columns a, b (families) that hold a candidate pair, from digest, signature and family: every
+    pair of texts that share a prefix of ``depth`` in some tree is compared, but those of one family.
+
+    A run of equal prefixes is cut into blocks, a task compares two blocks and hands on fewer rows
+    than it has families, never pairs.
+    """
+    run = F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.xxhash64(
+        t, F.call_function("substring", F.col("signature"), t * (2 * DEPTH) + 1,
+                           F.lit(2 * depth)))))
+    runs = placed.select(run.alias("run"), F.xxhash64("family").alias("of")).groupBy("run").agg(
+        F.count("*").alias("members"), F.min("of").alias("least"), F.max("of").alias("most")) \
+        .filter("least <> most").select("run", F.ceil(F.col("members") / block).cast("int").alias(
+            "blocks"))
+    units = placed.select(run.alias("run"), "digest").join(runs, "run").withColumn(
+        "block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "run", "digest", F.least("block", "other").alias("first"),
+        F.greatest("block", "other").alias("second")).join(placed, "digest")
+
+    def compare(rows: pa.Table) -> pa.Table:
+        names, of = np.unique(np.array(rows.column("family").to_pylist(), object),
+                              return_inverse=True)
+        signatures = np.frombuffer(b"".join(rows.column("signature").to_pylist()),
+                                   np.uint16).reshape(-1, TREES * DEPTH)
+        family, links = of.copy(), []
+        for x in range(len(of)):
+            others = x + 1 + np.flatnonzero(of[x + 1:] != of[x])
+            agree = np.count_nonzero(signatures[others] == signatures[x], axis=1)
+            for y in others[agree >= LEAST_AGREEMENT * TREES * DEPTH]:
+                if of[y] != of[x]:
+                    links.append((names[family[x]], names[family[y]]))
+                    of[of == of[y]] = of[x]
+        columns = list(zip(*links)) or [()] * 2
+        return pa.table({"a": pa.array(columns[0], pa.binary()),
+                         "b": pa.array(columns[1], pa.binary())})
+
+    return units.select("run", "first", "second", "family", "signature").groupBy(
+        "run", "first", "second").applyInArrow(compare, "a binary, b binary")
+
+
+def candidate_families(texts: DataFrame, target: float = RECALL, similarity: float = SIMILARITY
+                       ) -> DataFrame:
+    """Columns digest and family, of the texts (digest, signature) that are in some candidate pair."""
+    pairs = written(agreement(trie_pairs(texts), texts).filter(
+        F.col("agreement") >= LEAST_AGREEMENT), "pairs")
+    depth = chosen_depth(pairs, target, similarity)
+    near = components(pairs.filter(F.col("depth") >= depth)).select(
+        F.col("id").alias("digest"), F.col("class").alias("family"))
+    placed = written(texts.select("digest", "signature").join(near, "digest", "left").select(
+        "digest", "signature", F.coalesce("family", "digest").alias("family")), "placed")
+    merged = components(run_links(placed, depth)).select(
+        F.col("id").alias("family"), F.col("class").alias("whole"))
+    single = merged.select(F.col("family").alias("digest")).join(near, "digest", "left_anti")
+    return near.unionByName(single.withColumn("family", F.col("digest"))).join(
+        merged, "family", "left").select("digest", F.coalesce("whole", "family").alias("family"))
+
+
 #: What names a document's text: two documents of one id may differ.
 _ROW = ["no_id", "id", "text_md5"]
 
@@ -294,11 +355,7 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     sets = written(text_sets(docs, doc_id, text), "sets")
     texts = written(distinct_sets(sets), "texts")
-    pairs = written(agreement(trie_pairs(texts), texts).filter(
-        F.col("agreement") >= LEAST_AGREEMENT), "pairs")
-    depth = chosen_depth(pairs, target, similarity)
-    families = components(pairs.filter(F.col("depth") >= depth)).select(
-        F.col("id").alias("digest"), F.col("class").alias("family")).join(
+    families = candidate_families(texts, target, similarity).join(
         texts.drop("signature"), "digest")
     checked = written(verified(families, docs, similarity, doc_id, text), "checked")
     classes = components(checked.filter("digest <> root").select(
