@@ -169,6 +169,19 @@ def test_board_keeps_the_last_version_and_sorts_by_text(spark):
         "Powódź", "?", "?")
 
 
+def test_board_skips_broken_messages_of_a_key(spark):
+    """The last valid version stays, whatever came after it under the same key."""
+    alert = {"alert_id": "a", "severity": "Red", "value": 1.5}
+    for broken in (b"junk", None, {"severity": "Green"}, {"alert_id": ""}, {"alert_id": None},
+                   [{"alert_id": "a"}], b'{"alert_id": "a", "sev'):
+        messages = board_messages(spark, {"alert_id": "a"}, alert, broken).withColumn(
+            "key", F.lit(b"a"))
+        current = current_alerts(messages)
+        assert [(r.alert_id, r.severity, r.value) for r in current.collect()] == [
+            ("a", "Red", 1.5)], broken
+        assert new_alerts(current, current).count() == 0
+
+
 def test_new_alerts(spark):
     current = current_alerts(board_messages(spark, {"alert_id": "a"}, {"alert_id": "b"}))
     assert new_alerts(current, None).count() == 0

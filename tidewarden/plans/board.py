@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewarden.functions.text import (
     ALERT_TYPE_LABELS, OTHER_COLOR, SEVERITY_COLORS, SEVERITY_LABELS, looked_up, optional)
@@ -22,16 +23,15 @@ def current_alerts(messages: DataFrame, arrival: str = "offset") -> DataFrame:
     """The last message of every alert id. All messages of an id are in one partition of the
     topic, so the offset orders them.
 
-    An alert message's key is its id, so the newest message of each key is found first and only that
-    is parsed; what the keys leave apart, for instance messages without one, is settled by id. A
-    message that is no valid JSON, or names no id, hides the earlier ones of its key.
+    Only the id is read from every message; of the messages that have one, the newest of each id is
+    found, and only that is parsed in full. A message that is no valid JSON object, or names no id,
+    is skipped.
     """
-    keyed = messages if "key" in messages.columns else messages.withColumn(
-        "key", F.lit(None).cast("binary"))
-    last = _newest(keyed.select(F.coalesce("key", "value").alias("key"), arrival, "value"), "key",
-                   arrival)
-    alerts = decoded(last, ALERT, ["alert_id"], keep=[arrival]).filter("alert_id != ''")
-    return _newest(alerts, "alert_id", arrival).drop(arrival)
+    texts = messages.filter(F.ltrim(F.col("value").cast("string"), F.lit(" \t\r\n")).startswith("{"))
+    named = decoded(texts, T.StructType([ALERT["alert_id"]]), ["alert_id"],
+                    keep=[arrival, "value"]).filter("alert_id != ''")
+    last = _newest(named, "alert_id", arrival)
+    return decoded(last, ALERT, ["alert_id"])
 
 
 def _newest(rows: DataFrame, key: str, arrival: str) -> DataFrame:
