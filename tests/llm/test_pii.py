@@ -85,6 +85,16 @@ def test_votes_add_spelt_and_local_forms_and_leave_versions_alone(spark):
             assert r.spans == text
 
 
+def test_a_bracketed_at_with_a_plain_dot_is_a_candidate():
+    for form in ("jane [at] example.com", "jane(at)example.com", "jane {AT} mail.example.com"):
+        text = f"Please write to {form} today."
+        (kind, start, end, base, pattern), = pii.spans_of(text)
+        assert (kind, text[start:end], base) == (0, form, False)
+        assert pattern[1 + pii.LABELERS.index("rule")] == "+"
+    for text in ("We met at example.com today.", "jane (at) home", "look at that. Then"):
+        assert pii.spans_of(text) == []
+
+
 def test_reliabilities_are_learned(spark):
     verdicts = pii.learn(pii.candidates(documents(spark)))
     true, false = verdicts.reliability["rule"]

@@ -113,13 +113,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 _HAS_DIGIT = re.compile("[0-9]")
-_DOT_WORD = re.compile(r"[\[({ ]at[\])} ]", re.IGNORECASE)
+_AT_WORD = re.compile(r"\[at\]|\(at\)|\{at\}| at ", re.IGNORECASE)
+_BRACKETED_AT = re.compile(r"\[at\]|\(at\)|\{at\}", re.IGNORECASE)
+_PLAIN_DOMAIN = re.compile(r"[\w-]+(?:\.[\w-]+)+")
 
 
 def _loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates beyond the base: none overlaps a base span."""
     found = []
-    if "dot" in text.lower() and _DOT_WORD.search(text):
+    # What is kept below has a bracketed "at", or the word "dot" with any "at".
+    if _BRACKETED_AT.search(text) or "dot" in text.lower() and _AT_WORD.search(text):
         found += [(0, m.start(), m.end()) for m in SPELT.finditer(text) if " dot " in m[0].lower()
                   or any(mark in m[0].lower() for mark in ("[", "(", "{"))]
     if _HAS_DIGIT.search(text):
@@ -144,7 +147,9 @@ def votes(text: str, kind: int, start: int, end: int, base: bool) -> str:
     before = text[max(0, start - NEAR):start].lower()
     if kind == 0:
         top = re.split(r"[\s.\])}]+", span)[-1].lower()
-        rule, known = base or "dot" in span.lower(), top in TOP_DOMAINS
+        domain = _AT_WORD.split(span)[-1].strip()
+        rule = base or "dot" in span.lower() or bool(_PLAIN_DOMAIN.fullmatch(domain))
+        known = top in TOP_DOMAINS
     elif kind == 1:
         parts = span.split(".")
         rule, known = all(map(_small, parts)), not parts[0].startswith("0")
