@@ -141,7 +141,7 @@ def test_the_prefix_is_shortened_until_the_recall_is_reached(spark):
 
 def signed(spark, rows):
     return spark.createDataFrame(
-        [(bytes([i]) * 16, np.array(row, ">u2").tobytes()) for i, row in enumerate(rows)],
+        [(i.to_bytes(16), np.array(row, ">u2").tobytes()) for i, row in enumerate(rows)],
         "digest binary, signature binary")
 
 
@@ -155,7 +155,7 @@ def test_all_texts_of_a_long_run_are_compared(spark):
         row[:j.DEPTH] = [1, 2, 3, 4, 5, 6, 7 + i, 0]
         row[j.DEPTH::j.DEPTH] = 60_001 + i
     texts = signed(spark, rows)
-    ends = (bytes(16), bytes([9]) * 16)
+    ends = (bytes(16), (9).to_bytes(16))
     assert ends not in {(r.a, r.b) for r in j.trie_pairs(texts).collect()}
     got = {r.digest: r.family for r in j.candidate_families(texts).collect()}
     assert {bytes(k) for k in got} == set(ends) and len(set(map(bytes, got.values()))) == 1
@@ -165,6 +165,20 @@ def test_all_texts_of_a_long_run_are_compared(spark):
         assert {tuple(sorted((bytes(r.a), bytes(r.b)))) for r in links} == {ends}
 
 
+def test_a_pair_found_by_a_short_prefix_only_stays(spark):
+    """Many pairs found by whole paths make the chosen prefix long."""
+    rng = np.random.default_rng(4)
+    rows = [row for row in rng.integers(0, 60_000, (1_200, j.TREES * j.DEPTH)) for _ in range(2)]
+    last = rows[-1].copy()
+    last[4::j.DEPTH] = 60_001
+    rows[-1] = last
+    texts = signed(spark, rows)
+    pairs = j.agreement(j.trie_pairs(texts), texts)
+    assert j.chosen_depth(pairs) > pairs.agg(F.min("depth")).first()[0] == 4
+    got = {bytes(r.digest): bytes(r.family) for r in j.candidate_families(texts).collect()}
+    assert got[(2_399).to_bytes(16)] == got[(2_398).to_bytes(16)]
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     hub = [(1000, i) for i in range(1001, 1100)]

@@ -7,7 +7,8 @@ follow it. Candidates are pairs whose prefix is long enough in some tree: starti
 path, the prefix is shortened until the estimated recall reaches its target. The estimate weighs each
 pair found by the chance that its similarity had to be found at that depth; never shorter than
 ``FLOOR``, where a pair at the threshold itself is found with probability 0.99999. However many texts
-share a prefix of that length in a tree, each is then compared with all of them by signatures.
+share a prefix of that length in a tree, each is then compared with all of them by signatures; pairs
+that shorter prefixes have found stay candidates.
 
 Candidates that the whole signatures put far below the threshold are left out. The others form
 families (connected components), and every pair of a family is then verified exactly on the shingle
@@ -258,7 +259,7 @@ def candidate_families(texts: DataFrame, target: float = RECALL, similarity: flo
     pairs = written(agreement(trie_pairs(texts), texts).filter(
         F.col("agreement") >= LEAST_AGREEMENT), "pairs")
     depth = chosen_depth(pairs, target, similarity)
-    near = components(pairs.filter(F.col("depth") >= depth)).select(
+    near = components(pairs).select(
         F.col("id").alias("digest"), F.col("class").alias("family"))
     placed = written(texts.select("digest", "signature").join(near, "digest", "left").select(
         "digest", "signature", F.coalesce("family", "digest").alias("family")), "placed")
