@@ -12,6 +12,7 @@ from tidewarden.llm import sql
 from tidewarden.llm.chat import collapse_snapshots
 from tidewarden.llm.fingerprints import edited_likeness
 from tidewarden.llm.jaccard import jaccard_classes
+from tidewarden.llm.merkle import build, document_leaves, verify
 from tidewarden.llm.mixing import poisson_mix
 from tidewarden.llm.packing import pack
 from tidewarden.llm.pii import personal_spans
@@ -109,3 +110,16 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES)).select(
         "page_id", "host", "path", "rule", "verdict")
+
+
+def manifest_rows(docs: DataFrame) -> DataFrame:
+    """The manifest of documents of which every seventh, by the checksum of its id, is tampered with."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return verify(build(document_leaves(docs, tampered))).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+@register(sql.MERKLE)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_rows(table(spark, sf_dir, "documents"))

@@ -211,3 +211,61 @@ FROM ruled r LEFT JOIN trust{last} t USING (host) LEFT JOIN distrust{last} d USI
 
 
 URLS = _urls()
+
+# The checksum takes each byte and then eight bits; -1 stands for a bit.
+CRC32 = """xor(list_reduce(flatten(list_transform({codes}, lambda c: [c, -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END,
+  4294967295::BIGINT), 4294967295)"""
+
+_CODES = "list_transform(string_split({text}, ''), lambda d: ord(d)::BIGINT)"
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text"]
+    return "sha256(" + " || ".join(
+        f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+# nodes: every node of the languages' trees; names: of the tree of their roots. up and over fold a leaf.
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+         CASE WHEN {CRC32.format(codes=_CODES.format(text="doc_id::VARCHAR"))} % 7 = 0
+              THEN {_leaf("n_chars + 1")} ELSE {_leaf("n_chars")} END AS now FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, now) - 1 AS place,
+         count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+nodes AS (
+  SELECT lang, 0 AS level, place, n, leaf AS digest FROM placed
+  UNION ALL
+  SELECT lang, level + 1, place // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+  FROM nodes WHERE n > 1 GROUP BY lang, level, n, place // 2),
+names AS (
+  SELECT 0 AS level, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n,
+         lang, digest FROM nodes WHERE n = 1
+  UNION ALL
+  SELECT level + 1, place // 2, (n + 1) // 2, NULL, sha256(string_agg(digest, '' ORDER BY place))
+  FROM names WHERE n > 1 GROUP BY level, n, place // 2),
+over AS (
+  SELECT doc_id, leaf, now, lang, place, n, 0 AS level, leaf AS old, now AS folded, '' AS proof
+  FROM placed
+  UNION ALL
+  SELECT o.doc_id, o.leaf, o.now, o.lang, o.place // 2, (o.n + 1) // 2, o.level + 1, o.old,
+         sha256(CASE WHEN o.place % 2 = 1 THEN coalesce(s.digest, '') || o.folded
+                     ELSE o.folded || coalesce(s.digest, '') END), o.proof || coalesce(s.digest, '')
+  FROM over o LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM o.lang AND s.level = o.level
+                               AND s.place = xor(o.place, 1)
+  WHERE o.n > 1),
+tops AS (
+  SELECT o.doc_id, o.leaf, b.digest AS subroot, b.place, b.n, 0 AS level, o.folded, o.proof
+  FROM over o JOIN names b ON b.level = 0 AND b.lang IS NOT DISTINCT FROM o.lang WHERE o.n = 1
+  UNION ALL
+  SELECT o.doc_id, o.leaf, o.subroot, o.place // 2, (o.n + 1) // 2, o.level + 1,
+         sha256(CASE WHEN o.place % 2 = 1 THEN coalesce(s.digest, '') || o.folded
+                     ELSE o.folded || coalesce(s.digest, '') END), o.proof || coalesce(s.digest, '')
+  FROM tops o LEFT JOIN names s ON s.level = o.level AND s.place = xor(o.place, 1)
+  WHERE o.n > 1)
+SELECT doc_id, leaf, subroot, (SELECT digest FROM names WHERE n = 1) AS root,
+       sha256(proof) AS proof_sha256, folded AS folded_root,
+       folded = (SELECT digest FROM names WHERE n = 1) AS verified
+FROM tops WHERE n = 1"""
