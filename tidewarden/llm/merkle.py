@@ -153,7 +153,7 @@ def block_paths(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     paths = roots.select("tree", F.lit(0).cast("long").alias("block"),
                          F.array().cast("array<string>").alias("path"), "root")
     for blocks in reversed(steps[1:]):
-        paths = written(_mapped(blocks.join(paths, ["tree", "block"]), _child_paths,
+        paths = written(_mapped(blocks.hint("merge").join(paths, ["tree", "block"]), _child_paths,
                                 "tree string, block bigint, path array<string>, root string"), "paths")
     return steps[0], paths, roots
 
@@ -169,7 +169,8 @@ def build(leaves: DataFrame) -> DataFrame:
     name_blocks, name_paths, top = block_paths(names)
     above = _mapped(name_blocks.join(name_paths, ["tree", "block"]), _name_paths,
                     "tree string, above array<string>, whole string")
-    return blocks.join(paths.withColumnRenamed("root", "subroot"), ["tree", "block"]).join(
+    # Paths grow with the leaves, the trees' names don't as a rule: Spark checks their size.
+    return blocks.hint("merge").join(paths.withColumnRenamed("root", "subroot"), ["tree", "block"]).join(
         written(above, "names"), "tree").select(
             "tree", "block", "nodes", "n", "top", F.concat("path", "above").alias("path"),
             F.size("path").alias("inner"), "subroot", F.col("whole").alias("root"))

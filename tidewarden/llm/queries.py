@@ -18,6 +18,7 @@ from tidewarden.llm.packing import pack
 from tidewarden.llm.pii import personal_spans
 from tidewarden.llm.quality import held_out, score, train
 from tidewarden.llm.rules import rule_verdicts
+from tidewarden.llm.spelling import spelling_groups
 from tidewarden.llm.urls import rule_table, url_verdicts
 from tidewarden.llm.warc import round_trip
 
@@ -123,3 +124,9 @@ def manifest_rows(docs: DataFrame) -> DataFrame:
 @register(sql.MERKLE)
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_rows(table(spark, sf_dir, "documents"))
+
+
+@register(sql.SPELLING)
+def op12_pivotal_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents")).select(
+        "word", "form", "root", "n", "n_near", "form_n")

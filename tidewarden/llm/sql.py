@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewarden.llm import mixing, rules, urls
+from tidewarden.llm import mixing, rules, spelling, urls
 
 CHAT = """
 WITH distinct_turns AS (
@@ -269,3 +269,47 @@ SELECT doc_id, leaf, subroot, (SELECT digest FROM names WHERE n = 1) AS root,
        sha256(proof) AS proof_sha256, folded AS folded_root,
        folded = (SELECT digest FROM names WHERE n = 1) AS verified
 FROM tops WHERE n = 1"""
+
+# U+00C0 to U+00FF are the bytes 195 and 128 to 191.
+_BYTES = ("flatten(list_transform(string_split({text}, ''), lambda d: CASE WHEN ord(d) < 128 "
+          "THEN [ord(d)::BIGINT] ELSE [195, (ord(d) - 64)::BIGINT] END))")
+
+# Distances are told by the place that differs, as the built-in one counts bytes.
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, '{spelling.UPPER}', '{spelling.LOWER}') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{spelling.LETTERS}')) AS run FROM documents)
+  GROUP BY ALL),
+hashed AS (
+  SELECT *, {CRC32.format(codes=_BYTES.format(text="coalesce(doc_id::VARCHAR, '') || ':' || run"))} AS h
+  FROM runs),
+words AS (
+  SELECT CASE WHEN h % {spelling.NOISE} = 0
+              THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2)
+              ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1
+  HAVING length(word) >= {spelling.LEAST_LENGTH} AND sum(n) >= {spelling.LEAST_COUNT}),
+places AS (
+  SELECT word, unnest(range(length(word))) AS i FROM words),
+replaced AS (
+  SELECT word, substr(word, 1, i::INTEGER) || '*' || substr(word, i::INTEGER + 2) AS gap FROM places),
+deleted AS (
+  SELECT word, substr(word, 1, i::INTEGER) || substr(word, i::INTEGER + 2) AS less FROM places),
+near AS (
+  SELECT a.word, b.word AS other FROM replaced a JOIN replaced b ON a.gap = b.gap AND a.word <> b.word
+  UNION SELECT d.word, w.word FROM deleted d JOIN words w ON d.less = w.word
+  UNION SELECT w.word, d.word FROM deleted d JOIN words w ON d.less = w.word),
+ranked AS (
+  SELECT near.word, other, n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY n DESC, other) AS rank
+  FROM near JOIN words ON words.word = other),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN r.n >= 2 * w.n THEN other END AS form, CASE WHEN r.n >= 2 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.rank = 1),
+steps AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL
+  SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n FROM forms f JOIN steps s USING (word)
+JOIN forms t ON t.word = s.root WHERE t.form IS NULL"""
