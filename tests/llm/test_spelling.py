@@ -74,7 +74,7 @@ def noisy_rows(seed, letters, stems, docs):
 
 @pytest.mark.parametrize("seed, letters, stems, docs", [
     (1, "abcdefghijklmnopqrstuvwxyz", 60, 12), (2, "abé", 40, 12), (3, "ab", 30, 20),
-    (4, "aÀÿ×", 30, 20)])
+    (4, "aÀÿ×", 30, 20), (5, "abcdefgh", 500, 40)])
 def test_groups_match_all_pairs(spark, seed, letters, stems, docs):
     rows = noisy_rows(seed, letters, stems, docs)
     expected = plain(rows)
@@ -93,7 +93,7 @@ def test_odd_rows(spark):
 
 
 def test_forms_chain_to_a_root(spark):
-    rows = [(1000 + i, "abcde " * 40 + "abcdef " * 20 + "abcdefg " * 8 + "abcdefgh " * 3, "", 0, "")
+    rows = [(1002 + i, "abcde " * 40 + "abcdef " * 20 + "abcdefg " * 8 + "abcdefgh " * 3, "", 0, "")
             for i in range(3)]
     got = found(spark, rows)
     assert got == plain(rows)

@@ -5,11 +5,11 @@ over the vocabulary; its three rarest (``2 * EDITS + 1``) with all their ties ar
 those, dynamic programming chooses the two (``EDITS + 1``) disjoint ones with the least total
 frequency, its pivots. One edit spoils at most one of two disjoint grams, and of two words the pivots of
 the one whose prefix ends earlier in the ranking lie inside the other's prefix; so all prefixes are
-indexed and all pivots looked up. Position limits: the edit lies before or after the pivot, so what is
-before it is equal in both words and it has the same place from the start, or what is after it is
-equal and it has the same place from the end; lengths differ by one at most. The index key holds gram, side,
-place, length and a hash of that equal part, so a common gram at a common place is no hot key. Index rows
-hold numbers only, however long the words. Candidates are verified by their distance.
+indexed and all pivots looked up. Position limits: an edit after the first pivot leaves all up to the
+pivot's end equal, at the same place from the start, one before the second pivot all from it to the
+end, at the same place from the end; and of the rest one half is equal. The keys hash the side, the
+equal part's length and letters, and that half, so a common gram at a common place is no hot key.
+Candidates are verified by their distance.
 
 Words are maximal runs of letters (A-Z, a-z and U+00C0 to U+00FF) of whole texts, only A-Z lower-cased,
 at least ``LEAST_LENGTH`` code points long and seen ``LEAST_COUNT`` times. Every ``NOISE``-th run by a
@@ -20,11 +20,11 @@ code-point order; an empty table gives an empty result. Other columns are ignore
 
 from __future__ import annotations
 
-import hashlib
 from collections import Counter
-from collections.abc import Iterator
-from itertools import accumulate
+from collections.abc import Callable, Iterator
+from itertools import accumulate, chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from tidewarden.llm.common import ship_package, text_of, written
 
 EDITS = 1
+#: Longer words aren't carried along with their keys.
+SHORT = 64
 LEAST_LENGTH = 5
 LEAST_COUNT = 3
 NOISE = 97
@@ -83,38 +85,57 @@ def pivots_of(prefix: list[Gram]) -> list[Gram]:
         waiting.append((gram[2], chosen))
     for _, ready in waiting:
         best = [min(a, b, key=lambda c: c[0]) for a, b in zip(best, ready, strict=True)]
-    found, chain = [], best[EDITS + 1][1]
-    while chain:
-        found.append(chain[0])
-        chain = chain[1]
+    found, way = [], best[EDITS + 1][1]
+    while way:
+        found.append(way[0])
+        way = way[1]
     return found
 
 
-def _hash(so_far: int, letter: str) -> int:
-    return (so_far * BASE + ord(letter)) % MODULUS
+class Parts:
+    """Hashes of the parts [i, j) of a word, each at the same cost."""
 
+    def __init__(self, word: str) -> None:
+        self.sums = list(accumulate(word, lambda h, c: (h * BASE + ord(c)) % MODULUS, initial=0))
+        self.powers = list(accumulate(word, lambda p, _: p * BASE % MODULUS, initial=1))
 
-def _key(*parts: object) -> int:
-    text = "\x00".join(map(str, parts)).encode()
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+    def __call__(self, i: int, j: int) -> int:
+        return (self.sums[j] - self.sums[i] * self.powers[j - i]) % MODULUS
 
 
-def keys_of(word: str, counts: dict[str, int]) -> tuple[set[int], set[int]]:
-    """The keys that index a word and those that look up its neighbours."""
-    size = len(word)
-    prefix = grams_of(word, counts)
-    before = list(accumulate(word, _hash, initial=0))
-    after = list(accumulate(reversed(word), _hash, initial=0))
+def _key(side: int, kept: tuple[int, int], half: int, part: tuple[int, int], parts: Parts) -> int:
+    # Python's hash of a tuple of integers is the same in every process.
+    return hash((side, kept[1] - kept[0], parts(*kept), half, part[1] - part[0], parts(*part)))
 
-    def sides(gram: Gram) -> list[tuple]:
-        _, letters, at = gram
-        behind = size - at - 2
-        return [("<", letters, at, before[at]), (">", letters, behind, after[behind])]
 
-    index = {_key(size, *side) for gram in prefix for side in sides(gram)}
-    lookup = {_key(size + d, *side) for gram in pivots_of(prefix) for side in sides(gram)
-              for d in range(-EDITS, EDITS + 1)}
-    return index, lookup
+def _sides(at: int, size: int) -> list[tuple[int, tuple[int, int], tuple[int, int]]]:
+    """With the gram at a place: its side, the part up to (from) its end, and the rest."""
+    return [(0, (0, at + 2), (at + 2, size)), (1, (at, size), (0, at))]
+
+
+def index_keys(word: str, counts: dict[str, int]) -> set[int]:
+    """For each gram of the prefix and each side: the equal part with either half of the rest."""
+    parts, keys = Parts(word), set()
+    for _, _, at in grams_of(word, counts):
+        for side, kept, (lo, hi) in _sides(at, len(word)):
+            middle = lo + (hi - lo) // 2
+            keys.add(_key(side, kept, 0, (lo, middle), parts))
+            keys.add(_key(side, kept, 1, (middle, hi), parts))
+    return keys
+
+
+def lookup_keys(word: str, counts: dict[str, int]) -> set[int]:
+    """The keys of all neighbours whose prefix holds the word's pivots: the edit comes after the first
+    pivot or before the second, and in either half of the neighbour's rest."""
+    first, second = sorted(g[2] for g in pivots_of(grams_of(word, counts)))
+    parts, keys = Parts(word), set()
+    for side, kept, (lo, hi) in (_sides(first, len(word))[0], _sides(second, len(word))[1]):
+        for size in range(max(hi - lo - EDITS, 0), hi - lo + EDITS + 1):
+            half = size // 2
+            keys.add(_key(side, kept, 0, (lo, lo + half), parts))
+            if size - half <= hi - lo:
+                keys.add(_key(side, kept, 1, (hi - (size - half), hi), parts))
+    return keys
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,31 +156,33 @@ def near_pairs(words: DataFrame) -> DataFrame:
     # At most 90 ** 2 grams: there are 26 + 64 letters.
     counts = {r.gram: r.n for r in counted.collect()}
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                found: tuple[list, list, list] = ([], [], [])
-                for name, word in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
-                                      strict=True):
-                    for looks, made in enumerate(keys_of(word, counts)):
-                        found[0].extend([name] * len(made))
-                        found[1].extend([bool(looks)] * len(made))
-                        found[2].extend(made)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[0], pa.int64()), pa.array(found[1], pa.bool_()),
-                     pa.array(found[2], pa.int64())], names=["id", "looks", "key"])
-
-    marked = written(words.select("id", "word").mapInArrow(keys, "id long, looks boolean, key long"),
-                     "grams")
-    index = marked.filter("not looks").select("key", F.col("id").alias("other"))
-    pairs = marked.filter("looks").select("key", "id").hint("merge").join(index, "key").filter(
-        "id <> other").select(F.least("id", "other").alias("a"),
-                              F.greatest("id", "other").alias("b")).distinct()
+    def keyed(keys_of: Callable[[str, dict[str, int]], set[int]], name: str) -> DataFrame:
+        def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 1000):
+                    part = batch.slice(start, 1000)
+                    texts = part.column(1).to_pylist()
+                    made = [keys_of(word, counts) for word in texts]
+                    rows = pa.array(np.repeat(np.arange(len(made)), [len(m) for m in made]))
+                    ids = pa.array(part.column(0).to_pylist(), pa.int64())
+                    short = pa.array([w if len(w) <= SHORT else None for w in texts], pa.string())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(chain.from_iterable(made), pa.int64()), ids.take(rows), short.take(rows)],
+                        names=["key", name, f"{name}_word"])
+        return words.select("id", "word").mapInArrow(of, f"key long, {name} long, {name}_word string")
+
+    near = F.levenshtein("a_word", "b_word", EDITS) == EDITS
+    found = keyed(lookup_keys, "a").hint("merge").join(keyed(index_keys, "b"), "key").filter(
+        F.col("a") != F.col("b")).filter(near | F.isnull("a_word") | F.isnull("b_word")).select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+            (F.isnull("a_word") | F.isnull("b_word")).alias("open")).distinct()
+    found = written(found, "candidates")
+    # Index rows don't carry long words; those are looked up.
+    unread = found.filter("open").drop("open")
     for end in ("a", "b"):
-        named = words.select(F.col("id").alias(end), F.col("word").alias(f"{end}_word"))
-        pairs = pairs.hint("merge").join(named, end)
-    return pairs.filter(F.levenshtein("a_word", "b_word", EDITS) == EDITS).select("a", "b")
+        unread = unread.hint("merge").join(words.select(
+            F.col("id").alias(end), F.col("word").alias(f"{end}_word")), end)
+    return found.filter("not open").select("a", "b").union(unread.filter(near).select("a", "b"))
 
 
 def roots_of(ups: DataFrame) -> DataFrame:
