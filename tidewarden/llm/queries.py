@@ -17,6 +17,7 @@ from tidewarden.llm.mixing import poisson_mix
 from tidewarden.llm.packing import pack
 from tidewarden.llm.pii import personal_spans
 from tidewarden.llm.quality import held_out, score, train
+from tidewarden.llm.repeats import remove_repeats
 from tidewarden.llm.rules import rule_verdicts
 from tidewarden.llm.spelling import spelling_groups
 from tidewarden.llm.urls import rule_table, url_verdicts
@@ -130,3 +131,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_pivotal_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(table(spark, sf_dir, "documents")).select(
         "word", "form", "root", "n", "n_near", "form_n")
+
+
+def repeat_digests(docs: DataFrame) -> DataFrame:
+    return remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register(sql.REPEATS)
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(table(spark, sf_dir, "documents"))

@@ -313,3 +313,32 @@ steps AS (
   SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.root WHERE f.form IS NOT NULL)
 SELECT f.word, f.form, s.root, f.n, f.n_near, f.form_n FROM forms f JOIN steps s USING (word)
 JOIN forms t ON t.word = s.root WHERE t.form IS NULL"""
+
+# A word is removed if a window that starts at it or up to 49 words before it is; null ids are the smallest.
+REPEATS = """
+WITH split AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                     lambda w: w <> '') AS words FROM documents),
+places AS (
+  SELECT rid, doc_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM split),
+windows AS (
+  SELECT rid, doc_id, place, array_to_string(list_slice(words, place::INTEGER + 1, place::INTEGER + 50),
+                                             ' ') AS run
+  FROM (SELECT rid, doc_id, words, unnest(range(greatest(len(words) - 49, 0))) AS place FROM split)),
+firsts AS (
+  SELECT run, min(coalesce(doc_id, -9223372036854775808)) AS first FROM windows GROUP BY run),
+starts AS (
+  SELECT rid, place FROM windows JOIN firsts USING (run)
+  WHERE first < coalesce(doc_id, -9223372036854775808)),
+judged AS (
+  SELECT p.rid, p.word, p.place, coalesce(max(s.place) OVER (PARTITION BY p.rid ORDER BY p.place)
+                                          >= p.place - 49, false) AS gone
+  FROM places p LEFT JOIN starts s ON s.rid = p.rid AND s.place = p.place),
+kept AS (
+  SELECT rid, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY place) FILTER (NOT gone), '') AS kept
+  FROM judged GROUP BY rid)
+SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (rid)"""
