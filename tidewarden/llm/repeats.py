@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewarden.llm.common import ship_package, text_of, written
@@ -54,6 +54,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 Batches = Iterator[pa.RecordBatch]
+OWN = ("own_d", "own_rid", "own_start")
 
 
 def powers(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -368,8 +369,11 @@ class _Dealt:
         return self.rows.join(lists.hint("shuffle_hash"), "rid", how)
 
 
-def _first(*columns: str):
-    return F.min(F.struct("d", "rid", "start")).alias("own"), F.max("d").alias("last")
+def _first() -> list[Column]:
+    """The smallest document of a group, one of its rows and a place there, and the largest."""
+    # All of fixed width, so this is a hash aggregate; the row and the place are those of one input row.
+    return [F.min("d").alias("own_d"), F.min_by("rid", "d").alias("own_rid"),
+            F.min_by("start", "d").alias("own_start"), F.max("d").alias("last")]
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -391,22 +395,22 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Of each kind of context the first document; its windows, if the anchor has several kinds.
     kinds = written(contexts.groupBy("anchor", "context", "n").agg(*_first()), "kinds")
     several = kinds.groupBy("anchor").agg((F.count("*") > 1).alias("several"))
-    kinds = kinds.hint("merge").join(several, "anchor").filter("several or own.d < last")
+    kinds = kinds.hint("merge").join(several, "anchor").filter("several or own_d < last")
     placed = written(contexts.hint("merge").join(kinds, ["anchor", "context", "n"]).select(
-        "rid", "d", "start", "n", "own", "last", "several"), "placed")
-    unsettled = placed.filter("several and d = own.d")
+        "rid", "d", "start", "n", *OWN, "last", "several"), "placed")
+    unsettled = placed.filter("several and d = own_d")
     windows = dealt.with_lists(unsettled, "ranges", "start", "n").select(
         "rid", "d", "ranges", "text").mapInArrow(
             _windows(window), "hash long, d long, rid long, start long")
-    owned = windows.groupBy("hash").agg(*_first()).filter("own.d < last")
+    owned = windows.groupBy("hash").agg(*_first()).filter("own_d < last")
 
     # What is shared, with the document that keeps it.
-    copies = placed.filter("own.d < last").select("rid", "d", "start", "n", "own")
-    alike = windows.hint("merge").join(owned.select("hash", "own"), "hash").select(
-        "rid", "d", "start", F.lit(1).cast("long").alias("n"), "own")
+    copies = placed.filter("own_d < last").select("rid", "d", "start", "n", *OWN)
+    alike = windows.hint("merge").join(owned.select("hash", *OWN), "hash").select(
+        "rid", "d", "start", F.lit(1).cast("long").alias("n"), *OWN)
     items = written(copies.union(alike).select(
-        "rid", "start", "n", F.col("own.rid").alias("owner"),
-        F.expr(f"own.start div {BLOCK}").alias("block"), (F.col("d") == F.col("own.d")).alias("refers"))
+        "rid", "start", "n", F.col("own_rid").alias("owner"),
+        F.expr(f"own_start div {BLOCK}").alias("block"), (F.col("d") == F.col("own_d")).alias("refers"))
         # A document with the keeper's id neither gives nor loses anything.
         .filter("not refers or rid = owner"), "items")
 
