@@ -105,6 +105,42 @@ def test_thresholds_follow_their_group(spark):
     assert rules.rule_verdicts(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_fences_come_from_the_sketch(spark):
+    """Groups whose median is 0 have fences of their own: what is far out in one is usual in another."""
+    random.seed(6)
+
+    def text(lines, copies):
+        own = [" ".join(f"w{random.randint(0, 10 ** 9)}" for _ in range(9)) for _ in range(lines - copies)]
+        return "\n".join(own + own[:copies])
+
+    # Of one language nearly none has a repeated line, of the other every twelfth a quarter.
+    rows = [(i, text(12, 0), "en", "a", "x") for i in range(600)]
+    rows += [(1000 + i, text(12, 3 if i % 12 == 0 else 0), "de", "b", "x") for i in range(600)]
+    rows += [(2000, text(12, 3), "en", "a", "x"), (2001, text(12, 3), "de", "b", "x")]
+    rows += [(3000 + i, text(12, 2 if i < 25 else 0), "fr", "c", "x") for i in range(600)]
+    got = {r.doc_id: r for r in rules.rule_verdicts(spark.createDataFrame(rows, DOCS)).collect()}
+    fences = {(got[i].most_dup_lines, got[i].most_repeats) for i in (0, 1000, 3000)}
+    assert len(fences) == 3
+    assert not got[2000].kept and got[2001].kept
+    assert sum(r.kept for r in got.values()) == len(rows) - 1
+    # A group with too few documents for the quantile takes its language's sketch.
+    few = [(4000 + i, text(12, 0), "de", "few", "x") for i in range(20)] + [(4100, text(12, 3), "de", "few", "")]
+    got = {r.doc_id: r for r in rules.rule_verdicts(spark.createDataFrame(rows + few, DOCS)).collect()}
+    assert got[4100].kept and got[4100].most_dup_lines == got[1000].most_dup_lines
+
+
+def test_words_may_be_too_short_or_too_long(spark):
+    random.seed(7)
+
+    def text(low, high):
+        return " ".join("".join(random.choices("abcdefgh", k=random.randint(low, high))) for _ in range(80))
+
+    rows = [(i, text(4, 9), "en", "a", "") for i in range(100)]
+    rows += [(200, text(1, 3), "en", "a", ""), (201, text(20, 30), "en", "a", "")]
+    got = {r.doc_id: r.kept for r in rules.rule_verdicts(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [i for i, kept in got.items() if not kept] in ([200, 201], [201, 200])
+
+
 def test_sketch_buckets_hold_their_values(spark):
     values = [*range(300), 10 ** 6, 10 ** 12]
     df = spark.createDataFrame([(v,) for v in values], "v long").select(
@@ -199,11 +235,35 @@ def test_ranks_equal_a_plain_loop(spark):
     total = Counter()
     for (a, _), n in links.items():
         total[a] += n
-    for _ in range(urls.ROUNDS):
+    for _ in range(400):
         rank = {h: 0.15 * seed[h] + 0.85 * sum(rank[a] * n / total[a] for (a, b), n in links.items()
                                                if b == h) for h in hosts}
-    nodes = spark.createDataFrame(list(seed.items()), "host string, s double")
-    edges = spark.createDataFrame([(a, b, n / total[a]) for (a, b), n in links.items()],
-                                  "src string, dst string, share double")
-    got = {r.host: r["rank"] for r in urls.spread(nodes, edges, "s").collect()}
+    nodes = spark.createDataFrame([("k", *row) for row in seed.items()], "kind string, host string, seed double")
+    edges = spark.createDataFrame([("k", a, b, n / total[a]) for (a, b), n in links.items()],
+                                  "kind string, src string, dst string, share double")
+    got = {r.host: r["rank"] for r in urls.spread(nodes, edges, 1e-9).collect()}
     assert got == pytest.approx(rank)
+
+
+def chain(length):
+    """Each host links to the next one, and the last to a blocked one; one host apart is trusted."""
+    hosts = [f"h{i}.com" for i in range(length)] + ["bad.net"]
+    pages = [(f"http://{a}/", f'<a href="http://{b}/">x</a>') for a, b in zip(hosts, hosts[1:], strict=False)]
+    return [*pages, ("http://bad.net/", None), ("http://www.org/fr/1", None)]
+
+
+def test_distrust_reaches_the_end_of_a_chain(spark):
+    got = judged(spark, chain(16))
+    assert [got[i].verdict for i in range(18)] == ["block"] * 17 + ["allow"]
+
+
+def test_verdicts_of_a_long_chain_have_converged(spark):
+    pages = chain(60)
+    got = judged(spark, pages)
+    # Trust starts alike at all hosts but the trusted one and runs down the chain, distrust runs up.
+    trust = [0.5 / 62 * (1 - 0.85 ** (i + 1)) for i in range(60)]
+    distrust = [0.15 * 0.85 ** (60 - i) for i in range(60)]
+    assert [got[i].verdict for i in range(60)] == [
+        "block" if d > t else "allow" for t, d in zip(trust, distrust, strict=True)]
+    assert [got[i].distrust for i in range(60)] == pytest.approx(distrust, abs=1e-2 / 62)
+    assert {got[i].verdict for i in range(60)} == {"allow", "block"}

@@ -1,9 +1,11 @@
 """Quality rules with thresholds that adapt to each language and source.
 
 The base counts of a document are plain numbers of its text. The method turns them into rates, keeps
-a quantile sketch of each rate per (language, source), and rejects a document whose rate lies far
-above its own group's median. A sketch is a histogram whose buckets grow with the value (at most
-1/16 wide), so sketches merge by adding counts: a group with too few documents for a quantile takes
+a quantile sketch of each rate per (language, source) over the documents that pass the base rule, and
+rejects a document whose rate lies far above what its group's sketch holds up to a high quantile, or,
+for the length of words, far below its low one. How far is told by the sketch itself: by the distance
+of that quantile from the median. A sketch is a histogram whose buckets grow with the value (at most
+1/16 wide), so sketches merge by adding counts: a group with too few documents beyond a quantile takes
 the merged sketch of its language, and that failing, of the corpus. All of it is exact integer
 arithmetic, so the same documents give the same thresholds however they are dealt over tasks.
 
@@ -24,18 +26,23 @@ from tidewarden.llm.common import let, text_of, written
 SPACES = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
-#: Rate: numerator, its factor, denominator, least spread of a group. Symbols, repeated lines and
-#: repeated words are thousandths; the mean length of a word is hundredths of a character.
+#: Rate: numerator, its factor, denominator, and as a fraction the sketch's quantile that tells the fence.
+#: Symbols, repeated lines and repeated words are thousandths; the mean length of a word is hundredths
+#: of a character. Most documents have no repeated line or word, so for these a quantile of the few
+#: that have is read.
 RATES = {
-    "symbols": ("n_symbols", 1000, "word_chars", 20),
-    "dup_lines": ("n_dup_lines", 1000, "n_lines", 150),
-    "repeats": ("n_repeat_words", 1000, "n_words", 100),
-    "word_length": ("word_chars", 100, "n_words", 60),
+    "symbols": ("n_symbols", 1000, "word_chars", (3, 5)),
+    "dup_lines": ("n_dup_lines", 1000, "n_lines", (49, 50)),
+    "repeats": ("n_repeat_words", 1000, "n_words", (49, 50)),
+    "word_length": ("word_chars", 100, "n_words", (3, 4)),
 }
-#: A rate above median + FENCE * max(least spread, median - 5 % quantile) fails.
+#: How many times the quantile's distance from the median, or a bucket if that is wider, the fence lies
+#: beyond the quantile.
 FENCE = 4
-#: Documents that a group needs for thresholds of its own.
-LEAST_GROUP = 50
+#: Rates that may be too low as well; the low fence mirrors the high one.
+TWO_SIDED = ("word_length",)
+#: Documents that a sketch needs beyond a quantile for it to be read.
+BEYOND = 10
 
 
 def _repeat_words(words: Column) -> Column:
@@ -94,7 +101,7 @@ def base_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lan
 
 
 def _rate(name: str) -> Column:
-    above, factor, below, _ = RATES[name]
+    above, factor, below, *_ = RATES[name]
     return F.expr(f"{factor} * {above} div greatest({below}, 1)")
 
 
@@ -105,63 +112,94 @@ def bucket(value: Column) -> Column:
         "shiftleft", F.call_function("shiftright", value, shift) + 1, shift) - 1)
 
 
+def width(edge: Column) -> Column:
+    """The width of the bucket that ends at an edge."""
+    return F.when(edge < 16, F.lit(1)).otherwise(
+        F.call_function("shiftleft", F.lit(1), F.length(F.bin(edge)) - 5)).cast("long")
+
+
 def sketches(counts: DataFrame) -> DataFrame:
-    """Mergeable sketches: n by lang, source, rate and bucket, of all documents."""
+    """Mergeable sketches: n by lang, source, rate and bucket, of the documents that pass the base."""
     rates = F.explode(F.array(*[F.struct(
         F.lit(name).alias("rate"), bucket(_rate(name)).alias("edge")) for name in RATES]))
-    return counts.select("lang", "source", rates.alias("r")).groupBy(
+    return counts.filter("NOT base_failed").select("lang", "source", rates.alias("r")).groupBy(
         "lang", "source", "r.rate", "r.edge").agg(F.count("*").alias("n"))
 
 
+def _of_rate(part: int) -> Column:
+    """The numerator (0) or denominator (1) of the quantile of the rate in the column ``rate``."""
+    chosen = F.lit(None).cast("long")
+    for name, (*_, fraction) in RATES.items():
+        chosen = F.when(F.col("rate") == name, F.lit(fraction[part]).cast("long")).otherwise(chosen)
+    return chosen
+
+
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Per keys and rate: the merged sketch's documents, and the highest rate that passes."""
+    """Per keys and rate: the highest rate that passes and the lowest, and whether the merged sketch
+    holds enough documents to tell (``enough``)."""
     merged = sketch.groupBy(*keys, "rate", "edge").agg(F.sum("n").alias("n"))
     up_to = Window.partitionBy(*keys, "rate").orderBy("edge")
     whole = Window.partitionBy(*keys, "rate")
-    ranked = merged.select("*", F.sum("n").over(up_to).alias("run"),
-                           F.sum("n").over(whole).alias("docs"))
+    ranked = merged.select(
+        "*", F.sum("n").over(up_to).alias("run"), F.sum("n").over(whole).alias("docs"),
+        _of_rate(0).alias("part"), _of_rate(1).alias("of"))
+
+    def quantile(part: Column, of: Column) -> Column:
+        return F.min(F.when(of * F.col("run") >= part * F.col("docs"), F.col("edge")))
+
+    part, of = F.col("part"), F.col("of")
     quantiles = ranked.groupBy(*keys, "rate").agg(
-        F.max("docs").alias("docs"),
-        F.min(F.when(2 * F.col("run") >= F.col("docs"), F.col("edge"))).alias("median"),
-        F.min(F.when(20 * F.col("run") >= F.col("docs"), F.col("edge"))).alias("low"))
-    least = F.lit(0)
-    for name, (_, _, _, spread) in RATES.items():
-        least = F.when(F.col("rate") == name, spread).otherwise(least)
-    return quantiles.select(*keys, "rate", "docs", (F.col("median") + FENCE * F.greatest(
-        least.cast("long"), F.col("median") - F.col("low"))).alias("fence"))
-
-
-def thresholds(counts: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame:
-    """A row for each lang and source, with a column for each rate's fence."""
+        quantile(F.lit(1), F.lit(2)).alias("median"), quantile(part, of).alias("high"),
+        quantile(of - part, of).alias("low"),
+        (F.max("docs") * F.max(of - part) >= BEYOND * F.max(of)).alias("enough"))
+    return quantiles.select(
+        *keys, "rate", "enough",
+        (F.col("high") + FENCE * F.greatest(width(F.col("high")), F.col("high") - F.col("median")))
+        .alias("most"),
+        (F.col("low") - FENCE * F.greatest(width(F.col("low")), F.col("median") - F.col("low")))
+        .alias("least"))
+
+
+def thresholds(counts: DataFrame) -> DataFrame:
+    """A row for each lang and source, with columns for each rate's fences."""
     sketch = sketches(counts)
     own = fences(sketch, ["lang", "source"]).alias("own")
     of_lang = fences(sketch, ["lang"]).alias("of_lang")
     of_all = fences(sketch, []).alias("of_all")
+
+    def first_enough(fence: str) -> Column:
+        return (F.when(F.col("own.enough"), F.col(f"own.{fence}"))
+                .when(F.col("of_lang.enough"), F.col(f"of_lang.{fence}"))
+                .otherwise(F.col(f"of_all.{fence}")).alias(fence))
+
     chosen = own.join(of_lang, F.col("own.lang").eqNullSafe(F.col("of_lang.lang"))
                       & (F.col("own.rate") == F.col("of_lang.rate"))) \
         .join(of_all, F.col("own.rate") == F.col("of_all.rate")) \
-        .select("own.lang", "own.source", "own.rate",
-                F.when(F.col("own.docs") >= least_group, F.col("own.fence"))
-                .when(F.col("of_lang.docs") >= least_group, F.col("of_lang.fence"))
-                .otherwise(F.col("of_all.fence")).alias("fence"))
-    return chosen.groupBy("lang", "source").agg(*[
-        F.max(F.when(F.col("rate") == name, F.col("fence"))).alias(f"most_{name}")
-        for name in RATES])
+        .select("own.lang", "own.source", "own.rate", first_enough("most"), first_enough("least"))
+    return chosen.groupBy("lang", "source").agg(
+        *[F.max(F.when(F.col("rate") == name, F.col("most"))).alias(f"most_{name}")
+          for name in RATES],
+        *[F.max(F.when(F.col("rate") == name, F.col("least"))).alias(f"least_{name}")
+          for name in TWO_SIDED])
 
 
 def rule_verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-                  source: str = "source", least_group: int = LEAST_GROUP) -> DataFrame:
-    """The base counts, the thresholds that applied, and ``kept``; a row for each document.
+                  source: str = "source") -> DataFrame:
+    """The base counts, the thresholds that applied, and ``kept``; a row for each document. A group
+    of which no document passes the base has no thresholds.
 
     The counts are written to the shared folder once, so that the texts are read once.
     """
     counts = written(base_counts(docs, doc_id, text, lang, source), "rule-counts")
-    limits = thresholds(counts, least_group).alias("t")
+    limits = thresholds(counts).alias("t")
     c = counts.alias("c")
     joined = c.join(limits, F.col("c.lang").eqNullSafe(F.col("t.lang"))
-                    & F.col("c.source").eqNullSafe(F.col("t.source")))
+                    & F.col("c.source").eqNullSafe(F.col("t.source")), "left")
     passed = F.lit(True)
     for name in RATES:
         passed = passed & (_rate(name) <= F.col(f"most_{name}"))
-    return joined.select("c.*", *[f"most_{name}" for name in RATES],
-                         (~F.col("base_failed") & passed).alias("kept"))
+    for name in TWO_SIDED:
+        passed = passed & (_rate(name) >= F.col(f"least_{name}"))
+    fences_of = [*[f"most_{name}" for name in RATES], *[f"least_{name}" for name in TWO_SIDED]]
+    return joined.select("c.*", *fences_of, F.coalesce(
+        ~F.col("base_failed") & passed, F.lit(False)).alias("kept"))

@@ -53,23 +53,34 @@ FROM named WINDOW same AS (PARTITION BY payload_digest)"""
 
 
 def _rules() -> str:
+    parts = " ".join(f"WHEN '{k}' THEN {v[3][0]}" for k, v in rules.RATES.items())
+    ofs = " ".join(f"WHEN '{k}' THEN {v[3][1]}" for k, v in rules.RATES.items())
+    two_sided = ", ".join(f"'{name}'" for name in rules.TWO_SIDED)
+
+    def width(edge: str) -> str:
+        return f"CASE WHEN {edge} < 16 THEN 1 ELSE 1 << (len(bin({edge})) - 5) END"
+
     def fences(name: str, keys: str) -> str:
         by = f"{keys}, " if keys else ""
-        spread = " ".join(f"WHEN '{k}' THEN {v[3]}" for k, v in rules.RATES.items())
         return f"""{name} AS (
-  SELECT {by}rate, max(docs) AS docs,
-         min(edge) FILTER (2 * run >= docs) + {rules.FENCE} * greatest(
-           CASE rate {spread} END,
-           min(edge) FILTER (2 * run >= docs) - min(edge) FILTER (20 * run >= docs)) AS fence
-  FROM (SELECT *, sum(n) OVER (PARTITION BY {by}rate ORDER BY edge) AS run,
-               sum(n) OVER (PARTITION BY {by}rate) AS docs
-        FROM (SELECT {by}rate, edge, count(*) AS n FROM edges GROUP BY {by}rate, edge))
-  GROUP BY {by}rate)"""
+  SELECT {by}rate, docs * (o - part) >= {rules.BEYOND} * o AS enough,
+         high + {rules.FENCE} * greatest({width("high")}, high - median) AS most,
+         low - {rules.FENCE} * greatest({width("low")}, median - low) AS least
+  FROM (SELECT {by}rate, max(docs) AS docs, max(part) AS part, max(o) AS o,
+               min(edge) FILTER (2 * run >= docs) AS median,
+               min(edge) FILTER (o * run >= part * docs) AS high,
+               min(edge) FILTER (o * run >= (o - part) * docs) AS low
+        FROM (SELECT *, sum(n) OVER (PARTITION BY {by}rate ORDER BY edge) AS run,
+                     sum(n) OVER (PARTITION BY {by}rate) AS docs,
+                     CASE rate {parts} END AS part, CASE rate {ofs} END AS o
+              FROM (SELECT {by}rate, edge, count(*) AS n FROM edges WHERE NOT base_failed
+                    GROUP BY {by}rate, edge))
+        GROUP BY {by}rate))"""
 
     rates = " UNION ALL ".join(
-        f"SELECT doc_id, lang, source, '{name}' AS rate, "
+        f"SELECT doc_id, lang, source, base_failed, '{name}' AS rate, "
         f"{factor} * {above} // greatest({below}, 1) AS v FROM counts"
-        for name, (above, factor, below, _) in rules.RATES.items())
+        for name, (above, factor, below, *_) in rules.RATES.items())
     return f"""
 WITH split AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS text,
@@ -91,29 +102,29 @@ counts AS (
          coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
          len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
-         coalesce(n_repeat_words, 0) AS n_repeat_words
+         coalesce(n_repeat_words, 0) AS n_repeat_words,
+         len(words) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(words) AS base_failed
   FROM split LEFT JOIN repeats USING (doc_id)),
 rates AS ({rates}),
 edges AS (
-  SELECT doc_id, lang, source, rate, v,
+  SELECT doc_id, lang, source, base_failed, rate, v,
          CASE WHEN v < 16 THEN v
               ELSE (((v >> (len(bin(v)) - 5)) + 1) << (len(bin(v)) - 5)) - 1 END AS edge
   FROM rates),
 {fences("own", "lang, source")},
 {fences("of_lang", "lang")},
 {fences("of_all", "")},
-high AS (
+beyond AS (
   SELECT DISTINCT e.doc_id FROM edges e
   JOIN own o ON e.lang IS NOT DISTINCT FROM o.lang AND e.source IS NOT DISTINCT FROM o.source
        AND e.rate = o.rate
   JOIN of_lang l ON e.lang IS NOT DISTINCT FROM l.lang AND e.rate = l.rate
   JOIN of_all a ON e.rate = a.rate
-  WHERE e.v > CASE WHEN o.docs >= {rules.LEAST_GROUP} THEN o.fence
-                   WHEN l.docs >= {rules.LEAST_GROUP} THEN l.fence ELSE a.fence END)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-         AND doc_id NOT IN (SELECT doc_id FROM high) AS kept
+  WHERE e.v > CASE WHEN o.enough THEN o.most WHEN l.enough THEN l.most ELSE a.most END
+     OR e.rate IN ({two_sided})
+        AND e.v < CASE WHEN o.enough THEN o.least WHEN l.enough THEN l.least ELSE a.least END)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM beyond) AS kept
 FROM counts"""
 
 
@@ -150,18 +161,6 @@ def _urls() -> str:
               ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
     values = ", ".join(f"('{v}', '{h}', '{p}', '{h}{p}')" for v, h, p in listed)
 
-    def rounds(name: str, seed: str, src: str, dst: str) -> str:
-        steps = [f"{name}0 AS (SELECT host, {seed} AS seed, {seed} AS rank FROM nodes)"]
-        for i in range(1, urls.ROUNDS + 1):
-            steps.append(f"""{name}{i} AS (
-  SELECT host, seed, {urls.DAMPING} * coalesce(got, 0) + {1 - urls.DAMPING} * seed AS rank
-  FROM {name}{i - 1} LEFT JOIN (
-    SELECT {dst} AS host, sum(rank * links / total) AS got
-    FROM {name}{i - 1} JOIN edges ON host = {src}
-    JOIN (SELECT {src} AS of, sum(links) AS total FROM edges GROUP BY of) ON of = {src}
-    GROUP BY {dst}) USING (host))""")
-        return ",\n".join(steps)
-
     def rest(url: str) -> str:
         return (f"CASE WHEN instr({url}, '://') > 0 "
                 f"THEN substr({url}, instr({url}, '://') + 3) ELSE '' END")
@@ -170,9 +169,8 @@ def _urls() -> str:
         return host.replace("rest({0})", rest(url))
 
     link = "(?i)\\b(?:href|src)\\s*=\\s*[\"'']?\\s*((?:https?:)?//[^\"''\\s<>]+)"
-    last = urls.ROUNDS
     return f"""
-WITH placed AS (
+WITH RECURSIVE placed AS (
   SELECT page_id, coalesce({host_sql("url")}, '') AS host,
          coalesce(regexp_extract({rest("url")}, '^[^/?#]*([^?#]*)', 1), '') AS path, html
   FROM pages),
@@ -203,11 +201,30 @@ nodes AS (
                         {1 - urls.EVEN} / (SELECT count(*) FROM hosts))
                + {urls.EVEN} / (SELECT count(*) FROM hosts) AS good,
          coalesce(bad / nullif((SELECT sum(bad) FROM hosts), 0), 0) AS bad FROM hosts),
-{rounds("trust", "good", "src", "dst")},
-{rounds("distrust", "bad", "dst", "src")}
+shares AS (
+  SELECT 'trust' AS kind, src, dst, links / sum(links) OVER (PARTITION BY src) AS share FROM edges
+  UNION ALL
+  SELECT 'distrust', dst, src, links / sum(links) OVER (PARTITION BY dst) FROM edges),
+-- old: the rank before; moved: the largest change of the round.
+ranks AS (
+  SELECT 0 AS round, 'trust' AS kind, host, good AS seed, good AS rank, 1e300 AS moved FROM nodes
+  UNION ALL SELECT 0, 'distrust', host, bad, bad, 1e300 FROM nodes
+  UNION ALL
+  SELECT round, kind, host, seed, rank, max(abs(rank - old)) OVER ()
+  FROM (SELECT max(round) + 1 AS round, kind, host, max(seed) AS seed, max(old) AS old,
+               {urls.DAMPING} * sum(got) + {1 - urls.DAMPING} * max(seed) AS rank
+        FROM (SELECT round, kind, host, seed, rank AS old, 0.0 AS got FROM ranks
+              WHERE moved > {urls.TOLERANCE} / (SELECT count(*) FROM nodes)
+              UNION ALL
+              SELECT r.round, kind, dst, NULL, NULL, r.rank * share
+              FROM ranks r JOIN shares USING (kind) WHERE r.host = src
+              AND moved > {urls.TOLERANCE} / (SELECT count(*) FROM nodes))
+        GROUP BY kind, host)),
+last AS (SELECT kind, host, rank FROM ranks WHERE round = (SELECT max(round) FROM ranks))
 SELECT page_id, r.host, path, rule,
        coalesce(verdict, CASE WHEN d.rank > t.rank THEN 'block' ELSE 'allow' END) AS verdict
-FROM ruled r LEFT JOIN trust{last} t USING (host) LEFT JOIN distrust{last} d USING (host)"""
+FROM ruled r LEFT JOIN last t ON t.kind = 'trust' AND t.host = r.host
+LEFT JOIN last d ON d.kind = 'distrust' AND d.host = r.host"""
 
 
 URLS = _urls()

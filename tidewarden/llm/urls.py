@@ -29,7 +29,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Links with a host of their own in html.
 LINK = "(?i)\\b(?:href|src)\\s*=\\s*[\"']?\\s*((?:https?:)?//[^\"'\\s<>]+)"
 DAMPING = 0.85
-ROUNDS = 10
+#: The ranks are done when none moves by more than this share of an even rank, 1 / hosts, in a round.
+TOLERANCE = 1e-3
+#: Rounds between two writes of the ranks and looks at their changes.
+STRIDE = 4
 #: Share of the trust that starts at every host alike.
 EVEN = 0.5
 
@@ -80,21 +83,26 @@ def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         F.count("*").alias("links"))
 
 
-def spread(nodes: DataFrame, edges: DataFrame, seed: str, rounds: int = ROUNDS,
+def spread(nodes: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE,
            damping: float = DAMPING) -> DataFrame:
-    """Personalised PageRank: columns host and rank, of ``nodes`` (host and a seed that sums to 1,
-    or to 0 if there are no seeds) over ``edges`` (src, dst, share: each source's shares sum to 1).
-    What a host without links would pass on is lost."""
-    ranks = nodes.select("host", F.col(seed).alias("seed"), F.col(seed).alias("rank"))
-    for done in range(1, rounds + 1):
-        passed = ranks.join(edges, ranks.host == edges.src).groupBy("dst").agg(
-            F.sum(F.col("rank") * F.col("share")).alias("got"))
-        ranks = ranks.join(passed, ranks.host == passed.dst, "left").select(
-            "host", "seed", (damping * F.coalesce(F.col("got"), F.lit(0.0))
-                             + (1 - damping) * F.col("seed")).alias("rank"))
-        if done % 2 == 0 and done < rounds:
-            ranks = written(ranks, "ranks")
-    return ranks.select("host", "rank")
+    """Personalised PageRank of several kinds at once: columns kind, host and rank, of ``nodes``
+    (kind, host, and a seed that sums to 1 for a kind, or to 0 if it has no seeds) over ``edges``
+    (kind, src, dst, share: each source's shares sum to 1). What a host without links would pass on is
+    lost. Changes shrink by the damping at least, so the rounds end, after about (log hosts + 7) / 0.16
+    of them."""
+    ranks = nodes.select("kind", "host", "seed", F.col("seed").alias("rank"))
+    bound = tolerance / max(nodes.select("host").distinct().count(), 1)
+    moved = float("inf")
+    while moved > bound:
+        for _ in range(STRIDE):
+            passed = ranks.join(edges.withColumnRenamed("src", "host"), ["kind", "host"]).groupBy(
+                "kind", F.col("dst").alias("host")).agg(F.sum(F.col("rank") * F.col("share")).alias("got"))
+            ranks = ranks.join(passed, ["kind", "host"], "left").select(
+                "kind", "host", "seed", F.col("rank").alias("old"),
+                (damping * F.coalesce("got", F.lit(0.0)) + (1 - damping) * F.col("seed")).alias("rank"))
+        ranks = written(ranks, "ranks")
+        moved = ranks.agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0] or 0.0
+    return ranks.select("kind", "host", "rank")
 
 
 def _shares(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -104,7 +112,7 @@ def _shares(edges: DataFrame, src: str, dst: str) -> DataFrame:
         (F.col("links") / F.col("total")).alias("share"))
 
 
-def host_scores(hosts: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def host_scores(hosts: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Columns host, trust, distrust of hosts (host, pages, allowed, blocked)."""
     linked = edges.select(F.col("src").alias("host")).union(edges.select("dst")).distinct()
     known = linked.join(hosts.select("host"), "host", "left_anti").select(
@@ -116,17 +124,19 @@ def host_scores(hosts: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> Dat
     goods, bads, n = marked.agg(F.sum("good"), F.sum("bad"), F.count("*")).first()
     even = 1.0 / max(n, 1)
     good = F.col("good") / goods if goods else F.lit(even)
-    nodes = written(marked.select(
-        "host", ((1 - EVEN) * good + EVEN * even).alias("good"),
-        (F.col("bad") / bads if bads else F.lit(0.0)).alias("bad")), "seeds")
-    trust = spread(nodes, written(_shares(edges, "src", "dst"), "links"), "good", rounds)
-    distrust = spread(nodes, written(_shares(edges, "dst", "src"), "back-links"), "bad", rounds)
-    return trust.withColumnRenamed("rank", "trust").join(
-        distrust.withColumnRenamed("rank", "distrust"), "host")
+    bad = F.col("bad") / bads if bads else F.lit(0.0)
+    seeds = F.array(F.struct(F.lit("trust").alias("kind"), ((1 - EVEN) * good + EVEN * even).alias("seed")),
+                    F.struct(F.lit("distrust").alias("kind"), bad.alias("seed")))
+    nodes = written(marked.select("host", F.inline(seeds)), "seeds")
+    links = written(_shares(edges, "src", "dst").withColumn("kind", F.lit("trust")).unionByName(
+        _shares(edges, "dst", "src").withColumn("kind", F.lit("distrust"))), "links")
+    return spread(nodes, links, tolerance).groupBy("host").agg(*[
+        F.max(F.when(F.col("kind") == kind, F.col("rank"))).alias(kind)
+        for kind in ("trust", "distrust")])
 
 
 def url_verdicts(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str = "url",
-                 html: str = "html", rounds: int = ROUNDS) -> DataFrame:
+                 html: str = "html", tolerance: float = TOLERANCE) -> DataFrame:
     """Columns page_id, host, path, rule, verdict, trust and distrust; a row for each page."""
     placed = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"),
                           path_of(F.col(url)).alias("path"))
@@ -138,7 +148,7 @@ def url_verdicts(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", u
         F.count("*").alias("pages"), F.count_if(F.col("fit.verdict") == "allow").alias("allowed"),
         F.count_if(F.col("fit.verdict") == "block").alias("blocked")), "hosts")
     edges = written(link_edges(pages, url, html), "edges")
-    scores = written(host_scores(hosts, edges, rounds), "scores").withColumnRenamed(
+    scores = written(host_scores(hosts, edges, tolerance), "scores").withColumnRenamed(
         "host", "scored")
     own = F.when(F.col("distrust") > F.col("trust"), "block").otherwise("allow")
     return ruled.join(scores, F.col("host") == F.col("scored"), "left").select(
