@@ -85,3 +85,72 @@ def test_contradicting_and_null_labels_are_not_trusted(spark):
                                  "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1), (1, 0), (3, None), (None, 1)], "doc_id long, quality int")
     assert q.train(docs, labels).prior == 0.5
+
+
+def plain_risk(w, p, u, prior):
+    """The non-negative unbiased risk of linear coefficients, written out."""
+    def loss(z):
+        return np.log1p(np.exp(-z))
+
+    of_negatives = np.mean([loss(-z) for z in u @ w]) - prior * np.mean([loss(-z) for z in p @ w])
+    return prior * np.mean([loss(z) for z in p @ w]) + max(0.0, of_negatives)
+
+
+def test_fit_has_the_least_risk():
+    """No coefficients near the fitted ones, nor a plain search from zero, do better."""
+    chance = np.random.default_rng(8)
+    positives, unlabelled = blobs(400, 1, 5), np.vstack([blobs(200, 1, 6), blobs(200, -1, 7)])
+    model = q.fit(positives, unlabelled, prior=0.5, rounds=1500)
+    p, u = (q._one(model.scaled(rows)).astype(float) for rows in (positives, unlabelled))
+
+    def goal(w):
+        return plain_risk(w, p, u, 0.5) + q.DECAY / 2 * (w[:-1] ** 2).sum()
+
+    best = np.append(model.weights, model.bias).astype(float)
+    assert all(goal(best) <= goal(best + chance.normal(0, s, 5)) + 1e-4
+               for s in (0.01, 0.1, 1.0) for _ in range(100))
+    w = np.zeros(5)
+    for _ in range(3000):
+        step = w + chance.normal(0, 0.1, 5)
+        w = step if goal(step) < goal(w) else w
+    assert goal(best) <= goal(w) + 1e-3
+
+
+def test_scores_are_those_of_the_written_out_model(judged):
+    docs, _, model, scored = judged
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in scored.limit(50).collect():
+        z = sum(float(w) * min(max((float(x) - float(c)) / float(s), -8), 8) for w, x, c, s in zip(
+            model.weights, q.features(texts[r.doc_id]), model.centre, model.scale, strict=True)) + model.bias
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+
+@pytest.mark.parametrize("sample", [100, q.SAMPLE])
+def test_repeated_rows_change_nothing(spark, judged, sample):
+    docs, labels, _, _ = judged
+    once = q.train(docs, labels, sample)
+    for times in (2, 6):
+        again = q.train(docs.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(times)))), labels, sample)
+        assert again.prior == pytest.approx(once.prior) and np.array_equal(again.weights, once.weights)
+
+
+def test_all_documents_labelled(spark, judged):
+    docs, labels, model, _ = judged
+    told = docs.join(labels, "doc_id", "left").select(
+        "doc_id", F.coalesce("quality", F.expr("doc_id % 3 > 0").cast("int")).alias("quality"))
+    full = q.train(docs, told)
+    scored = q.score(docs, full).join(labels, "doc_id").collect()
+    assert 0.02 < full.prior < 0.98
+    assert np.mean([r.predicted == r.quality for r in scored]) > 0.9
+
+
+def test_prior_counts_all_documents(spark):
+    """The share above each cut, against one model applied in plain Python."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(300).cache()
+    chance = np.random.default_rng(3)
+    model = q._blank()
+    w = chance.normal(0, 1, q.FEATURES + 1).astype(np.float32)
+    z = np.array([float(q._one(model.scaled(q.features(r.text or "")[None])) @ w) for r in docs.collect()])
+    cuts = np.sort(z[::7]) + 1e-4
+    below, total = q._below(docs, model, w, cuts)
+    assert total == 300 and np.abs(below - np.searchsorted(np.sort(z), cuts)).max() <= 1

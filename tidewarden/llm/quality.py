@@ -5,13 +5,17 @@ words and lines is fitted to trusted positives and unlabelled texts alone: it mi
 non-negative unbiased risk  prior * R_pos(+) + max(0, R_unl(-) - prior * R_pos(-))  with the logistic
 loss; while the second part is negative, its gradient is turned round. The class prior is estimated
 first: of a model that tells positives from unlabelled texts, the least ratio of the unlabelled to
-the positive share above a cut, on texts that it wasn't fitted to.
+the positive share above a cut. Texts are halved by their hash, so copies stay together: that model is
+fitted to one half, and the shares are those of the other half, of the sampled positives and of all
+documents, counted in Spark.
 
-The model is fitted on the driver to at most ``SAMPLE`` trusted and ``SAMPLE`` unlabelled texts, those
-with the smallest hashed ids; every text is scored, whole. Text is the only input of a score.
+The unlabelled texts are documents of all kinds, labelled ones too, with their labels unread. The model
+is fitted on the driver to at most ``SAMPLE`` trusted and ``SAMPLE`` unlabelled texts, those with the
+smallest hashed ids; every text is scored, whole. Text is the only input of a score.
 
 A null text is empty; empty texts have a score like all others. Labels that are null, or that
-contradict each other for one id, are not trusted. Repeated rows get a row and the same score each.
+contradict each other for one id, are not trusted. Repeated rows get a row and the same score each; of
+an id's texts the first in order is learned from.
 Without trusted or unlabelled texts there is no model, and every score is the prior, 0.5. An empty
 table gives an empty result; other columns are ignored, whatever their names.
 """
@@ -121,24 +125,44 @@ def _one(rows: np.ndarray) -> np.ndarray:
     return np.hstack([rows, np.ones((len(rows), 1), rows.dtype)])
 
 
+def telling(p: np.ndarray, u: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+    """Coefficients that tell positives from unlabelled rows."""
+    def gradient(w: np.ndarray) -> np.ndarray:
+        return (p.T @ (_sigmoid(p @ w) - 1) / len(p) + u.T @ _sigmoid(u @ w) / len(u)) / 2
+
+    return _descend(p.shape[1], gradient, rounds)
+
+
+def cuts_of(of_p: np.ndarray) -> np.ndarray:
+    """Cuts that leave enough of the positives above them, in order."""
+    return np.sort(of_p)[: max(1, int(0.9 * len(of_p)))]
+
+
+def least_ratio(of_p: np.ndarray, cuts: np.ndarray, below: np.ndarray, total: int) -> float:
+    """The least share ratio above a cut; ``below`` are the unlabelled rows before each cut."""
+    above_p = 1 - np.searchsorted(np.sort(of_p), cuts) / len(of_p)
+    above_u = 1 - below / total
+    # The slack is that of both shares.
+    slack = np.sqrt(np.log(20) / 2 / len(of_p)) + np.sqrt(np.log(20) / 2 / total)
+    best = np.argmin((above_u + slack) / above_p)
+    return float(np.clip(above_u[best] / above_p[best], 0.02, 0.98))
+
+
 def class_prior(positives: np.ndarray, unlabelled: np.ndarray, rounds: int = ROUNDS) -> float:
     """The share of positives among the unlabelled: fitted on the even rows, read off the odd."""
     p, u, p_test, u_test = positives[::2], unlabelled[::2], positives[1::2], unlabelled[1::2]
     if not (len(p_test) and len(u_test)):
         return 0.5
+    w = telling(p, u, rounds)
+    cuts = cuts_of(p_test @ w)
+    return least_ratio(p_test @ w, cuts, np.searchsorted(np.sort(u_test @ w), cuts), len(u_test))
 
-    def gradient(w: np.ndarray) -> np.ndarray:
-        return (p.T @ (_sigmoid(p @ w) - 1) / len(p) + u.T @ _sigmoid(u @ w) / len(u)) / 2
 
-    w = _descend(p.shape[1], gradient, rounds)
-    of_p, of_u = np.sort(p_test @ w), np.sort(u_test @ w)
-    # Cuts that leave enough positives above them; the slack is that of both shares.
-    cuts = of_p[: max(1, int(0.9 * len(of_p)))]
-    above_p = 1 - np.searchsorted(of_p, cuts) / len(of_p)
-    above_u = 1 - np.searchsorted(of_u, cuts) / len(of_u)
-    slack = np.sqrt(np.log(20) / 2 / len(of_p)) + np.sqrt(np.log(20) / 2 / len(of_u))
-    best = np.argmin((above_u + slack) / above_p)
-    return float(np.clip(above_u[best] / above_p[best], 0.02, 0.98))
+def scaling(positives: np.ndarray, unlabelled: np.ndarray) -> Model:
+    """A model without weights that knows centre and scale of its features."""
+    model, pooled = _blank(), np.vstack([positives, unlabelled])
+    model.centre, model.scale = pooled.mean(0), pooled.std(0) + 1e-3
+    return model
 
 
 def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float | None = None,
@@ -146,9 +170,7 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float | None = Non
     """The model of the least non-negative risk; rows are features of texts."""
     if not (len(positives) and len(unlabelled)):
         return _blank()
-    pooled = np.vstack([positives, unlabelled])
-    model = _blank()
-    model.centre, model.scale = pooled.mean(0), pooled.std(0) + 1e-3
+    model = scaling(positives, unlabelled)
     p, u = _one(model.scaled(positives)), _one(model.scaled(unlabelled))
     model.prior = prior = class_prior(p, u, rounds) if prior is None else prior
 
@@ -183,27 +205,57 @@ def _features_of(docs: DataFrame, keep: list[str]) -> DataFrame:
     return docs.select("text", *keep).mapInArrow(of, f"{kinds}, features binary")
 
 
+def _below(docs: DataFrame, model: Model, w: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many of the documents' texts lie before each cut, and how many there are."""
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = np.stack([features(t or "") for t in batch.column(0).to_pylist()])
+            at = np.searchsorted(cuts, _one(model.scaled(rows)) @ w, "right")
+            places, n = np.unique(at, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(n, pa.int64())],
+                                             names=["at", "n"])
+
+    counted = docs.select("text").mapInArrow(of, "at long, n long").groupBy("at").agg(F.sum("n"))
+    # A row for each cut at most.
+    n = np.zeros(len(cuts) + 1, np.int64)
+    for at, count in counted.collect():
+        n[at] = count
+    return np.cumsum(n)[:-1], int(n.sum())
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id",
-          text: str = "text", quality: str = "quality") -> Model:
+          text: str = "text", quality: str = "quality", rounds: int = ROUNDS) -> Model:
     """Fits the model; labels of held-out rows are not read."""
     mark = F.xxhash64("doc_id", F.lit("quality sample"))
-    ids = docs.select(F.col(doc_id).alias("doc_id")).filter(
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(
         F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+    second = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(2)) == 1
     judged = labels.select(F.col(doc_id).alias("doc_id"), F.col(quality).alias("quality")).filter(
         F.col("doc_id").isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(
         F.min("quality").alias("quality"))
+    ids = rows.select("doc_id").distinct()
     trusted = ids.join(judged.filter("quality = 1"), "doc_id", "left_semi")
-    free = ids.join(judged, "doc_id", "left_anti")
-    # At most ``sample`` ids each.
-    chosen = trusted.distinct().orderBy(mark).limit(sample).withColumn("trusted", F.lit(True)) \
-        .union(free.distinct().orderBy(mark).limit(sample).withColumn("trusted", F.lit(False)))
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), "doc_id")
-    found = _features_of(texts, ["doc_id", "trusted"]).orderBy("doc_id").limit(4 * sample).collect()
-    rows = np.frombuffer(b"".join(bytes(r["features"]) for r in found), np.float32).reshape(
+    # At most ``sample`` ids each; an id may be in both.
+    chosen = trusted.orderBy(mark).limit(sample).withColumn("trusted", F.lit(True)).union(
+        ids.orderBy(mark).limit(sample).withColumn("trusted", F.lit(False))).groupBy("doc_id").agg(
+        F.max("trusted").alias("trusted"), (~F.min("trusted")).alias("free"))
+    texts = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "trusted", "free").agg(
+        F.min("text").alias("text")).withColumn("second", second)
+    found = sorted(_features_of(texts, ["doc_id", "trusted", "free", "second"]).collect())
+    all_rows = np.frombuffer(b"".join(bytes(r["features"]) for r in found), np.float32).reshape(
         -1, FEATURES)
-    is_trusted = np.array([r["trusted"] for r in found], bool)
-    return fit(rows[is_trusted], rows[~is_trusted])
+    is_p, is_u, later = (np.array([r[c] for r in found], bool) for c in ("trusted", "free", "second"))
+    positives, unlabelled = all_rows[is_p], all_rows[is_u]
+    if not all(len(part) for part in (all_rows[is_p & later], all_rows[is_p & ~later],
+                                      all_rows[is_u & ~later])):
+        return fit(positives, unlabelled, 0.5, rounds)
+    model = scaling(positives, unlabelled)
+    w = telling(_one(model.scaled(all_rows[is_p & ~later])), _one(model.scaled(all_rows[is_u & ~later])),
+                rounds)
+    of_p = _one(model.scaled(all_rows[is_p & later])) @ w
+    cuts = cuts_of(of_p)
+    prior = least_ratio(of_p, cuts, *_below(rows.filter(second), model, w, cuts))
+    return fit(positives, unlabelled, prior, rounds)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "text") -> DataFrame:
