@@ -7,6 +7,8 @@ documents; the last returns the packed pieces.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +21,28 @@ from tidewarden.llm.quality import score, train
 from tidewarden.llm.queries import tokeniser_path
 
 
+def with_own_columns(docs: DataFrame, added: tuple[str, ...],
+                     step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step`` of the documents, in their own columns; those of the names that the step adds wait
+    under others meanwhile."""
+    taken = {c.lower() for c in docs.columns}
+    waiting = {}
+    for name in docs.columns:
+        if name.lower() in added:
+            spare = f"{name}_own"
+            while spare.lower() in taken:
+                spare += "_own"
+            taken.add(spare.lower())
+            waiting[name] = spare
+    after = step(docs.withColumnsRenamed(waiting))
+    return after.select(*[F.col(waiting.get(c, c)).alias(c) for c in docs.columns])
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts to be good."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score(docs, model).filter("predicted = 1").select(*docs.columns)
+    return with_own_columns(docs, ("score", "predicted"),
+                            lambda rows: score(rows, model).filter("predicted = 1"))
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +60,7 @@ def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of documents, so that sources have tempered shares, globally shuffled."""
-    return poisson_mix(docs).select(*docs.columns)
+    return with_own_columns(docs, ("copy", "shuffle_key"), poisson_mix)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
