@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from checks.standins import (
@@ -16,10 +18,12 @@ from tidewarden.operators.series import (
     bucket_means, key_list, last_seen, series_summary, trailing_series, warnings_of)
 from tidewarden.plans import board, views
 from tidewarden.plans import forecast as plans
-from tidewarden.schemas import HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS
+from tidewarden.schemas import HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, SYNOP_MEASUREMENTS
 from tidewarden.session import shared_folder
-from tidewarden.sources.latest import read_latest, update_latest
+from tidewarden.sources.latest import (
+    last_seen_of_table, latest_of_table, read_latest, update_latest)
 from tidewarden.sources.stations import build_stations, combined_stations, write_stations
+from tidewarden.sources.tables import create_tables, insert_absent
 
 NOW = f"TIMESTAMP '{AS_OF}'"
 LAST_DAY = f"BETWEEN {NOW} - INTERVAL 24 HOUR AND {NOW}"
@@ -249,6 +253,46 @@ def recent_three_of_table(spark, sf_dir):
         "gauge_id", "measurement_timestamp", "water_level_cm"))
 
 
+# Every fifth key fell silent before the tenth, every seventh has been dead for most of the time;
+# the readings after the instant asked for are in the future for it.
+_SILENT = "(user_id % 5 <> 0 OR ts < TIMESTAMP '2024-01-10') AND (user_id % 7 <> 0 OR ts < TIMESTAMP '2024-01-03')"
+
+
+def _stored(spark, rows, spec):
+    """The rows stored in two batches, the older one last, with the latest rows kept."""
+    root = shared_folder(spark, "stored")
+    create_tables(spark, root, [spec])
+    rows = zoned(rows)
+    newer = F.col("measurement_timestamp") >= "2024-01-15"
+    for part in (rows.filter(newer), rows.filter(~newer)):
+        insert_absent(part, root, spec)
+        update_latest(part, root, spec)
+    return root
+
+
+@check(f"""
+WITH {SYNOP.replace("FROM events", f"FROM events WHERE {_SILENT}")}
+SELECT DISTINCT ON (station_id) * FROM synop
+WHERE measurement_timestamp <= {NOW} ORDER BY station_id, measurement_timestamp DESC""")
+def latest_weather_of_table(spark, sf_dir):
+    """Stations whose kept rows are in the future or that fell silent long ago."""
+    root = _stored(spark, synop(events(spark, sf_dir).filter(_SILENT)), SYNOP_MEASUREMENTS)
+    return zoneless(latest_of_table(spark, root, SYNOP_MEASUREMENTS, AS_OF))
+
+
+@check(f"""
+WITH {HYDRO.replace("FROM events", f"FROM events WHERE {_SILENT}")}, {HYDRO_STATIONS}
+SELECT gauge_id, max(measurement_timestamp) AS last_ts FROM hydro
+WHERE measurement_timestamp <= {NOW} AND measurement_timestamp >= TIMESTAMP '2024-01-05'
+AND gauge_id IN (SELECT id FROM hydro_stations) GROUP BY gauge_id""")
+def last_seen_of_stations(spark, sf_dir):
+    """Gauges of the dictionary, some without any reading since the oldest day asked for."""
+    root = _stored(spark, hydro(events(spark, sf_dir).filter(_SILENT)), HYDRO_MEASUREMENTS)
+    return zoneless(last_seen_of_table(
+        spark, root, HYDRO_MEASUREMENTS, AS_OF, stations(spark, sf_dir, "hydro").select("id"),
+        oldest=date(2024, 1, 5)))
+
+
 @check(f"""
 WITH {HYDRO}
 SELECT gauge_id, measurement_timestamp, water_level_cm FROM hydro ORDER BY measurement_timestamp
