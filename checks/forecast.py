@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.standins import (
-    AS_OF, HYDRO, check, events, events_stream, hydro, levels, messages, zoneless)
+    AS_OF, HYDRO, check, events, events_stream, hydro, levels, messages, zoned, zoneless)
 from tidewarden.operators.features import lag_lead
 from tidewarden.plans import forecast as plans
-from tidewarden.schemas import HYDRO_PREDICTIONS
+from tidewarden.plans.training import models_from_days, read_days_of_levels, update_days
+from tidewarden.schemas import HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS
 from tidewarden.session import shared_folder
-from tidewarden.sources.tables import read_table
+from tidewarden.sources.tables import create_tables, insert_absent, read_table
 from tidewarden.streaming.jobs import start_history_job, start_scoring_job
 
 
@@ -116,6 +117,21 @@ def level_models(spark, sf_dir):
     return _rounded(plans.train_level_models(_levels(spark, sf_dir)))
 
 
+@check(_ROUNDED_SQL)
+def level_models_from_days(spark, sf_dir):
+    """Readings stored in two parts, the second late for all days; the statistics of each part's days
+    are renewed, and training reads these alone."""
+    root = shared_folder(spark, "training")
+    rows = zoned(hydro(events(spark, sf_dir)))
+    create_tables(spark, root, [HYDRO_MEASUREMENTS])
+    late = F.minute("measurement_timestamp") % 5 == 0
+    for part in (rows.filter(~late), rows.filter(late)):
+        insert_absent(part, root, HYDRO_MEASUREMENTS)
+        days = part.select(F.to_date("measurement_timestamp").alias("day")).distinct().collect()
+        update_days(spark, root, [d.day for d in days])
+    return _rounded(models_from_days(read_days_of_levels(spark, root)))
+
+
 @check(_ROUNDED_SQL)
 def model_store(spark, sf_dir):
     """Two training runs saved: the later one is what counts; an empty run changes nothing."""

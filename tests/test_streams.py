@@ -6,6 +6,7 @@ import sys
 from datetime import timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidewarden.operators.dedup import first_in_stream, first_per_key
@@ -154,6 +155,33 @@ def test_ingest_job_publishes_once_and_keeps_rejects(spark, land, tmp_path):
     assert run("two") == []
 
 
+@pytest.mark.parametrize("fails", [False, True])
+def test_history_job_leaves_nothing_cached(spark, land, tmp_path, fails):
+    """Several batches with rejects, and one whose rejects can't be written."""
+    landed = land(messages(spark, reading("10:00"), reading("11:00")))
+    for start in (2, 4):
+        land(messages(spark, reading(f"1{start}:00"), {"station_id": "IMGW_2"}, start=start))
+
+    def refuse(rows, batch_id):
+        raise OSError("full")
+
+    def cached():
+        return set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+
+    before = cached()
+    job = start_history_job(
+        landed_stream(spark, landed, maxFilesPerTrigger=1), str(tmp_path / "tables"),
+        str(tmp_path / "check"), ("synop",), once=True,
+        write_rejects=refuse if fails else folder_writer(str(tmp_path / "bad")))
+    if fails:
+        with pytest.raises(StreamingQueryException):
+            job.awaitTermination()
+    else:
+        job.awaitTermination()
+        assert spark.read.parquet(str(tmp_path / "bad")).count() == 2
+    assert cached() == before
+
+
 def test_stream_dedup_keeps_one_of_many_copies(spark, tmp_path):
     rows = spark.range(20_000, numPartitions=6).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("key"),

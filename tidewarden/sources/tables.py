@@ -13,7 +13,7 @@ from tidewarden.operators.dedup import first_per_key
 from tidewarden.operators.joins import only_new
 from tidewarden.schemas import TABLES, TableSpec
 from tidewarden.session import shared_folder
-from tidewarden.sources.folders import exists
+from tidewarden.sources.folders import children
 
 
 def table_path(root: str, spec: TableSpec) -> str:
@@ -46,8 +46,8 @@ def read_folders(spark: SparkSession, root: str, spec: TableSpec,
                  days: Iterable[date]) -> DataFrame:
     """The rows of some days; only the folders of these are listed and opened."""
     base = table_path(root, spec)
-    paths = [f"{base}/day={day.isoformat()}" for day in sorted(days)]
-    present = [path for path in paths if exists(spark, path)]
+    wanted = {f"day={day.isoformat()}" for day in days}
+    present = [f"{base}/{name}" for name in children(spark, base) if name in wanted] if wanted else []
     if not present:
         return spark.createDataFrame([], spec.stored_schema)
     return spark.read.schema(spec.stored_schema).option("basePath", base).parquet(*present)
@@ -79,12 +79,22 @@ def absent_rows(rows: DataFrame, stored: DataFrame, key: Sequence[str],
     return only_new(first_per_key(rows.na.drop(subset=list(key)), key, order), stored, key)
 
 
+def touched_days(rows: DataFrame, spec: TableSpec) -> list[date]:
+    """The days that the rows' keys fall on, one value per day."""
+    days = rows.na.drop(subset=list(spec.key)).select(spec.stored_day().alias("day")).distinct()
+    return sorted(d.day for d in days.collect())
+
+
 def stored_rows(rows: DataFrame, root: str, spec: TableSpec) -> DataFrame:
     """The stored rows of the days that ``rows`` touch, which hold every key they may share: a
-    row's day follows from its key. One value per day reaches the driver."""
-    days = rows.na.drop(subset=list(spec.key)).select(
-        spec.stored_day().alias("day")).distinct().collect()
-    return read_folders(rows.sparkSession, root, spec, [d.day for d in days])
+    row's day follows from its key."""
+    return read_folders(rows.sparkSession, root, spec, touched_days(rows, spec))
+
+
+def stored_days(spark: SparkSession, root: str, spec: TableSpec) -> list[date]:
+    """The days that the table holds, from its folder's names alone."""
+    return [date.fromisoformat(name.removeprefix("day="))
+            for name in children(spark, table_path(root, spec)) if name.startswith("day=")]
 
 
 def insert_absent(rows: DataFrame, root: str, spec: TableSpec,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable, Iterator
+from contextlib import ExitStack, contextmanager
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -13,19 +15,32 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewarden.functions.times import Instant, event_time
 from tidewarden.operators.normalize import usable
 from tidewarden.plans.forecast import (
-    HORIZONS, create_model_store, forecast_levels, load_models, save_models, train_level_models)
+    HORIZONS, create_model_store, forecast_levels, load_models, save_models)
 from tidewarden.plans.ingest import JUDGES, LOGICAL_KEYS, ingest
+from tidewarden.plans.training import (
+    complete_days, models_from_days, read_days_of_levels, update_days)
 from tidewarden.schemas import (
     HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, TOPICS, TableSpec)
 from tidewarden.sources.messages import BatchWriter, decoded, keyed_json, row_json
 from tidewarden.sources.latest import has_latest, read_latest, update_latest
 from tidewarden.sources.tables import (
-    create_tables, insert_absent, keyless, read_table, stored_rows)
+    create_tables, insert_absent, keyless, read_table, stored_rows, touched_days)
 
 SCORING_INTERVAL = timedelta(seconds=300)
 RETRAIN_EVERY = 6
 
 
+@contextmanager
+def _caching() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Caches what it is given and releases all of it at the end, also after an error."""
+    with ExitStack() as held:
+        def cached(rows: DataFrame) -> DataFrame:
+            held.callback(rows.unpersist)
+            return rows.persist()
+
+        yield cached
+
+
 def _started(stream: DataFrame, step, checkpoint: str, every: timedelta | None,
              once: bool) -> StreamingQuery:
     writer = (stream.writeStream.foreachBatch(step).outputMode("append")
@@ -48,13 +63,13 @@ def start_alert_job(alerts: DataFrame, write: BatchWriter, checkpoint: str,
         # Cached with the added column: the bare batch still claims an order by a column that it
         # no longer has, which caching does not accept.
         rows = batch.withColumn("value_json", row_json(batch))
-        if preview:
-            rows.persist()
-        write(rows.select(F.col("alert_id").alias("key"), F.col("value_json").alias("value")),
-              batch_id)
-        if preview:
-            rows.select("alert_id", "severity", "value", "msg").show(truncate=False)
-            rows.unpersist()
+        with _caching() as cached:
+            if preview:
+                cached(rows)
+            write(rows.select(F.col("alert_id").alias("key"), F.col("value_json").alias("value")),
+                  batch_id)
+            if preview:
+                rows.select("alert_id", "severity", "value", "msg").show(truncate=False)
 
     return _started(alerts, publish, checkpoint, every, once)
 
@@ -73,8 +88,8 @@ def start_history_job(messages: DataFrame, root: str, checkpoint: str,
                       every: timedelta | None = None, once: bool = False,
                       write_rejects: BatchWriter | None = None) -> StreamingQuery:
     """Stores every topic in its history table, insert-if-absent, and keeps the latest rows of each
-    station and gauge beside it. Rows without a whole key go to ``write_rejects``, as JSON under
-    their topic's name.
+    station and gauge and the levels' daily training statistics beside it. Rows without a whole key
+    go to ``write_rejects``, as JSON under their topic's name.
 
     The append and the checkpoint are two commits; a batch that is repeated after a crash finds
     its rows stored and adds nothing. Keep to one writer per table.
@@ -82,20 +97,22 @@ def start_history_job(messages: DataFrame, root: str, checkpoint: str,
     create_tables(messages.sparkSession, root)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        lost: list[DataFrame] = []
-        for topic in topics:
-            rows, spec = history_rows(batch, topic)
-            rows.persist()  # the insert reads them twice: once for their days
-            insert_absent(rows, root, spec, ["ingestion_timestamp", "partition", "offset"])
-            if len(spec.key) == 2:
-                update_latest(rows, root, spec, ("ingestion_timestamp", "partition", "offset"))
-            lost.append(keyed_json(keyless(rows, spec).withColumn("topic", F.lit(topic)), "topic"))
-            if write_rejects is None:
-                rows.unpersist()
-        if write_rejects is not None:
-            write_rejects(functools.reduce(DataFrame.unionByName, lost), batch_id)
-        batch.unpersist()
+        arrival = ("ingestion_timestamp", "partition", "offset")
+        with _caching() as cached:
+            cached(batch)
+            lost: list[DataFrame] = []
+            for topic in topics:
+                rows, spec = history_rows(batch, topic)
+                cached(rows)  # the insert reads them twice: once for their days
+                insert_absent(rows, root, spec, arrival)
+                if len(spec.key) == 2:
+                    update_latest(rows, root, spec, arrival)
+                if spec is HYDRO_MEASUREMENTS:
+                    update_days(rows.sparkSession, root, touched_days(rows, spec))
+                lost.append(keyed_json(
+                    keyless(rows, spec).withColumn("topic", F.lit(topic)), "topic"))
+            if write_rejects is not None:
+                write_rejects(functools.reduce(DataFrame.unionByName, lost), batch_id)
 
     return _started(messages, store, checkpoint, every, once)
 
@@ -114,18 +131,17 @@ def start_ingest_job(raw: DataFrame, topic: str, write: BatchWriter, write_rejec
     create_tables(raw.sparkSession, seen_root, [spec])
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        origin = f"{checkpoint}#{batch_id}"
-        seen = (stored_rows(usable(JUDGES[topic](batch)), seen_root, spec)
-                .filter(F.col("origin") != origin))
-        result = ingest(batch, topic, seen, warning_level=warning_level)
-        new = result.new.persist()
-        write(keyed_json(new, spec.key[0]), batch_id)
-        write_rejects(result.rejected, batch_id)
-        insert_absent(new.select(*spec.key, F.lit(origin).alias("origin")), seen_root, spec,
-                      spec.key)
-        new.unpersist()
-        batch.unpersist()
+        with _caching() as cached:
+            cached(batch)
+            origin = f"{checkpoint}#{batch_id}"
+            seen = (stored_rows(usable(JUDGES[topic](batch)), seen_root, spec)
+                    .filter(F.col("origin") != origin))
+            result = ingest(batch, topic, seen, warning_level=warning_level)
+            new = cached(result.new)
+            write(keyed_json(new, spec.key[0]), batch_id)
+            write_rejects(result.rejected, batch_id)
+            insert_absent(new.select(*spec.key, F.lit(origin).alias("origin")), seen_root, spec,
+                          spec.key)
 
     return _started(raw, publish, checkpoint, every, once)
 
@@ -140,16 +156,17 @@ def _seen_spec(topic: str) -> TableSpec:
 
 def score(spark, root: str, models_path: str, cycle: int, retrain_every: int = RETRAIN_EVERY,
           as_of: Instant = None) -> int:
-    """One scoring cycle: retrain on the stored history when due or when there is no model, forecast
-    from the latest rows that the history job keeps, store the forecasts insert-if-absent. Returns
-    the number of gauges with new ones. Other cycles open no folder of the history."""
-    history = read_table(spark, root, HYDRO_MEASUREMENTS)
+    """One scoring cycle: retrain from the daily statistics when due or when there is no model,
+    forecast from the latest rows, store the forecasts insert-if-absent. Returns the number of
+    gauges with new ones. The history job keeps both beside the history, of which no folder is
+    opened but days of before they were kept, once."""
     models = load_models(spark, models_path)
     if cycle % retrain_every == 0 or models.isEmpty():
-        save_models(train_level_models(history), models_path, as_of)
+        complete_days(spark, root)
+        save_models(models_from_days(read_days_of_levels(spark, root)), models_path, as_of)
         models = load_models(spark, models_path)
-    if not has_latest(spark, root, HYDRO_MEASUREMENTS):  # a table of before they were kept
-        update_latest(history, root, HYDRO_MEASUREMENTS)
+    if not has_latest(spark, root, HYDRO_MEASUREMENTS):
+        update_latest(read_table(spark, root, HYDRO_MEASUREMENTS), root, HYDRO_MEASUREMENTS)
     recent = read_latest(spark, root, HYDRO_MEASUREMENTS)
     forecasts = forecast_levels(recent, models, as_of=as_of).persist()
     added = insert_absent(forecasts, root, HYDRO_PREDICTIONS, ["created_at"])
