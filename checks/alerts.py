@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from checks.standins import (
     AS_OF, HYDRO, HYDRO_STATIONS, K, RAW_ALERTS, SYNOP, WEATHER_STATIONS, check, events,
-    events_stream, half_up, hydro, landed, messages, raw_alerts, stations, synop, with_k)
+    events_stream, files_for, half_up, hydro, land, landed, messages, raw_alerts, stations, synop,
+    with_k)
 from tidewarden.operators.joins import only_new
 from tidewarden.operators.rules import Rule, classified
 from tidewarden.operators.windows import fall, rise, sliding_extremes
 from tidewarden.plans import alerts as plans
-from tidewarden.plans import board
+from tidewarden.plans import board, board_store
 from tidewarden.schemas import ALERT
 from tidewarden.session import shared_folder
 from tidewarden.sources.messages import decoded, folder_writer, keyed_json, landed_stream
@@ -157,6 +158,24 @@ def storm_stream(spark, sf_dir):
     return _published(spark, found)
 
 
+@check(_storm_sql(_closed(1)))
+def storm_stream_panes(spark, sf_dir):
+    """The same windows from one row of state per station and hour, over three batches."""
+    rows = landed(spark, events(spark, sf_dir))
+    readings = plans.synop_readings(messages(rows, synop(rows), "synop", "station_id"))
+    found = plans.storm_alerts(readings, stations(spark, sf_dir, "weather"), as_of=AS_OF,
+                               panes=True)
+    return _published(spark, found)
+
+
+@check(_flood_sql(_closed(2)))
+def flood_stream_panes(spark, sf_dir):
+    rows = landed(spark, events(spark, sf_dir))
+    readings = plans.hydro_readings(messages(rows, hydro(rows), "hydro", "gauge_id"))
+    found = plans.flood_alerts(readings, stations(spark, sf_dir, "hydro"), as_of=AS_OF, panes=True)
+    return _published(spark, found)
+
+
 # Every reading arrives again a second later with other values; only the first copy counts.
 REPEATED = SYNOP.replace("synop AS (", "once AS (", 1) + """,
 copies AS (
@@ -211,13 +230,14 @@ def storm_stream_late(spark, sf_dir):
         "measurement_timestamp", time + F.make_dt_interval(mins=F.lit(1)))
     out, checkpoint = shared_folder(spark, "alerts"), shared_folder(spark, "alerts-checkpoint")
     stamp = F.col("timestamp")
-    for parts in ([sent.filter(stamp < "2024-01-08"),
-                   sent.filter((stamp >= "2024-01-08") & (stamp < "2024-01-16"))],
-                  [sent.filter(stamp >= "2024-01-16"),
-                   messages(late, late, "synop", "station_id")]):
+    runs = ([sent.filter(stamp < "2024-01-08"),
+             sent.filter((stamp >= "2024-01-08") & (stamp < "2024-01-16"))],
+            [sent.filter(stamp >= "2024-01-16"), messages(late, late, "synop", "station_id")])
+    files = files_for([part for parts in runs for part in parts], "key")
+    for parts in runs:
         for part in parts:
-            part.coalesce(1).write.mode("append").parquet(folder)
-        stream = landed_stream(spark, folder, maxFilesPerTrigger="1")
+            land(part, folder, "key", ["timestamp", "offset"], files)
+        stream = landed_stream(spark, folder, maxFilesPerTrigger=str(files))
         found = plans.storm_alerts(plans.synop_readings(stream),
                                    stations(spark, sf_dir, "weather"), as_of=AS_OF)
         start_alert_job(found, folder_writer(out), checkpoint, once=True).awaitTermination()
@@ -257,7 +277,7 @@ def current_alerts(spark, sf_dir):
     return _current(spark, sf_dir)
 
 
-@check(f"""
+_BOARD = f"""
 WITH {RAW_ALERTS}
 SELECT alert_id,
        CASE severity WHEN 'Yellow' THEN 'Żółty' WHEN 'Orange' THEN 'Pomarańczowy'
@@ -271,11 +291,57 @@ SELECT alert_id,
        CASE WHEN value IS NULL THEN '' ELSE ' | wartość: ' || CAST(value AS VARCHAR) END
          AS value_text,
        CASE WHEN expires IS NULL THEN '' ELSE ' | wygasa: ' || expires END AS expires_text
-FROM current_alerts""")
+FROM current_alerts"""
+
+
+@check(_BOARD)
 def alert_board(spark, sf_dir):
     return board.alert_board(_current(spark, sf_dir))
 
 
+def _increments(spark, sf_dir):
+    """The topic in four increments, each of which also brings broken and nameless messages that come
+    after the good ones of their ids."""
+    sent = alert_messages(events(spark, sf_dir)).withColumn(
+        "partition", F.pmod(F.crc32("key"), F.lit(4)).cast("int"))
+    text = F.col("value").cast("string")
+    bodies = F.array(
+        F.col("value"), F.substr(text, F.lit(1), F.length(text) - 3).cast("binary"),
+        F.replace(text, F.lit("alert_id"), F.lit("other_id")).cast("binary"),
+        F.lit(None).cast("binary"))
+    mixed = sent.select("partition", "offset", "key", F.posexplode(F.when(
+        F.col("offset") % 3 == 0, bodies).otherwise(F.array("value"))).alias("later", "body")).select(
+            F.lit("alerts").alias("topic"), "partition",
+            (F.col("offset") * 4 + F.col("later")).alias("offset"),
+            F.lit(None).cast("timestamp").alias("timestamp"), "key", F.col("body").alias("value"),
+            F.col("offset").alias("at"))
+    last = mixed.agg(F.max("at")).first()[0]
+    cuts = [last * i // 4 for i in (1, 2, 3)]
+    folder, board_path = shared_folder(spark, "alert-topic"), shared_folder(spark, "board")
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        part = mixed if low is None else mixed.filter(F.col("at") >= low)
+        part = part if high is None else part.filter(F.col("at") < high)
+        part.drop("at").repartition("partition").write.mode("append").parquet(folder)
+        found = board_store.refresh_board(spark, board_path, board_store.landed_reader(spark, folder))
+    return found
+
+
+@check(_BOARD)
+def alert_board_increments(spark, sf_dir):
+    """The board from a store that took in the topic in four refreshes."""
+    return board.alert_board(_increments(spark, sf_dir).alerts)
+
+
+@check(f"""
+WITH {RAW_ALERTS}
+SELECT * EXCLUDE (arrival) FROM current_alerts
+WHERE alert_id NOT IN (SELECT alert_id FROM raw_alerts WHERE arrival < (
+  SELECT max(event_id) * 3 // 4 FROM events))""")
+def new_alerts_increments(spark, sf_dir):
+    """The alerts that came first with the last refresh."""
+    return _increments(spark, sf_dir).new
+
+
 @check(f"WITH {RAW_ALERTS} SELECT count(*) AS alerts FROM current_alerts")
 def alert_total(spark, sf_dir):
     return board.alert_total(_current(spark, sf_dir))

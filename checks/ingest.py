@@ -13,7 +13,8 @@ from checks.standins import (
     predictions, synop, with_k, zoneless)
 from tidewarden.functions.text import logical_key
 from tidewarden.operators.dedup import first_in_stream, first_per_key
-from tidewarden.operators.normalize import judged_hydro, judged_weather, rejected, usable
+from tidewarden.operators.normalize import (
+    PLACE, POLLED_AT, judged_hydro, judged_weather, rejected, usable)
 from tidewarden.plans.ingest import ingest, ingest_report, ingest_stream
 from tidewarden.schemas import HYDRO as HYDRO_MESSAGE
 from tidewarden.schemas import (
@@ -64,9 +65,12 @@ RAW_WEATHER_SQL = f"""raw_weather AS (
   FROM events)"""
 
 
-def raw_hydro(rows):
+def raw_hydro(rows, arrival=False):
+    """Feed records; with their arrival, if asked for."""
     k = F.col("k")
+    came = [F.col("ts").alias(POLLED_AT), (2 * F.col("event_id")).alias(PLACE)] if arrival else []
     return with_k(rows).select(
+        *came,
         F.col("user_id").cast("string").alias("id_stacji"),
         F.col("event_type").alias("stacja"), F.lit("Łódź").alias("rzeka"),
         (F.col("user_id") / 4.0).cast("string").alias("lat"), k.cast("string").alias("lon"),
@@ -91,8 +95,10 @@ RAW_HYDRO_SQL = f"""raw_hydro AS (
 
 def sent_twice(raw):
     """Each record followed by a copy of the same gauge and time with another level."""
-    level = F.explode(F.array(F.col("stan_wody"), F.lit("7"))).alias("stan_wody")
-    return raw.select(*[level if c == "stan_wody" else c for c in raw.columns])
+    level = F.posexplode(F.array(F.col("stan_wody"), F.lit("7"))).alias("copy", "stan_wody")
+    rows = raw.select(*[c for c in raw.columns if c != "stan_wody"], level)
+    return rows.select(*[(F.col(c) + F.col("copy")).alias(c) if c == PLACE else c
+                         for c in raw.columns])
 
 
 @check(f"""
@@ -197,8 +203,7 @@ def _second_poll(spark, sf_dir):
 @check(f"{_TWICE} WHERE measurement_timestamp >= '2024-01-10T00:00:00Z'")
 def ingest_new(spark, sf_dir):
     """The first copies that were not published before the 10th."""
-    rows = events(spark, sf_dir).repartition(1).sortWithinPartitions("ts", "event_id")
-    raw = sent_twice(raw_hydro(rows))
+    raw = sent_twice(raw_hydro(events(spark, sf_dir).repartition(7), arrival=True))
     seen = usable(judged_hydro(
         raw.filter(F.col("stan_wody_data_pomiaru") < "2024-01-10"), AS_OF))
     new = ingest(raw, "hydro", seen.select("gauge_id", "measurement_timestamp"), AS_OF).new
@@ -232,7 +237,7 @@ def ingest_counts(spark, sf_dir):
 def ingest_job(spark, sf_dir):
     """The feed as a stream into a topic folder, run again from a new checkpoint: nothing twice."""
     root = shared_folder(spark, "ingest")
-    stream = landed(spark, events(spark, sf_dir).orderBy("ts", "event_id"))
+    stream = landed(spark, events(spark, sf_dir))
     for run in ("first", "second"):
         job = start_ingest_job(
             sent_twice(raw_hydro(stream)), "hydro", folder_writer(f"{root}/{run}"),
@@ -265,7 +270,7 @@ def dedup_stream(spark, sf_dir):
 @check(_TWICE)
 def ingest_dedup_stream(spark, sf_dir):
     """Feed records normalised and deduplicated in stream state, over three batches."""
-    stream = landed(spark, events(spark, sf_dir).orderBy("ts", "event_id"))
+    stream = landed(spark, events(spark, sf_dir))
     new = ingest_stream(sent_twice(raw_hydro(stream)), "hydro", timedelta(days=60))
     return _written(spark, new).select(*_PAYLOAD)
 

@@ -117,17 +117,43 @@ HYDRO = f"""hydro AS (
   FROM events)"""
 
 
-def landed(spark, rows: DataFrame, parts: int = 3, order: str = "ts") -> DataFrame:
-    """The rows as a stream of several files in time order, each a batch of its own."""
+#: Most files that a batch of a landed stream has.
+FILES = 8
+
+
+def files_for(parts: list[DataFrame], key: str) -> int:
+    """Into how many files the rows of each part can be dealt by their key, so that none is empty."""
+    slot = F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(FILES))
+    filled = [part.agg(*[F.max(slot % n == i) for n in (8, 4, 2) for i in range(n)]).first()
+              for part in parts]
+    for n, at in ((8, 0), (4, 8), (2, 12)):
+        if all(all(row[at:at + n]) for row in filled):
+            return n
+    return 1
+
+
+def land(part: DataFrame, folder: str, key: str, order: list[str], files: int) -> None:
+    """Writes the rows as so many files, in order in each, all rows of a key in one."""
+    slot = F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(files))
+    (part.withColumn("slot", slot).repartition("slot").sortWithinPartitions("slot", *order)
+     .write.mode("append").partitionBy("slot").parquet(folder))
+
+
+def landed(spark, rows: DataFrame, parts: int = 3, order: tuple[str, ...] = ("ts", "event_id"),
+           key: str = "user_id") -> DataFrame:
+    """The rows as a stream of several batches in time order, each dealt by key over files."""
     folder = shared_folder(spark, "landed")
-    cuts = rows.select(F.percentile_approx(F.unix_micros(F.col(order).cast("timestamp")), [
-        i / parts for i in range(1, parts)])).first()[0]
-    time = F.unix_micros(F.col(order).cast("timestamp"))
+    time = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    cuts = rows.select(F.percentile_approx(time, [i / parts for i in range(1, parts)])).first()[0]
+    pieces = []
     for low, high in zip([None, *cuts], [*cuts, None]):
         part = rows if low is None else rows.filter(time >= low)
-        part = part if high is None else part.filter(time < high)
-        part.coalesce(1).sortWithinPartitions(order).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        pieces.append(part if high is None else part.filter(time < high))
+    files = files_for(pieces, key)
+    for piece in pieces:
+        land(piece, folder, key, list(order), files)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(
+        folder).select(*rows.columns)
 
 
 def stations(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:

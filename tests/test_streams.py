@@ -63,6 +63,28 @@ def test_windows_come_once_when_the_watermark_passes_them(spark, land, tmp_path,
         "2026060908", "2026060909", "2026060910", "2026060912", "2026060913", "2026060914"]
 
 
+def test_panes_update_less_state(spark, land, tmp_path):
+    """Readings that trickle in: the same alerts, with about a third of the rows updated."""
+    for hour in range(10, 15):
+        for start in (0, 20, 40):
+            landed = land(messages(spark, *[
+                reading(f"{hour}:{start + m:02}", 1000.0 - (hour * m) % 17, (hour * m) % 40, f"IMGW_{m % 3}")
+                for m in range(0, 20, 5)], start=hour * 60 + start))
+    stations = spark.createDataFrame([("IMGW_1", 52.0, 21.0, "Warszawa")], STATIONS)
+    alerts, updated = {}, {}
+    for panes in (False, True):
+        stream = synop_readings(landed_stream(spark, landed, maxFilesPerTrigger="1"))
+        job = start_alert_job(
+            storm_alerts(stream, stations, as_of="2026-06-10 00:00:00", panes=panes),
+            folder_writer(str(tmp_path / f"alerts-{panes}")), str(tmp_path / f"check-{panes}"), once=True)
+        job.awaitTermination()
+        alerts[panes] = sorted(r.value for r in spark.read.parquet(str(tmp_path / f"alerts-{panes}")).collect())
+        updated[panes] = sum(o["numRowsUpdated"] for p in job.recentProgress for o in p["stateOperators"]
+                             if o["operatorName"] == "stateStoreSave")
+    assert alerts[True] == alerts[False] and alerts[True]
+    assert updated[True] < 0.7 * updated[False]
+
+
 def test_late_reading_is_dropped(spark, land, tmp_path):
     landed = land(messages(spark, reading("10:00"), reading("20:00")))
     run_storm(spark, landed, tmp_path)

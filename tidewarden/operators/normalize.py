@@ -16,7 +16,9 @@ from tidewarden.schemas import HYDRO, SYNOP
 WEATHER_PREFIX = "IMGW_"
 HYDRO_PREFIX = "H_"
 
-POLLED_AT = "polled_at"
+#: When a record came: the time of its poll, and its place there.
+POLLED_AT, PLACE = "polled_at", "place_in_poll"
+ARRIVAL = (POLLED_AT, PLACE)
 
 
 def _number(text: str) -> Column:
@@ -27,13 +29,13 @@ def _judged(raw: DataFrame, fields: dict[str, Column], problems: dict[str, Colum
     """Converted fields plus ``usable``, ``record`` (source as JSON) and ``reason`` (names of bad
     fields).
 
-    The time of the poll that brought the record stays, if the source tells it.
+    The time of the poll that brought the record stays, and its place there, if the source tells it.
     """
-    polled = [c for c in raw.columns if c == POLLED_AT]
+    arrival = [c for c in raw.columns if c in ARRIVAL]
     reason = F.concat_ws(", ", *[F.when(bad, F.lit(name)) for name, bad in problems.items()])
-    record = F.to_json(F.struct(*[c for c in raw.columns if c != POLLED_AT]),
+    record = F.to_json(F.struct(*[c for c in raw.columns if c not in ARRIVAL]),
                        {"ignoreNullFields": "false"})
-    return raw.select(*[c.alias(n) for n, c in fields.items()], *polled,
+    return raw.select(*[c.alias(n) for n, c in fields.items()], *arrival,
                       (~reduce(or_, problems.values())).alias("usable"),
                       record.alias("record"), reason.alias("reason"))
 

@@ -23,25 +23,29 @@ def sliding_extremes(readings: DataFrame, keys: Sequence[str], ts: str, value: s
     on plain columns, so they stay hash aggregates with a map-side partial step: a hot key sends
     one row per window and map task over the shuffle.
 
-    ``panes`` first reduces a batch to one row per key and slide and builds the windows from
-    those. It needs ``size`` to be a multiple of ``slide`` and costs a second shuffle; it pays off
-    when a key has hundreds of readings per slide, as raw rows are not repeated ``size / slide``
-    times.
+    ``panes`` first reduces the readings to one row per key and slide and builds the windows from
+    those, by a second aggregate. It needs ``size`` to be a multiple of ``slide``. On a batch it
+    costs a second shuffle and pays off when a key has hundreds of readings per slide, as raw rows
+    are not repeated ``size / slide`` times. On a stream a reading updates one row of state instead
+    of ``size / slide``; panes go on to their windows when the watermark has passed them, so a
+    reading behind the watermark counts in no window, where without panes it would count in those
+    that are still open. After ``first_readings``, which drops such readings, both give the same.
     """
     if lateness is not None:
         readings = readings.withWatermark(ts, _text(lateness))
     first, last = F.min_by(value, ts), F.max_by(value, ts)
     tops = [F.max(c).alias(f"max_{c}") for c in maxima]
-    if panes and not readings.isStreaming:
+    if panes:
         if size % slide:
             raise ValueError("panes need a window size that is a multiple of the slide")
-        readings = (
-            readings.groupBy(F.window(ts, _text(slide)).alias("pane"), *keys)
-            .agg(first.alias("first"), F.min(ts).alias("first_ts"),
-                 last.alias("last"), F.max(ts).alias("last_ts"),
-                 *[F.max(c).alias(c) for c in maxima])
-            .withColumn("pane_start", F.col("pane.start")))
-        ts, first, last = "pane_start", F.min_by("first", "first_ts"), F.max_by("last", "last_ts")
+        pane = F.window(ts, _text(slide))
+        readings = readings.groupBy(pane, *keys).agg(
+            first.alias("first"), F.min(ts).alias("first_ts"), last.alias("last"),
+            F.max(ts).alias("last_ts"), *[F.max(c).alias(c) for c in maxima])
+        # The pane's last microsecond lies in the windows that hold the pane; on a stream it carries
+        # the watermark on.
+        readings = readings.withColumn("pane_time", F.window_time("window")).drop("window")
+        ts, first, last = "pane_time", F.min_by("first", "first_ts"), F.max_by("last", "last_ts")
     return (
         readings.groupBy(F.window(ts, _text(size), _text(slide)).alias("window"), *keys)
         .agg(first.alias("first_value"), last.alias("last_value"), *tops)

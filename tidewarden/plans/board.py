@@ -19,19 +19,25 @@ EXPIRES_TEXT = " | wygasa: "
 UNKNOWN = "?"
 
 
+def named_messages(messages: DataFrame, arrival: str = "offset") -> DataFrame:
+    """The alert id of every message that has one, with its ``arrival`` and ``value``; a message that
+    is no valid JSON object, or names no id, is skipped. Only the id is read."""
+    texts = messages.filter(F.ltrim(F.col("value").cast("string"), F.lit(" \t\r\n")).startswith("{"))
+    return decoded(texts, T.StructType([ALERT["alert_id"]]), ["alert_id"],
+                   keep=[arrival, "value"]).filter("alert_id != ''")
+
+
+def parsed_alerts(messages: DataFrame) -> DataFrame:
+    return decoded(messages, ALERT, ["alert_id"])
+
+
 def current_alerts(messages: DataFrame, arrival: str = "offset") -> DataFrame:
     """The last message of every alert id. All messages of an id are in one partition of the
     topic, so the offset orders them.
 
-    Only the id is read from every message; of the messages that have one, the newest of each id is
-    found, and only that is parsed in full. A message that is no valid JSON object, or names no id,
-    is skipped.
+    Of the messages that name an id, the newest of each id is found, and only that is parsed in full.
     """
-    texts = messages.filter(F.ltrim(F.col("value").cast("string"), F.lit(" \t\r\n")).startswith("{"))
-    named = decoded(texts, T.StructType([ALERT["alert_id"]]), ["alert_id"],
-                    keep=[arrival, "value"]).filter("alert_id != ''")
-    last = _newest(named, "alert_id", arrival)
-    return decoded(last, ALERT, ["alert_id"])
+    return parsed_alerts(_newest(named_messages(messages, arrival), "alert_id", arrival))
 
 
 def _newest(rows: DataFrame, key: str, arrival: str) -> DataFrame:

@@ -12,7 +12,7 @@ from tidewarden.functions.times import Instant, event_time
 from tidewarden.operators.dedup import first_in_stream, first_per_key
 from tidewarden.operators.joins import only_new
 from tidewarden.operators.normalize import (
-    POLLED_AT, judged_hydro, judged_weather, rejected, usable)
+    ARRIVAL, judged_hydro, judged_weather, rejected, usable)
 
 LOGICAL_KEYS = {"synop": ("station_id", "measurement_timestamp"),
                 "hydro": ("gauge_id", "measurement_timestamp")}
@@ -40,7 +40,7 @@ class Ingested:
 
     @property
     def usable(self) -> DataFrame:
-        return usable(self.judged).drop(POLLED_AT)
+        return usable(self.judged).drop(*ARRIVAL)
 
     @property
     def rejected(self) -> DataFrame:
@@ -52,15 +52,17 @@ def ingest(raw: DataFrame, topic: str, seen: DataFrame | None = None, as_of: Ins
     """Polls of a feed as a batch: usable records, those not ``seen`` before, and the rejects with
     their reasons.
 
-    Of several records with one logical key the earliest poll wins, then the earlier place in it.
+    Of several records with one logical key the earliest poll wins, then the earlier place in it: by
+    the columns of ``ARRIVAL`` that the feed has. Only where these don't tell, as in a feed without
+    them, it is the order in which the rows are read, which depends on how the files are split.
     """
     records = judged(raw, topic, as_of, warning_level)
     placed = usable(records).withColumn("_place", F.monotonically_increasing_id())
     keys = LOGICAL_KEYS[topic]
-    new = first_per_key(placed, keys, [c for c in (POLLED_AT, "_place") if c in placed.columns])
+    new = first_per_key(placed, keys, [c for c in (*ARRIVAL, "_place") if c in placed.columns])
     if seen is not None:
         new = only_new(new, seen, keys)
-    return Ingested(records, new.drop(POLLED_AT, "_place"))
+    return Ingested(records, new.drop(*ARRIVAL, "_place"))
 
 
 def ingest_stream(raw: DataFrame, topic: str,
@@ -70,7 +72,7 @@ def ingest_stream(raw: DataFrame, topic: str,
 
     State is bounded by the lateness; repeats over all time are kept out by the history tables.
     """
-    good = (usable(judged(raw, topic, warning_level=warning_level)).drop(POLLED_AT)
+    good = (usable(judged(raw, topic, warning_level=warning_level)).drop(*ARRIVAL)
             .withColumn("event_time", event_time(F.col("measurement_timestamp")))
             .filter(F.col("event_time").isNotNull()))
     return first_in_stream(good, LOGICAL_KEYS[topic], "event_time", lateness).drop("event_time")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewarden.operators.normalize import POLLED_AT
+from tidewarden.operators.normalize import PLACE, POLLED_AT
 
 
 def raw_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -24,10 +24,16 @@ def _polled(records: DataFrame) -> DataFrame:
     return records.select("*", F.col("_metadata.file_modification_time").alias(POLLED_AT))
 
 
-def feed_records(documents: DataFrame, schema: T.StructType, text: str = "value") -> DataFrame:
-    """Records of feed documents held as text, one array per row."""
+def feed_records(documents: DataFrame, schema: T.StructType, text: str = "value",
+                 polled_at: str | None = None) -> DataFrame:
+    """Records of feed documents held as text, one array per row; where a column tells the time of the
+    poll, with that and the place in the array."""
     records = F.from_json(F.col(text), T.ArrayType(schema))
-    return documents.select(F.explode(records).alias("_record")).select("_record.*")
+    if polled_at is None:
+        return documents.select(F.explode(records).alias("_record")).select("_record.*")
+    return documents.select(F.col(polled_at).alias(POLLED_AT),
+                            F.posexplode(records).alias(PLACE, "_record")).select(
+                                "_record.*", POLLED_AT, PLACE)
 
 
 def seen_keys(spark: SparkSession, path: str, key: str) -> DataFrame:
