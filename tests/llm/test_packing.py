@@ -105,3 +105,39 @@ def test_query_digests_pieces(spark):
     for r in rows:
         part = tokens[r.doc_id][r.start:r.start + r.length]
         assert zlib.crc32(part.tobytes()) == r.ids_crc32 and r.doc_tokens == len(tokens[r.doc_id])
+
+
+def dense_differencing(sizes, windows):
+    """Multiway differencing with all windows of a partition written out, zeros too."""
+    parts = [(size, i, [(size, [i])] + [(0, [])] * (windows - 1)) for i, size in enumerate(sizes)]
+    turn = len(sizes)
+    while len(parts) > 1:
+        parts.sort(key=lambda p: (-p[0], p[1]))
+        a, b = parts[0][2], parts[1][2]
+        both = sorted(((x + y, p + q) for (x, p), (y, q) in zip(a, b[::-1], strict=True)),
+                      key=lambda w: -w[0])
+        parts[:2] = [(both[0][0] - both[-1][0], turn, both)]
+        turn += 1
+    return sorted(total for total, _ in parts[0][2]) if parts else []
+
+
+def test_differencing_equals_the_written_out_one():
+    chance = random.Random(12)
+    for _ in range(150):
+        sizes = [chance.randint(1, 60) for _ in range(chance.randint(1, 40))]
+        windows = chance.randint(1, 12)
+        found = packing.spread_evenly(sizes, windows)
+        assert sorted(i for places in found for i in places) == list(range(len(sizes)))
+        sums = sorted([sum(sizes[i] for i in places) for places in found] + [0] * (windows - len(found)))
+        assert sums == dense_differencing(sizes, windows)
+
+
+def test_a_pool_of_tiny_texts_stays_small():
+    import tracemalloc
+
+    tracemalloc.start()
+    filled = packing.windows_of([1] * packing.POOL_PIECES)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(filled) == 64 and all(len(places) == 1024 for places in filled)
+    assert peak < 100e6

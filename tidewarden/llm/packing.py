@@ -30,9 +30,11 @@ from pyspark.sql import functions as F
 from tidewarden.llm.common import ship_package
 
 WINDOW = 1024
-#: Most ids of a piece that shares a window, and windows that a pool fills before it is spread.
+#: Most ids of a piece that shares a window; a pool is spread when it fills so many windows, or holds so
+#: many pieces.
 MOST_PIECE = 256
 POOL_WINDOWS = 192
+POOL_PIECES = 1 << 16
 #: Up to this letter the fast tokeniser is used; other texts go to the library the file is for.
 LAST_PLAIN = "ɏ"
 # Fixed: the split pattern of the byte-level vocabulary.
@@ -42,33 +44,31 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 def spread_evenly(sizes: list[int], windows: int) -> list[list[int]]:
     """Places of ``sizes`` in each window, by merging partial partitions."""
     lists: list[list[int]] = [[i] for i in range(len(sizes))]
-    # A partition: sums in falling order, and for each window a node or -1. Nodes beyond the pieces
-    # are pairs of nodes.
+    # A partition: the sums of its windows that hold something, in falling order, and a node for each.
+    # It starts as one window and widens as it merges. Nodes beyond the pieces are pairs of nodes.
     pairs: list[tuple[int, int]] = []
-    heap = []
-    for i, size in enumerate(sizes):
-        sums, nodes = np.zeros(windows, np.int64), np.full(windows, -1, np.int64)
-        sums[0], nodes[0] = size, i
-        heap.append((-size, i, sums, nodes))
+    heap = [(-size, i, np.array([size]), np.array([i])) for i, size in enumerate(sizes)]
     heapq.heapify(heap)
     turn = len(sizes)
     while len(heap) > 1:
         _, _, sums, nodes = heapq.heappop(heap)
         _, _, other_sums, other_nodes = heap[0]
-        sums, other = sums + other_sums[::-1], other_nodes[::-1]
-        both = np.flatnonzero((nodes >= 0) & (other >= 0))
-        merged = np.maximum(nodes, other)
-        if len(both):
-            first = len(sizes) + len(pairs)
-            pairs.extend(zip(nodes[both].tolist(), other[both].tolist()))
-            merged[both] = np.arange(first, first + len(both))
+        # The fullest window of one goes with the emptiest of the other: they meet in the middle.
+        meet = max(len(sums) + len(other_sums) - windows, 0)
+        alone = len(sums) - meet
+        other_sums, other_nodes = other_sums[::-1], other_nodes[::-1]
+        first = len(sizes) + len(pairs)
+        pairs.extend(zip(nodes[alone:].tolist(), other_nodes[:meet].tolist()))
+        merged = np.concatenate((nodes[:alone], np.arange(first, first + meet), other_nodes[meet:]))
+        sums = np.concatenate((sums[:alone], sums[alone:] + other_sums[:meet], other_sums[meet:]))
         order = np.argsort(-sums, kind="stable")
         sums = sums[order]
-        heapq.heapreplace(heap, (int(sums[-1] - sums[0]), turn, sums, merged[order]))
+        least = int(sums[-1]) if len(sums) == windows else 0
+        heapq.heapreplace(heap, (least - int(sums[0]), turn, sums, merged[order]))
         turn += 1
     for left, right in pairs:
         lists.append(lists[left] + lists[right])
-    return [lists[node] for node in heap[0][3].tolist() if node >= 0] if heap else []
+    return [lists[node] for node in heap[0][3].tolist()] if heap else []
 
 
 def windows_of(sizes: list[int], window: int = WINDOW) -> list[list[int]]:
@@ -182,7 +182,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = 0, most: i
                         pool.append((key, start, length, total,
                                      ids[start:start + length].tobytes()))
                         held += length
-                if held >= pool_windows * window:
+                if held >= pool_windows * window or len(pool) >= POOL_PIECES:
                     spread()
                 size += total
                 if size > 1 << 20 and rows:
