@@ -92,3 +92,23 @@ def test_base32_digest(spark):
 
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_records_are_dated_and_ids_are_one_line(spark):
+    df = spark.createDataFrame([("a\r\nWARC-Type: evil", "u", "x", ""), ("b", "u", "x", "")],
+                               "page_id string, url string, html string, row string")
+    values = [r.value for r in warc.records(df, date="2024-05-06 07:08:09").collect()]
+    assert all("\r\nWARC-Date: 2024-05-06T07:08:09Z\r\n" in v for v in values)
+    got = {r.page: (r.record_type, r.refers_to) for r in warc.round_trip(df).collect()}
+    assert got == {"a%20%20WARC-Type: evil": ("response", None),
+                   "b": ("revisit", "a%20%20WARC-Type: evil")}
+    now = warc.records(df).first().value
+    assert warc.parse_headers(now.removeprefix(warc.VERSION).encode())[0]["warc-date"].endswith("Z")
+
+
+def test_chains_are_not_broadcast(spark):
+    links = spark.range(50).select(F.lit(1).alias("file"), (F.col("id") * 7 + 10).alias("at"),
+                                   (F.col("id") * 7 + 17).alias("to"))
+    plan = warc._merged(links, links.select("file", "at"), ["file", "at"])._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -12,7 +12,7 @@ looks like a record, and go back to the record whose payload they are. A split k
 parts are but not where it starts; the lengths of the splits before it tell.
 
 A null page is an empty payload; a null id or URL has no header of its own. Control characters in URLs
-are escaped. Repeated rows are records of their own, the first in order (by URL, then count) being
+and ids are escaped. The date of the records is an argument, so that reruns agree. Repeated rows are records of their own, the first in order (by URL, then count) being
 the response. Long payloads are single records; an empty table gives no record. Other columns are
 ignored.
 """
@@ -28,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewarden.functions.times import Instant, instant, iso_text
 from tidewarden.llm.common import ship_package, written
 from tidewarden.session import shared_folder
 
 #: The start of a record, and what ends it.
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
+CONTROL = "[\\x00-\\x1f\\x7f]"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 # Fixed by the standard.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -83,9 +85,15 @@ def _urn(digest: Column, named: Column) -> Column:
         name, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
 
 
+def _line(text: Column, unsafe: str) -> Column:
+    """Text as a header's value, which is one line."""
+    return F.nullif(F.regexp_replace(text, unsafe, "%20"), F.lit(""))
+
+
 def records(pages: DataFrame, least_bytes: int = 0, page_id: str = "page_id", url: str = "url",
-            html: str = "html") -> DataFrame:
-    """A column ``value``: a record for each page, without its END."""
+            html: str = "html", date: Instant = None) -> DataFrame:
+    """A column ``value``: a record for each page, without its END; ``date`` is when the pages were
+    fetched, by default now."""
     shared = written(shared_payloads(pages, least_bytes, page_id, url, html), "shared-payloads")
     # Rows that repeat the response's are taken once and counted out again.
     again = written(shared.filter("times > 1"), "repeated-pages")
@@ -108,26 +116,26 @@ def records(pages: DataFrame, least_bytes: int = 0, page_id: str = "page_id", ur
         # Nothing refers to a revisit; any name of its own will do.
         _header("WARC-Record-ID", F.when(F.col("is_response"), _urn(F.col("digest"), F.col("named")))
                 .otherwise(F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">")))),
-        # A header is one line.
-        _header("WARC-Target-URI", F.nullif(F.regexp_replace(
-            "named.url", "[\\x00-\\x20\\x7f]", "%20"), F.lit(""))),
-        _header("X-Page-ID", F.col("named.page").cast("string")),
+        _header("WARC-Date", iso_text(instant(date))),
+        _header("WARC-Target-URI", _line(F.col("named.url"), "[\\x00-\\x20\\x7f]")),
+        _header("X-Page-ID", _line(F.col("named.page").cast("string"), CONTROL)),
         F.lit("Content-Type: application/http; msgtype=response\r\n"),
         _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         _header("X-Payload-Length", number),
         F.when(F.col("is_response"), "").otherwise(F.concat(
             F.lit(f"WARC-Profile: {PROFILE}\r\n"), _header(
                 "WARC-Refers-To", _urn(F.col("digest"), F.col("first"))),
-            _header("X-Refers-To-Page", F.col("first.page").cast("string")))))
+            _header("X-Refers-To-Page", _line(F.col("first.page").cast("string"), CONTROL)))))
     return typed.select(body.alias("body"), headers.alias("headers")).select(F.concat(
         "headers", F.lit("Content-Length: "), F.octet_length("body").cast("string"), F.lit(END),
         "body").alias("value"))
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, page_id: str = "page_id",
-                   url: str = "url", html: str = "html", records_per_file: int = 50_000) -> None:
+                   url: str = "url", html: str = "html", records_per_file: int = 50_000,
+                   date: Instant = None) -> None:
     """Archives below ``folder``, each of at most ``records_per_file`` records."""
-    records(pages, least_bytes, page_id, url, html).write.option("lineSep", END).option(
+    records(pages, least_bytes, page_id, url, html, date).write.option("lineSep", END).option(
         "maxRecordsPerFile", records_per_file).text(folder)
 
 
@@ -232,6 +240,12 @@ def _at(parts: DataFrame) -> DataFrame:
         "at", F.col("start") + F.col("place")).drop("start")
 
 
+def _merged(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """A join by sorting: these tables compress to little, so their size on disk says nothing about
+    what a broadcast of them would be."""
+    return left.hint("merge").join(right.hint("merge"), on, how)
+
+
 def reachable(links: DataFrame) -> DataFrame:
     """Columns file and at: what chains from the start of each file reach, of links (file, at, to).
     In each round the reached hand on to what lies as many records ahead as all rounds before
@@ -240,14 +254,14 @@ def reachable(links: DataFrame) -> DataFrame:
     reached = written(nodes.filter(F.col("at") == len(VERSION)), "reached")
     jumps, count = links, reached.count()
     while count:
-        ahead = reached.join(jumps, ["file", "at"]).select("file", F.col("to").alias("at"))
-        reached = written(reached.union(ahead.join(nodes, ["file", "at"], "left_semi")).distinct(),
+        ahead = _merged(reached, jumps, ["file", "at"]).select("file", F.col("to").alias("at"))
+        reached = written(reached.union(_merged(ahead, nodes, ["file", "at"], "left_semi")).distinct(),
                           "reached")
         before, count = count, reached.count()
         if count == before:
             break
         onward = jumps.select("file", F.col("at").alias("to"), F.col("to").alias("further"))
-        jumps = written(jumps.join(onward, ["file", "to"]).select(
+        jumps = written(_merged(jumps, onward, ["file", "to"]).select(
             "file", "at", F.col("further").alias("to")), "jumps")
     return reached
 
@@ -276,7 +290,7 @@ def _reassembled(spark: SparkSession, folder: str, broken: DataFrame) -> DataFra
     values = _parts(spark, folder).mapInArrow(
         again, "file string, block long, place long, value binary")
     # One group is one record, which its reader needs whole.
-    grouped = values.join(broken, ["file", "block", "place"]).groupBy(
+    grouped = _merged(values, broken, ["file", "block", "place"]).groupBy(
         "file", F.col("owner").alias("at")).agg(
         F.sort_array(F.collect_list(F.struct("at", "value"))).alias("parts"))
     return grouped.mapInArrow(describe, f"file string, at long, {_RECORD}")
@@ -287,10 +301,11 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     payload_digest (both taken from the payload that was read, for revisits from the header) and
     refers_to."""
     parts = written(_at(candidates(spark, folder)), "parts")
+    # Chains need no names of files, only to tell them apart.
     links = parts.filter("reach IS NOT NULL").select(
-        "file", "at", (F.col("at") + F.col("reach")).alias("to"))
-    starts = reachable(links).withColumn("starts", F.lit(True))
-    marked = parts.join(starts, ["file", "at"], "left")
+        F.xxhash64("file").alias("file"), "at", (F.col("at") + F.col("reach")).alias("to"))
+    starts = reachable(links).select(F.col("file").alias("number"), "at", F.lit(True).alias("starts"))
+    marked = _merged(parts.withColumn("number", F.xxhash64("file")), starts, ["number", "at"], "left")
     whole = marked.filter("starts AND size >= reach").select("file", "at", *_NAMES)
     # Other parts are payload of the last record that starts before them.
     so_far = Window.partitionBy("file").orderBy("at")
