@@ -16,6 +16,7 @@ from tidewarden.operators.dedup import first_in_stream, first_per_key
 from tidewarden.operators.normalize import (
     PLACE, POLLED_AT, judged_hydro, judged_weather, rejected, usable)
 from tidewarden.plans.ingest import ingest, ingest_report, ingest_stream
+from tidewarden.plans.views import hydro_series
 from tidewarden.schemas import HYDRO as HYDRO_MESSAGE
 from tidewarden.schemas import (
     ALERTS_HISTORY, HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, RAW_WEATHER,
@@ -23,7 +24,7 @@ from tidewarden.schemas import (
 from tidewarden.session import shared_folder
 from tidewarden.sources.feeds import feed_records, seen_keys
 from tidewarden.sources.messages import decoded, folder_writer
-from tidewarden.sources.tables import create_tables, insert_absent, read_table
+from tidewarden.sources.tables import create_tables, insert_absent, read_days, read_table
 from tidewarden.streaming.jobs import start_history_job, start_ingest_job
 
 _PROPS = T.StructType([T.StructField("k", T.IntegerType())])
@@ -283,7 +284,7 @@ def _written(spark, stream):
     return spark.read.schema(stream.schema).parquet(out)
 
 
-@check(f"""
+_ABSENT = f"""
 WITH {HYDRO},
 keyed AS (SELECT 'H_' || user_id % 100 AS gauge_id,
                  date_trunc('hour', ts) AS measurement_timestamp,
@@ -293,8 +294,10 @@ keyed AS (SELECT 'H_' || user_id % 100 AS gauge_id,
 SELECT gauge_id, measurement_timestamp, water_level_cm FROM (
   SELECT *, row_number() OVER (PARTITION BY gauge_id, measurement_timestamp
                                ORDER BY late, ingestion_timestamp) AS rn FROM keyed)
-WHERE rn = 1""")
-def insert_if_absent(spark, sf_dir):
+WHERE rn = 1"""
+
+
+def _inserted(spark, sf_dir, buckets):
     """Two loads and a repeat of the second: the first row of every key stays."""
     rows = events(spark, sf_dir).select(
         F.concat(F.lit("H_"), (F.col("user_id") % 100).cast("string")).alias("gauge_id"),
@@ -303,14 +306,40 @@ def insert_if_absent(spark, sf_dir):
         F.lit(None).cast("double").alias("flow_m3s"), F.lit(False).alias("is_warning"),
         F.col("ts").cast("timestamp").alias("ingestion_timestamp"))
     root = shared_folder(spark, "history")
-    create_tables(spark, root, [HYDRO_MEASUREMENTS])
+    create_tables(spark, root, [HYDRO_MEASUREMENTS], buckets)
     early = F.col("ingestion_timestamp") < "2024-01-15"
     for part in (rows.filter(early), rows.filter(~early), rows.filter(~early)):
         insert_absent(part, root, HYDRO_MEASUREMENTS)
+    return root
+
+
+@check(_ABSENT)
+def insert_if_absent(spark, sf_dir):
+    root = _inserted(spark, sf_dir, 0)
     return zoneless(read_table(spark, root, HYDRO_MEASUREMENTS).select(
         "gauge_id", "measurement_timestamp", "water_level_cm"))
 
 
+@check(_ABSENT)
+def insert_if_absent_by_key(spark, sf_dir):
+    """The same in a table of four buckets a day."""
+    root = _inserted(spark, sf_dir, 4)
+    return zoneless(read_table(spark, root, HYDRO_MEASUREMENTS).select(
+        "gauge_id", "measurement_timestamp", "water_level_cm"))
+
+
+@check(f"""
+SELECT * FROM ({_ABSENT})
+WHERE gauge_id = 'H_7' AND measurement_timestamp BETWEEN TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR
+                           AND TIMESTAMP '{AS_OF}' ORDER BY measurement_timestamp LIMIT 1000""")
+def series_of_gauge_by_key(spark, sf_dir):
+    """One gauge's last day out of such a table: a bucket of each day is opened."""
+    root = _inserted(spark, sf_dir, 4)
+    rows = read_days(spark, root, HYDRO_MEASUREMENTS, AS_OF, key="H_7")
+    return zoneless(hydro_series(rows, "H_7", AS_OF, limit=1000).select(
+        "gauge_id", "measurement_timestamp", "water_level_cm"))
+
+
 def _history(spark, sf_dir, topic):
     """One of three topics in one message stream of three batches, stored in its history table."""
     rows = landed(spark, events(spark, sf_dir))

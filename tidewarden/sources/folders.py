@@ -23,6 +23,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(located))
 
 
+def make(spark: SparkSession, path: str) -> None:
+    system, located = _located(spark, path)
+    system.mkdirs(located)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, located = _located(spark, path)
     system.delete(located, True)

@@ -1,4 +1,10 @@
-"""History tables: Parquet partitioned by day, written insert-if-absent."""
+"""History tables: Parquet partitioned by day, written insert-if-absent.
+
+A table may be laid out by key as well: each day's folder then has one for each bucket, by a hash of the
+key's first column, so an insert opens only the buckets that its keys fall in, and a series of one
+station opens one bucket of each day. The layout is fixed when the table is created and told by a
+mark in its folder; a table without the mark lies by day alone. Rows read have no bucket column.
+"""
 
 from __future__ import annotations
 
@@ -7,50 +13,100 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewarden.functions.times import Instant, instant, span
 from tidewarden.operators.dedup import first_per_key
 from tidewarden.operators.joins import only_new
 from tidewarden.schemas import TABLES, TableSpec
 from tidewarden.session import shared_folder
-from tidewarden.sources.folders import children
+from tidewarden.sources.folders import children, make
 
 
 def table_path(root: str, spec: TableSpec) -> str:
     return f"{root.rstrip('/')}/{spec.name}"
 
 
+#: Name of the folder that tells a table's number of buckets; hidden from readers.
+_MARK = "_buckets-"
+
+
+def buckets_of(spark: SparkSession, root: str, spec: TableSpec) -> int:
+    """Buckets of each day of the table; 0 if it lies by day alone."""
+    for name in children(spark, table_path(root, spec)):
+        if name.startswith(_MARK):
+            return int(name.removeprefix(_MARK))
+    return 0
+
+
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _placed(rows: DataFrame, spec: TableSpec, buckets: int) -> tuple[DataFrame, list[str]]:
+    """The rows with their partition columns, and the names of these."""
+    placed = rows.withColumn("day", spec.stored_day())
+    if not buckets:
+        return placed, ["day"]
+    return placed.withColumn("bucket", _bucket(F.col(spec.key[0]), buckets)), ["day", "bucket"]
+
+
+def _scan(spark: SparkSession, root: str, spec: TableSpec, buckets: int,
+          paths: Sequence[str] = ()) -> DataFrame:
+    """The table, or some folders of it, with all partition columns."""
+    schema = spec.stored_schema
+    if buckets:
+        schema = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+    base = table_path(root, spec)
+    return spark.read.schema(schema).option("basePath", base).parquet(*(paths or [base]))
+
+
 def create_tables(spark: SparkSession, root: str,
-                  specs: Sequence[TableSpec] = tuple(TABLES.values())) -> None:
-    """Creates the tables that do not exist yet."""
+                  specs: Sequence[TableSpec] = tuple(TABLES.values()), buckets: int = 0) -> None:
+    """Creates the tables that do not exist yet, with so many buckets a day."""
     for spec in specs:
+        path = table_path(root, spec)
+        if buckets and not children(spark, path):
+            make(spark, f"{path}/{_MARK}{buckets}")
         (spark.createDataFrame([], spec.stored_schema).write.mode("ignore")
-         .partitionBy("day").parquet(table_path(root, spec)))
+         .partitionBy("day").parquet(path))
 
 
 def read_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
-    return spark.read.schema(spec.stored_schema).parquet(table_path(root, spec))
+    return _scan(spark, root, spec, buckets_of(spark, root, spec)).drop("bucket")
 
 
 def read_days(spark: SparkSession, root: str, spec: TableSpec, as_of: Instant = None,
               back: timedelta = timedelta(hours=24),
-              ahead: timedelta = timedelta(0)) -> DataFrame:
+              ahead: timedelta = timedelta(0), key: str | None = None) -> DataFrame:
     """The table's days that ``[as_of - back, as_of + ahead]`` touches: what a trailing series
-    needs of it. For tables whose day is that of their time column."""
+    needs of it, of one ``key`` or of all. For tables whose day is that of their time column."""
     now = instant(as_of)
-    return read_table(spark, root, spec).filter(
+    buckets = buckets_of(spark, root, spec)
+    rows = _scan(spark, root, spec, buckets).filter(
         F.col("day").between(F.to_date(now - span(back)), F.to_date(now + span(ahead))))
+    if key is not None:
+        rows = rows.filter(F.col(spec.key[0]) == key)
+        if buckets:
+            rows = rows.filter(F.col("bucket") == _bucket(F.lit(key), buckets))
+    return rows.drop("bucket")
 
 
-def read_folders(spark: SparkSession, root: str, spec: TableSpec,
-                 days: Iterable[date]) -> DataFrame:
-    """The rows of some days; only the folders of these are listed and opened."""
+def read_folders(spark: SparkSession, root: str, spec: TableSpec, days: Iterable[date],
+                 parts: Iterable[tuple[date, int]] | None = None) -> DataFrame:
+    """The rows of some days; only the folders of these are listed and opened. With ``parts``, of a
+    table with buckets, only those of these days and buckets."""
     base = table_path(root, spec)
+    buckets = buckets_of(spark, root, spec)
     wanted = {f"day={day.isoformat()}" for day in days}
-    present = [f"{base}/{name}" for name in children(spark, base) if name in wanted] if wanted else []
+    present = [name for name in children(spark, base) if name in wanted] if wanted else []
+    if parts is not None:
+        inside = {f"day={day.isoformat()}/bucket={bucket}" for day, bucket in parts}
+        present = [f"{day}/{name}" for day in present for name in children(spark, f"{base}/{day}")
+                   if f"{day}/{name}" in inside]
     if not present:
         return spark.createDataFrame([], spec.stored_schema)
-    return spark.read.schema(spec.stored_schema).option("basePath", base).parquet(*present)
+    return _scan(spark, root, spec, buckets, [f"{base}/{name}" for name in present]).drop("bucket")
 
 
 def register_tables(spark: SparkSession, root: str, back: timedelta = timedelta(hours=24),
@@ -86,9 +142,15 @@ def touched_days(rows: DataFrame, spec: TableSpec) -> list[date]:
 
 
 def stored_rows(rows: DataFrame, root: str, spec: TableSpec) -> DataFrame:
-    """The stored rows of the days that ``rows`` touch, which hold every key they may share: a
-    row's day follows from its key."""
-    return read_folders(rows.sparkSession, root, spec, touched_days(rows, spec))
+    """The stored rows of the days, and buckets, that ``rows`` touch, which hold every key they may
+    share: a row's place follows from its key. One value per day or bucket reaches the driver."""
+    spark = rows.sparkSession
+    buckets = buckets_of(spark, root, spec)
+    if not buckets:
+        return read_folders(spark, root, spec, touched_days(rows, spec))
+    placed, names = _placed(rows.na.drop(subset=list(spec.key)), spec, buckets)
+    parts = {(p.day, p.bucket) for p in placed.select(*names).distinct().collect()}
+    return read_folders(spark, root, spec, {day for day, _ in parts}, parts)
 
 
 def stored_days(spark: SparkSession, root: str, spec: TableSpec) -> list[date]:
@@ -106,14 +168,14 @@ def insert_absent(rows: DataFrame, root: str, spec: TableSpec,
     size. The rebalance keeps files large and splits a day that is too big for one task. ``rows``
     are read twice, for their days and for themselves: cache them if they are costly.
     """
-    dated = rows.withColumn("day", spec.stored_day())
+    placed, names = _placed(rows, spec, buckets_of(rows.sparkSession, root, spec))
     stored = stored_rows(rows, root, spec)
     added = Observation()
-    fresh = only_new(first_per_key(dated.na.drop(subset=list(spec.key)), spec.key, order), stored,
+    fresh = only_new(first_per_key(placed.na.drop(subset=list(spec.key)), spec.key, order), stored,
                      ["day", *spec.key])
-    (fresh.select(*spec.schema.names, "day").hint("rebalance", "day")
+    (fresh.select(*spec.schema.names, *names).hint("rebalance", *names)
      .observe(added, F.count(F.lit(1)).alias("rows"))
-     .write.mode("append").partitionBy("day").parquet(table_path(root, spec)))
+     .write.mode("append").partitionBy(*names).parquet(table_path(root, spec)))
     return added.get.get("rows", 0)
 
 
@@ -125,6 +187,8 @@ def compact(spark: SparkSession, root: str, spec: TableSpec, days: Iterable[date
     """
     copy = shared_folder(spark, f"compact-{spec.name}")
     read_folders(spark, root, spec, days).write.parquet(copy)
-    (spark.read.schema(spec.stored_schema).parquet(copy).hint("rebalance", "day")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day").parquet(table_path(root, spec)))
+    rows = spark.read.schema(spec.stored_schema).parquet(copy).select(*spec.schema.names)
+    placed, names = _placed(rows, spec, buckets_of(spark, root, spec))
+    (placed.hint("rebalance", *names).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*names)
+     .parquet(table_path(root, spec)))
