@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks.standins import (
     AS_OF, HYDRO, HYDRO_STATIONS, K, RAW_ALERTS, SYNOP, WEATHER_STATIONS, check, events,
     events_stream, files_for, half_up, hydro, land, landed, messages, raw_alerts, stations, synop,
-    with_k)
+    with_k, zoneless)
 from tidewarden.operators.joins import only_new
 from tidewarden.operators.rules import Rule, classified
 from tidewarden.operators.windows import fall, rise, sliding_extremes
@@ -18,6 +18,7 @@ from tidewarden.plans import board, board_store
 from tidewarden.schemas import ALERT
 from tidewarden.session import shared_folder
 from tidewarden.sources.messages import decoded, folder_writer, keyed_json, landed_stream
+from tidewarden.streaming import watch
 from tidewarden.streaming.jobs import start_alert_job
 
 HOUR = timedelta(hours=1)
@@ -218,10 +219,9 @@ def storm_stream_repeats(spark, sf_dir):
     return _published(spark, found)
 
 
-@check(_storm_sql(_closed(1)))
-def storm_stream_late(spark, sf_dir):
+def _late(spark, sf_dir):
     """Two batches, a stop, and a restart with a third one and readings of the first day that come
-    too late: they change nothing, and no window comes twice."""
+    too late; the folders of the alerts and of the checkpoint."""
     folder = shared_folder(spark, "landed")
     readings = synop(events(spark, sf_dir))
     time = F.col("measurement_timestamp")
@@ -241,7 +241,40 @@ def storm_stream_late(spark, sf_dir):
         found = plans.storm_alerts(plans.synop_readings(stream),
                                    stations(spark, sf_dir, "weather"), as_of=AS_OF)
         start_alert_job(found, folder_writer(out), checkpoint, once=True).awaitTermination()
-    return decoded(spark.read.parquet(out), ALERT)
+    return out, checkpoint
+
+
+@check(_storm_sql(_closed(1)))
+def storm_stream_late(spark, sf_dir):
+    """Late readings change nothing, and no window comes twice."""
+    return decoded(spark.read.parquet(_late(spark, sf_dir)[0]), ALERT)
+
+
+@check(f"""
+WITH {SYNOP}
+SELECT station_id, window_start, window_end, first_value, last_value, top AS max_wind_speed
+FROM ({windows_sql("synop", "station_id", "measurement_timestamp", "pressure_hpa", 3, "wind_speed")})
+WHERE NOT {_closed(1)}""")
+def open_windows(spark, sf_dir):
+    """The windows that the stream holds after its last batch, out of its state."""
+    held = watch.open_windows(spark, _late(spark, sf_dir)[1], "station_id", ("wind_speed",))
+    return zoneless(held.drop("first_time", "last_time"))
+
+
+@check("""
+SELECT 'dedupe' AS operator, count(*) AS dropped FROM events WHERE ts < TIMESTAMP '2024-01-02'
+UNION ALL SELECT 'stateStoreSave', 0""")
+def late_rows(spark, sf_dir):
+    """The late readings, all dropped before the windows, by what a listener stored."""
+    stored = shared_folder(spark, "state-rows")
+    listener = watch.StateWatch(spark, stored)
+    spark.streams.addListener(listener)
+    try:
+        _late(spark, sf_dir)
+        listener.wait(2, 60)
+    finally:
+        spark.streams.removeListener(listener)
+    return watch.late_rows(spark, stored).groupBy("operator").agg(F.sum("dropped").alias("dropped"))
 
 
 @check(_flood_sql(_closed(2)))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewarden.schemas import HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, SYNOP_MEASUREMENTS
+from tidewarden.sources.statements import STATEMENTS, register_statements
 from tidewarden.sources.tables import create_tables, insert_absent, register_tables
 
 DAY = "INTERVAL '24 hours'"
@@ -74,3 +75,35 @@ def tables(spark, tmp_path_factory):
 def test_statement(spark, tables, statement, rows):
     args = {"id": "a"} if ":id" in statement else {}
     assert spark.sql(statement, args).count() == rows
+
+
+CALLS = {
+    "latest_weather": "days => 2", "latest_hydro": "days => 2", "weather_stations": "days => 2",
+    "weather_series": "station => 'a'", "last_weather": "station => 'a', days => 2",
+    "hydro_gauges": "days => 2", "hydro_series": "gauge => 'a'", "last_hydro": "gauge => 'a', days => 2",
+    "forecast_gauges": "hours => 24, hours_ahead => 4", "measured_series": "gauge => 'a', most => 3",
+    "forecast_series": "gauge => 'a'", "recent_levels": "rows => 2", "level_history": "",
+    "all_predictions": ""}
+
+
+@pytest.mark.parametrize("name", list(STATEMENTS))
+def test_table_functions(spark, tables, name):
+    """Rows over the stored tables, and days of which folders are opened."""
+    register_statements(spark)
+    rows = spark.sql(f"SELECT * FROM {name}({CALLS[name]})")
+    counts = {"weather_series": 4, "last_weather": 1, "hydro_series": 4, "last_hydro": 1,
+              "measured_series": 3, "forecast_series": 5, "recent_levels": 4, "level_history": 40,
+              "all_predictions": 40}
+    assert rows.count() == counts.get(name, 2)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    bounded = "day#" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert bounded == (name not in ("recent_levels", "level_history", "all_predictions"))
+
+
+def test_newest_rows_within_the_days_asked_for(spark, tables):
+    register_statements(spark)
+    shown = "SELECT gauge_id, water_level_cm FROM latest_hydro(as_of => now() - INTERVAL '{}', days => {})"
+    # 40 hours ago the newest reading was the one 41 hours ago, number 9.
+    assert {tuple(r) for r in spark.sql(shown.format("40 hours", 1)).collect()} == {("a", 9), ("b", 9)}
+    assert spark.sql(shown.format("200 hours", 1)).count() == 0
