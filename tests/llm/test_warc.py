@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,3 +113,28 @@ def test_chains_are_not_broadcast(spark):
     plan = warc._merged(links, links.select("file", "at"), ["file", "at"])._jdf.queryExecution() \
         .executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("region", [1, 10, 64, 1 << 20])
+def test_regions_of_any_size_keep_the_same_records(spark, monkeypatch, region):
+    """Random links, most of them forward, some to nowhere, back or to themselves."""
+    monkeypatch.setattr(warc, "REGION", region)
+    chance = random.Random(region)
+    links = []
+    for file in ("a", "b", "c"):
+        places = sorted({10, *chance.sample(range(11, 900), 120)})
+        for i, at in enumerate(places):
+            to = chance.choice([*places[i + 1:i + 6], at + 1000 if chance.random() < 0.1 else at + 3]) \
+                if chance.random() < 0.97 else chance.choice([at, 10, at + 1])
+            links.append((file, at, to))
+    onward = {(f, a): t for f, a, t in links}
+    expected = set()
+    for file in ("a", "b", "c"):
+        at = 10
+        while (file, at) in onward and (file, at) not in expected:
+            expected.add((file, at))
+            to = onward[file, at]
+            at = to if to > at else None
+    df = spark.createDataFrame(links, "file string, at long, to long").repartition(3)
+    got = [tuple(r) for r in warc.reachable(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected

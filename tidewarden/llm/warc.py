@@ -6,9 +6,10 @@ line separator is the blank line that ends a record.
 
 Reading: archives are read in splits, cut at each place where a record could begin (the version line,
 also inside payloads). For each candidate a task emits its offset and the offset of its successor, by
-the length that its header states. Pointer jumping from the start of each file, doubling the reach in
-every round, keeps the candidates that a chain of successors reaches; all others are payload that
-looks like a record, and go back to the record whose payload they are. A split knows how long its
+the length that its header states. Chains are first shortened inside regions of a file; pointer jumping
+from the start of each file, doubling the reach in every round, then tells where chains enter the
+regions, and the candidates on the chains from there are kept. All others are payload that looks like
+a record, and go back to the record whose payload they are. A split knows how long its
 parts are but not where it starts; the lengths of the splits before it tell.
 
 A null page is an empty payload; a null id or URL has no header of its own. Control characters in URLs
@@ -32,6 +33,8 @@ from tidewarden.functions.times import Instant, instant, iso_text
 from tidewarden.llm.common import ship_package, written
 from tidewarden.session import shared_folder
 
+#: Bytes of a file whose links are followed in one task.
+REGION = 8 << 20
 #: The start of a record, and what ends it.
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -246,7 +249,7 @@ def _merged(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner"
     return left.hint("merge").join(right.hint("merge"), on, how)
 
 
-def reachable(links: DataFrame) -> DataFrame:
+def jumped(links: DataFrame) -> DataFrame:
     """Columns file and at: what chains from the start of each file reach, of links (file, at, to).
     In each round the reached hand on to what lies as many records ahead as all rounds before
     together, and every link doubles its length."""
@@ -266,9 +269,71 @@ def reachable(links: DataFrame) -> DataFrame:
     return reached
 
 
+def _exits(stop: int, nodes: list[dict]) -> Iterator[tuple[int, int | None]]:
+    """Of a region's nodes: each with the first place at or after ``stop`` that its chain names, None
+    if the chain ends before."""
+    found: dict[int, int | None] = {}
+    for node in sorted(nodes, key=lambda n: -n["at"]):
+        at, to = node["at"], node["to"]
+        found[at] = to if to >= stop else found.get(to) if to > at else None
+        yield at, found[at]
+
+
+def _walks(entries: list[int], nodes: list[dict]) -> set[int]:
+    """The nodes of a region that chains from its entries pass."""
+    onward = {node["at"]: node["to"] for node in nodes}
+    passed: set[int] = set()
+    for at in entries:
+        while at in onward and at not in passed:
+            passed.add(at)
+            at = onward[at] if onward[at] > at else None
+    return passed
+
+
+def _by_rows(frame: DataFrame, of, schema: str) -> DataFrame:
+    """The rows (file, then whole numbers) that ``of`` makes of each row's other columns."""
+    kind = frame.schema["file"].dataType.simpleString()
+    width = len(schema.split(","))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                file, *rest = (column[i].as_py() for column in batch.columns)
+                made = list(of(*rest))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([file] * len(made), batch.schema.field(0).type),
+                     *[pa.array([row[k] for row in made], pa.int64()) for k in range(width)]],
+                    names=["file", *[part.split()[0] for part in schema.split(", ")]])
+
+    ship_package(frame.sparkSession)
+    return frame.mapInArrow(run, f"file {kind}, {schema}")
+
+
+def reachable(links: DataFrame) -> DataFrame:
+    """Columns file and at: what chains from the start of each file reach, of links (file, at, to).
+
+    A file's places are cut into regions, a row each with the region's links. A task follows the
+    chains of a region to where they leave it; pointers then jump over the places where chains leave and
+    enter regions alone, few to a region; and from the places reached a task walks through each region.
+    """
+    regions = written(links.groupBy("file", F.expr(f"at div {REGION}").alias("region")).agg(
+        F.collect_list(F.struct("at", "to")).alias("nodes")), "regions")
+    region = REGION  # the driver's value goes to the executors
+    exits = written(_by_rows(regions, lambda k, nodes: _exits((k + 1) * region, nodes),
+                             "at long, to long"), "exits")
+    entries = exits.select("file", F.col("to").alias("at")).filter("at IS NOT NULL").distinct().union(
+        exits.filter(F.col("at") == len(VERSION)).select("file", "at")).distinct()
+    entered = jumped(written(_merged(exits, entries, ["file", "at"]), "entries"))
+    starts = entered.groupBy("file", F.expr(f"at div {REGION}").alias("region")).agg(
+        F.collect_list("at").alias("entries"))
+    return _by_rows(_merged(regions, starts, ["file", "region"]).select("file", "entries", "nodes"),
+                    lambda entries, nodes: ((at,) for at in _walks(entries, nodes)), "at long")
+
+
 def _reassembled(spark: SparkSession, folder: str, broken: DataFrame) -> DataFrame:
     """Records whose payload holds version lines: their parts are read again and put together.
-    ``broken`` has file, block, place and at of the parts, owner and reach of their record."""
+    ``broken`` has number (of the file), block, place and at of the parts, and the owner. It is small
+    unless much of the archive lies in such payloads; Spark checks its size."""
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
         for batch in batches:
@@ -290,7 +355,8 @@ def _reassembled(spark: SparkSession, folder: str, broken: DataFrame) -> DataFra
     values = _parts(spark, folder).mapInArrow(
         again, "file string, block long, place long, value binary")
     # One group is one record, which its reader needs whole.
-    grouped = _merged(values, broken, ["file", "block", "place"]).groupBy(
+    numbered = values.withColumn("number", F.xxhash64("file"))
+    grouped = numbered.join(broken, ["number", "block", "place"]).groupBy(
         "file", F.col("owner").alias("at")).agg(
         F.sort_array(F.collect_list(F.struct("at", "value"))).alias("parts"))
     return grouped.mapInArrow(describe, f"file string, at long, {_RECORD}")
@@ -308,12 +374,12 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     marked = _merged(parts.withColumn("number", F.xxhash64("file")), starts, ["number", "at"], "left")
     whole = marked.filter("starts AND size >= reach").select("file", "at", *_NAMES)
     # Other parts are payload of the last record that starts before them.
-    so_far = Window.partitionBy("file").orderBy("at")
+    so_far = Window.partitionBy("number").orderBy("at")
     own = F.when(F.col("starts"), F.struct("at", "size", "reach"))
-    owned = marked.select("file", "block", "place", "at", F.last(own, ignorenulls=True).over(so_far)
+    owned = marked.select("number", "block", "place", "at", F.last(own, ignorenulls=True).over(so_far)
                           .alias("own"))
     broken = written(owned.filter("own.size < own.reach AND at < own.at + own.reach").select(
-        "file", "block", "place", "at", F.col("own.at").alias("owner")), "broken")
+        "number", "block", "place", "at", F.col("own.at").alias("owner")), "broken")
     return whole.unionByName(_reassembled(spark, folder, broken))
 
 
