@@ -37,22 +37,30 @@ def number_text(number: Column, decimals: int, unit: str = "") -> Column:
     """Fixed-point text with a unit, a dash where there is no number.
 
     The binary value itself is rounded, halves to the even digit: 2.25 is ``2.2``, and 1.005, which
-    lies just below its decimal form, is ``1.00``.
+    lies just below its decimal form, is ``1.00``. The plain format rounds the decimal form, so it
+    differs only where that is at a half, or next to it; there the exact value decides.
     """
     value, scale = number.cast("double"), 10.0 ** decimals
+    form = f"%.{decimals}f{unit.replace('%', '%%')}"
+    scaled = value * scale
+    # Wider than what the product and the decimal form are off.
+    near = F.abs(scaled - F.floor(scaled) - 0.5) <= 1e-6 + F.abs(scaled) * 1e-15
+    # A lambda is not compiled with the query, which keeps its code small, and runs for few numbers.
+    exact = F.transform(F.array(value), lambda v: F.format_string(form, _rounded(v, scale)))[0]
+    return F.when(near & (F.abs(scaled) < 2.0 ** 52), exact).when(
+        number.isNotNull(), F.format_string(form, value)).otherwise(F.lit(MISSING_NUMBER))
+
+
+def _rounded(value: Column, scale: float) -> Column:
+    """The value rounded to a multiple of ``1 / scale``, with its sign if that is 0."""
     scaled = value * scale
     down = F.floor(scaled).cast("double")
     part = scaled - down
     # What the product lost: at an apparent half it tells on which side the number lies.
     lost = _product_error(value, scale, scaled)
     up = (part > 0.5) | ((part == 0.5) & ((lost > 0) | ((lost == 0) & (down % 2 != 0))))
-    rounded = F.when(up, down + 1).otherwise(down)
-    # From 2 ** 52 on, every scaled number is whole.
-    shown = F.when(F.abs(scaled) < 2.0 ** 52, rounded / scale).otherwise(value)
-    text = F.format_string(f"%.{decimals}f{unit.replace('%', '%%')}", shown)
-    signed = F.when((value < 0) & (shown == 0), F.concat(F.lit("-"), F.format_string(
-        f"%.{decimals}f{unit.replace('%', '%%')}", F.lit(0.0)))).otherwise(text)
-    return F.when(number.isNotNull(), signed).otherwise(F.lit(MISSING_NUMBER))
+    shown = F.when(up, down + 1).otherwise(down) / scale
+    return F.when((value < 0) & (shown == 0), F.lit(-0.0)).otherwise(shown)
 
 
 def _product_error(a: Column, b: float, product: Column) -> Column:
