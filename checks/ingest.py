@@ -14,7 +14,7 @@ from checks.standins import (
 from tidewarden.functions.text import logical_key
 from tidewarden.operators.dedup import first_in_stream, first_per_key
 from tidewarden.operators.normalize import (
-    PLACE, POLLED_AT, judged_hydro, judged_weather, rejected, usable)
+    PLACE, POLLED_AT, judged_hydro, judged_weather, reject_reasons, rejected, usable)
 from tidewarden.plans.ingest import ingest, ingest_report, ingest_stream
 from tidewarden.plans.views import hydro_series
 from tidewarden.schemas import HYDRO as HYDRO_MESSAGE
@@ -167,6 +167,59 @@ def raw_feed_records(spark, sf_dir):
     return usable(judged_weather(feed_records(documents, RAW_WEATHER), AS_OF))
 
 
+# Parts of a record's text by the remainder of k: a field that is whole, absent, null, of another type.
+_LEVELS = ["', \"stan_wody\": \"' || {k} || '\"'", "''", "', \"stan_wody\": null'",
+           "', \"stan_wody\": \"b.d.\"'", "', \"stan_wody\": \"' || {k} || '.5\"'",
+           "', \"stan_wody\": ' || {k}", "', \"stan_wody\": {{\"cm\": 1}}'", "', \"stan_wody\": [7]'"]
+_FLOWS = ["''", "', \"przeplyw\": null'", "', \"przeplyw\": \"1.25\"'", "', \"przeplyw\": \"-\"'",
+          "', \"przeplyw\": 2.5'"]
+_TIMES = ["', \"stan_wody_data_pomiaru\": \"2024-01-01 10:00:00\"'", "''",
+          "', \"stan_wody_data_pomiaru\": null'"]
+
+
+def _record_sql(k):
+    def chosen(parts):
+        cases = " ".join(f"WHEN {i} THEN {part.format(k=k)}" for i, part in enumerate(parts))
+        return f"CASE CAST(floor({k} / {len(parts)}) AS INT) % {len(parts)} {cases} END"
+
+    def first(parts):
+        cases = " ".join(f"WHEN {i} THEN {part.format(k=k)}" for i, part in enumerate(parts))
+        return f"CASE {k} % {len(parts)} {cases} END"
+
+    return (f"CASE WHEN {k} % 17 = 0 THEN '[]' WHEN {k} % 13 = 0 THEN '{{\"id_stacji\"' ELSE "
+            f"'{{\"id_stacji\": \"' || user_id || '\"' || {first(_LEVELS)} || {chosen(_FLOWS)} "
+            f"|| {first(_TIMES)} || '}}' END")
+
+
+def _reason_sql(field, required, fits):
+    missing = "'absent'" if required else "NULL"
+    null = "'null'" if required else "NULL"
+    return f"""
+  SELECT event_id, '{field}' AS field,
+         CASE WHEN json_type(value, '$.{field}') IS NULL THEN {missing}
+              WHEN json_type(value, '$.{field}') = 'NULL' THEN {null}
+              WHEN json_type(value, '$.{field}') IN ('OBJECT', 'ARRAY') OR NOT ({fits}) THEN 'mistyped'
+         END AS reason
+  FROM whole"""
+
+
+@check(f"""
+WITH sent AS (SELECT event_id, {_record_sql(K)} AS value FROM events),
+whole AS (SELECT * FROM sent WHERE json_valid(value) AND json_type(value) = 'OBJECT')
+SELECT event_id, NULL::VARCHAR AS field, 'broken' AS reason FROM sent
+WHERE event_id NOT IN (SELECT event_id FROM whole)
+UNION ALL SELECT * FROM (
+  {_reason_sql("id_stacji", True, "TRUE")}
+  UNION ALL {_reason_sql("stan_wody_data_pomiaru", True, "TRUE")}
+  UNION ALL {_reason_sql("stan_wody", True, "regexp_full_match(value->>'$.stan_wody', '[0-9]+')")}
+  UNION ALL {_reason_sql("przeplyw", False, "TRY_CAST(value->>'$.przeplyw' AS DOUBLE) IS NOT NULL")})
+WHERE reason IS NOT NULL""")
+def reject_field_reasons(spark, sf_dir):
+    """Records as text, told apart by what is wrong with each field."""
+    rows = with_k(events(spark, sf_dir)).select("event_id", F.expr(_record_sql("k")).alias("value"))
+    return reject_reasons(rows, "value")
+
+
 _NEW_HYDRO = f"""
 WITH {RAW_HYDRO_SQL},
 good AS (SELECT * EXCLUDE (bad_flow) FROM raw_hydro

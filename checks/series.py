@@ -18,12 +18,13 @@ from tidewarden.operators.series import (
     bucket_means, key_list, last_seen, series_summary, trailing_series, warnings_of)
 from tidewarden.plans import board, views
 from tidewarden.plans import forecast as plans
+from tidewarden.plans.rollups import rolled_means, rolled_summary, update_rollup
 from tidewarden.schemas import HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, SYNOP_MEASUREMENTS
 from tidewarden.session import shared_folder
 from tidewarden.sources.latest import (
     last_seen_of_table, latest_of_table, read_latest, update_latest)
 from tidewarden.sources.stations import build_stations, combined_stations, write_stations
-from tidewarden.sources.tables import create_tables, insert_absent
+from tidewarden.sources.tables import create_tables, insert_absent, touched_days
 
 NOW = f"TIMESTAMP '{AS_OF}'"
 LAST_DAY = f"BETWEEN {NOW} - INTERVAL 24 HOUR AND {NOW}"
@@ -293,6 +294,38 @@ def last_seen_of_stations(spark, sf_dir):
         oldest=date(2024, 1, 5)))
 
 
+def _rolled(spark, sf_dir):
+    """Weather stored in two batches, of which the second is repeated, with its minute rollups."""
+    root = shared_folder(spark, "rollup")
+    create_tables(spark, root, [SYNOP_MEASUREMENTS])
+    rows = zoned(_synop(spark, sf_dir))
+    late = F.second("measurement_timestamp") % 3 == 0
+    for part in (rows.filter(~late), rows.filter(late), rows.filter(late)):
+        insert_absent(part, root, SYNOP_MEASUREMENTS)
+        update_rollup(spark, root, SYNOP_MEASUREMENTS, touched_days(part, SYNOP_MEASUREMENTS))
+    return root
+
+
+@check(f"""
+WITH {SYNOP}
+SELECT station_id, date_trunc('minute', measurement_timestamp) AS measurement_timestamp,
+       avg(temperature) AS temperature, avg(humidity) AS humidity,
+       avg(pressure_hpa) AS pressure_hpa, avg(wind_speed) AS wind_speed
+FROM synop WHERE measurement_timestamp {LAST_DAY} GROUP BY ALL""")
+def weather_series_rollup(spark, sf_dir):
+    return zoneless(rolled_means(spark, _rolled(spark, sf_dir), SYNOP_MEASUREMENTS, AS_OF))
+
+
+@check(f"""
+WITH {SYNOP}
+SELECT station_id, count(*) AS readings, max(measurement_timestamp) AS last_ts,
+       count(temperature) > 0 AS has_temperature, count(humidity) > 0 AS has_humidity,
+       count(pressure_hpa) > 0 AS has_pressure_hpa, count(wind_speed) > 0 AS has_wind_speed
+FROM synop GROUP BY station_id""")
+def summary_of_rollup(spark, sf_dir):
+    return zoneless(rolled_summary(spark, _rolled(spark, sf_dir), SYNOP_MEASUREMENTS))
+
+
 @check(f"""
 WITH {HYDRO}
 SELECT gauge_id, measurement_timestamp, water_level_cm FROM hydro ORDER BY measurement_timestamp

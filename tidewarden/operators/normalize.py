@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 from operator import or_
 
@@ -104,3 +105,37 @@ def normalize_weather(raw: DataFrame, as_of: Instant = None) -> DataFrame:
 def normalize_hydro(raw: DataFrame, as_of: Instant = None,
                     warning_level: Column | None = None) -> DataFrame:
     return usable(judged_hydro(raw, as_of, warning_level)).select(*HYDRO.names)
+
+
+def field_reasons(text: Column, fields: Mapping[str, tuple[str, bool]]) -> Column:
+    """What is wrong with a JSON record, as an array of (field, reason), empty if nothing is.
+
+    ``fields`` gives each field's type and whether it must be there. A required field is ``absent``,
+    or ``null``, or any field ``mistyped``: an object or an array, or a value that the type doesn't
+    take, where numbers may come as text. Text that is no JSON object is ``broken``, of no field.
+    """
+    record = F.try_parse_json(text)
+    found = []
+    for name, (kind, required) in fields.items():
+        value = F.try_variant_get(record, f"$.{name}", "variant")
+        plain = F.try_variant_get(record, f"$.{name}", "string")
+        nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
+        problem = F.when(value.isNull(), F.lit("absent" if required else None)).when(
+            F.is_variant_null(value), F.lit("null" if required else None)).when(
+            nested | plain.try_cast(kind).isNull(), F.lit("mistyped"))
+        found.append(F.struct(F.lit(name).alias("field"), problem.alias("reason")))
+    broken = F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit("broken").alias("reason")))
+    whole = F.coalesce(F.schema_of_variant(record).startswith("OBJECT"), F.lit(False))
+    return F.when(whole, F.filter(F.array(*found), lambda f: f.reason.isNotNull())).otherwise(broken)
+
+
+#: Type and presence that a raw river record needs.
+HYDRO_FIELDS = {"id_stacji": ("string", True), "stan_wody_data_pomiaru": ("string", True),
+                "stan_wody": ("int", True), "przeplyw": ("double", False)}
+
+
+def reject_reasons(rows: DataFrame, text: str, fields: Mapping[str, tuple[str, bool]] | None = None
+                   ) -> DataFrame:
+    """The rows' other columns with field and reason, a row for each thing wrong with a record."""
+    reasons = F.inline(field_reasons(F.col(text), HYDRO_FIELDS if fields is None else fields))
+    return rows.select(*[c for c in rows.columns if c != text], reasons)

@@ -17,10 +17,11 @@ from tidewarden.operators.normalize import usable
 from tidewarden.plans.forecast import (
     HORIZONS, create_model_store, forecast_levels, load_models, save_models)
 from tidewarden.plans.ingest import JUDGES, LOGICAL_KEYS, ingest
+from tidewarden.plans.rollups import update_rollup
 from tidewarden.plans.training import (
     complete_days, models_from_days, read_days_of_levels, update_days)
 from tidewarden.schemas import (
-    HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, TOPICS, TableSpec)
+    HYDRO_MEASUREMENTS, HYDRO_PREDICTIONS, SYNOP_MEASUREMENTS, TOPICS, TableSpec)
 from tidewarden.sources.messages import BatchWriter, decoded, keyed_json, row_json
 from tidewarden.sources.latest import has_latest, read_latest, update_latest
 from tidewarden.sources.tables import (
@@ -88,8 +89,8 @@ def start_history_job(messages: DataFrame, root: str, checkpoint: str,
                       every: timedelta | None = None, once: bool = False,
                       write_rejects: BatchWriter | None = None) -> StreamingQuery:
     """Stores every topic in its history table, insert-if-absent, and keeps the latest rows of each
-    station and gauge and the levels' daily training statistics beside it. Rows without a whole key
-    go to ``write_rejects``, as JSON under their topic's name.
+    station and gauge, the levels' daily training statistics and the weather's minute rollups beside
+    it. Rows without a whole key go to ``write_rejects``, as JSON under their topic's name.
 
     The append and the checkpoint are two commits; a batch that is repeated after a crash finds
     its rows stored and adds nothing. Keep to one writer per table.
@@ -107,8 +108,11 @@ def start_history_job(messages: DataFrame, root: str, checkpoint: str,
                 insert_absent(rows, root, spec, arrival)
                 if len(spec.key) == 2:
                     update_latest(rows, root, spec, arrival)
+                days = touched_days(rows, spec)
                 if spec is HYDRO_MEASUREMENTS:
-                    update_days(rows.sparkSession, root, touched_days(rows, spec))
+                    update_days(rows.sparkSession, root, days)
+                if spec is SYNOP_MEASUREMENTS:
+                    update_rollup(rows.sparkSession, root, spec, days)
                 lost.append(keyed_json(
                     keyless(rows, spec).withColumn("topic", F.lit(topic)), "topic"))
             if write_rejects is not None:
