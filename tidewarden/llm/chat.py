@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewarden.llm.common import written
+
 #: Turn numbers in a block, and so the most turns that are rendered together.
 BLOCK = 64
 
@@ -88,6 +90,7 @@ def collapse_snapshots(rows: DataFrame, conv_id: str = "conv_id", turn: str = "t
                        end: str = "<|im_end|>", block: int = BLOCK) -> DataFrame:
     """Columns conv_id, n_turns, equal, piece (from 0), turns and text; a row for each piece."""
     ranked, blocks, prefixes = prefix_hashes(rows, conv_id, turn, role, text, block)
+    prefixes = written(prefixes, "prefixes")  # three consumers
     numbered = Window.partitionBy("no_id", "conv").orderBy("block")
     kept = blocks.withColumn("piece", F.row_number().over(numbered) - 1).join(
         maximal(prefixes), ["no_id", "conv"]).select("no_id", "conv", "block", "piece", "equal")
