@@ -23,6 +23,19 @@ def plain_winnow(text, k, window):
     return [(int(hashes[p]), p) for p in sorted(places)]
 
 
+def plain_likeness(a, b):
+    """Of what windows of one size choose in both texts: the size of the shorter text's windows."""
+    def chosen(text, width):
+        if not text:
+            return set()
+        hashes = fp.rolling_hashes(np.frombuffer(text.encode("utf-32-le"), "<u4"), fp.K).tolist()
+        return {min(hashes[i:i + width]) for i in range(max(len(hashes) - width, 0) + 1)}
+
+    width = max(1, min(fp.WINDOW, *(max(len(t) - fp.K + 1, 1) // fp.SHORT for t in (a, b))))
+    a, b = chosen(a, width), chosen(b, width)
+    return len(a & b) / len(a | b) if a | b else 1
+
+
 def texts():
     random.seed(5)
     words = ["".join(random.choice("abcdé ") for _ in range(n)) for n in (1, 5, 11, 12, 13, 40, 700)]
@@ -85,9 +98,19 @@ def test_edited_texts_against_a_plain_loop(spark, parts):
         assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert r.fingerprint == fp.as_string(*fp.winnow(text))
         assert r.edited_fingerprint == fp.as_string(*fp.winnow(edited))
-        a, e, n = (set(fp.winnow(t)[0].tolist()) for t in (text, edited, other))
-        assert r.near_edited == pytest.approx(len(a & e) / len(a | e) if a | e else 1)
-        assert r.near_next == pytest.approx(len(a & n) / len(a | n) if a | n else 1)
+        assert r.near_edited == pytest.approx(plain_likeness(text, edited))
+        assert r.near_next == pytest.approx(plain_likeness(text, other))
+
+
+def test_a_text_inside_a_longer_one_is_sampled_alike():
+    """All of the short text's hashes lie in the long one; windows of two sizes would miss most."""
+    random.seed(3)
+    short = "".join(random.choices("abcdefghijklmnop ", k=100))
+    long = "".join(random.choices("abcdefghijklmnop ", k=400)) + short
+    found = [fp.winnow(t)[0] for t in (short, long)]
+    assert fp.text_likeness(short, long, *found) == fp.text_likeness(long, short, *found[::-1])
+    assert fp.text_likeness(short, long, *found) == pytest.approx(plain_likeness(short, long))
+    assert fp.text_likeness(short, short, found[0], found[0]) == 1
 
 
 def test_odd_tables(spark):

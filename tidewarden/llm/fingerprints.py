@@ -7,7 +7,8 @@ chosen hash of it; passages under k characters never match.
 
 The window is ``WINDOW`` hashes for long texts and an eighth of the hashes for shorter ones, so that
 a short text has several. What a window chooses, each narrower window of the same text chooses too,
-so texts with different windows keep the guarantee of the wider one.
+so texts with different windows keep the guarantee of the wider one. The likeness of two texts is that
+of what one window chooses in both, the narrower of theirs.
 
 As a string a fingerprint is twelve hex digits for each chosen hash, in text order: ten of the hash,
 two of the distance from the place before (the first: from the start). Equal texts have equal
@@ -67,13 +68,20 @@ def smallest_places(hashes: np.ndarray, window: int) -> np.ndarray:
     return places[np.concatenate(([True], places[1:] != places[:-1]))]
 
 
-def winnow(text: str, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """The chosen hashes of a text and their places, in text order."""
+def width_of(text: str, k: int = K, window: int = WINDOW) -> int:
+    """The window of a text."""
+    return max(1, min(window, max(len(text) - k + 1, 1) // SHORT))
+
+
+def winnow(text: str, k: int = K, window: int = WINDOW,
+           width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a text that its window, or one of ``width``, chooses and their places, in text
+    order."""
     if not text:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
     count = max(len(codes) - k + 1, 1)
-    width = max(1, min(window, count // SHORT))
+    width = width_of(text, k, window) if width is None else min(width, count)
     chosen, places, last = [], [], -1
     # Blocks of windows; a block reads the codes of its last window to the end.
     for start in range(0, count - width + 1, BLOCK):
@@ -103,6 +111,18 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return shared / union if union else 1.0
 
 
+def text_likeness(a: str, b: str, of_a: np.ndarray, of_b: np.ndarray, k: int = K,
+                  window: int = WINDOW) -> float:
+    """Likeness of two texts with these chosen hashes; a text with the wider window is winnowed again
+    with the narrower."""
+    at_a, at_b = width_of(a, k, window), width_of(b, k, window)
+    if at_a > at_b:
+        of_a = winnow(a, k, window, at_b)[0]
+    elif at_b > at_a:
+        of_b = winnow(b, k, window, at_a)[0]
+    return likeness(of_a, of_b)
+
+
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K,
                  window: int = WINDOW) -> DataFrame:
     """Columns doc_id and fingerprint, a row for each document."""
@@ -176,7 +196,8 @@ def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                         held_key, len(held_text),
                         hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
                         as_string(*held_found), as_string(*of_edited),
-                        likeness(held_found[0], of_edited[0]), likeness(held_found[0], found[0])))
+                        text_likeness(held_text, edited, held_found[0], of_edited[0], k, window),
+                        text_likeness(held_text, text, held_found[0], found[0], k, window)))
                 held = None if is_next else (at, key, text, found)
             columns = list(zip(*out)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
