@@ -130,6 +130,11 @@ def test_model_store(spark, tmp_path):
     assert load_models(spark, path).count() == 2
     assert save_models(first, path, "2026-01-04 00:00:00")
     assert len(list((tmp_path / "models").glob("trained_at=*"))) == 2
+    # A run that is being written, or was copied in part, doesn't count.
+    broken = tmp_path / "models" / "trained_at=20260105000000"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_text("no Parquet yet")
+    assert load_models(spark, path).count() == 2
 
 
 def test_scoring_keeps_the_first_forecast(spark, tmp_path):

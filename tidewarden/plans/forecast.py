@@ -56,8 +56,10 @@ def create_model_store(spark: SparkSession, path: str) -> None:
 
 
 def _runs(spark: SparkSession, path: str) -> list[str]:
-    """The stored runs' folders, oldest first."""
-    return [name for name in children(spark, path) if name.startswith("trained_at=")]
+    """The stored runs' folders, oldest first; one without its commit mark is being written, or was
+    copied in part, and doesn't count."""
+    return [name for name in children(spark, path) if name.startswith("trained_at=")
+            and "_SUCCESS" in children(spark, f"{path}/{name}")]
 
 
 def save_models(models: DataFrame, path: str, as_of: Instant = None) -> bool:
@@ -66,19 +68,18 @@ def save_models(models: DataFrame, path: str, as_of: Instant = None) -> bool:
     A run that is repeated for the same second replaces itself. The run before stays until the next,
     so a failed write leaves it readable; older ones are removed.
     """
-    stamped = models.withColumn("trained_at", F.date_format(
-        instant(as_of), "yyyyMMddHHmmss"))
-    stamped.persist()
+    spark = models.sparkSession
+    at = spark.range(1).select(F.date_format(instant(as_of), "yyyyMMddHHmmss")).first()[0]
+    models = models.select(*MODEL.names).persist()
     try:
-        if stamped.isEmpty():
+        if models.isEmpty():
             return False
-        (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("trained_at").parquet(path))
-        for name in _runs(models.sparkSession, path)[:-2]:
-            remove(models.sparkSession, f"{path}/{name}")
+        models.write.mode("overwrite").parquet(f"{path}/trained_at={at}")
+        for name in _runs(spark, path)[:-2]:
+            remove(spark, f"{path}/{name}")
         return True
     finally:
-        stamped.unpersist()
+        models.unpersist()
 
 
 def load_models(spark: SparkSession, path: str) -> DataFrame:
