@@ -22,6 +22,7 @@ whole by Spark. An empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -119,56 +120,61 @@ def _mapped(rows: DataFrame, of: Callable[[dict], Iterator[dict]], schema: str)
     return rows.mapInArrow(run, types)
 
 
-def _closed(row: dict) -> Iterator[dict]:
-    digests = [n["digest"] for n in row["nodes"]]
-    yield row | {"top": levels_of(digests, min(BITS, height(row["n"])))[-1][0]}
+def _levels(row: dict, bits: int) -> list[list[str]]:
+    """A block's nodes and the levels above them, up to its own node."""
+    return levels_of([n["digest"] for n in row["nodes"]], min(bits, height(row["n"])))
 
 
-def _child_paths(row: dict) -> Iterator[dict]:
-    levels = levels_of([n["digest"] for n in row["nodes"]], min(BITS, height(row["n"])))
+def _closed(bits: int, row: dict) -> Iterator[dict]:
+    yield row | {"top": _levels(row, bits)[-1][0]}
+
+
+def _child_paths(bits: int, row: dict) -> Iterator[dict]:
+    levels = _levels(row, bits)
     for at, child in enumerate(row["nodes"]):
         yield {"tree": row["tree"], "block": child["place"], "path": siblings(levels, at) + row["path"],
                "root": row["root"]}
 
 
-def block_paths(nodes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def block_paths(nodes: DataFrame, bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Of nodes (tree, place, n, id, digest, changed): the blocks of them, for each of these the
     siblings above it up to its tree's root (``path``), and the trees' roots (tree, root)."""
     steps: list[DataFrame] = []
     while True:
-        blocks = nodes.groupBy("tree", F.shiftright("place", BITS).alias("block")).agg(
+        blocks = nodes.groupBy("tree", F.shiftright("place", bits).alias("block")).agg(
             F.sort_array(F.collect_list(F.struct("place", "id", "digest", "changed"))).alias("nodes"),
             F.max("n").alias("n"))
         steps.append(written(_mapped(blocks.withColumn("top", F.lit(None).cast("string")),
-                                     _closed, _BLOCK), "blocks"))
+                                     functools.partial(_closed, bits), _BLOCK), "blocks"))
         most = steps[-1].agg(F.max("n")).first()[0] or 0
-        if most <= 1 << BITS:
+        if most <= 1 << bits:
             break
         # A tree that is done goes along as its only node.
         nodes = steps[-1].select(
             "tree", F.col("block").alias("place"), F.lit(None).cast("long").alias("id"),
             F.col("top").alias("digest"), F.lit(None).cast("string").alias("changed"),
-            F.ceil(F.col("n") / (1 << BITS)).alias("n"))
+            F.ceil(F.col("n") / (1 << bits)).alias("n"))
     roots = written(steps[-1].select("tree", F.col("top").alias("root")), "roots")
     paths = roots.select("tree", F.lit(0).cast("long").alias("block"),
                          F.array().cast("array<string>").alias("path"), "root")
     for blocks in reversed(steps[1:]):
-        paths = written(_mapped(blocks.hint("merge").join(paths, ["tree", "block"]), _child_paths,
-                                "tree string, block bigint, path array<string>, root string"), "paths")
+        paths = written(_mapped(blocks.hint("merge").join(paths, ["tree", "block"]),
+                                functools.partial(_child_paths, bits), "tree string, block bigint, path array<string>, root string"), "paths")
     return steps[0], paths, roots
 
 
-def build(leaves: DataFrame) -> DataFrame:
+def build(leaves: DataFrame, bits: int = BITS) -> DataFrame:
     """The blocks of leaves of (tree, id, digest, changed), with the siblings above each up to the
     dataset's root (``path``), its tree's root (``subroot``) and the ``root``."""
     leaves = written(leaves, "leaves")
-    blocks, paths, subroots = block_paths(place(leaves, "tree", ["id", "digest", "changed"]))
+    blocks, paths, subroots = block_paths(
+        place(leaves, "tree", ["id", "digest", "changed"]), bits)
     names = place(subroots.select(F.lit("").alias("tree"), F.lit(None).cast("long").alias("id"),
                                   F.col("root").alias("digest"), F.col("tree").alias("changed")),
                   "tree", ["changed"])
-    name_blocks, name_paths, top = block_paths(names)
-    above = _mapped(name_blocks.join(name_paths, ["tree", "block"]), _name_paths,
-                    "tree string, above array<string>, whole string")
+    name_blocks, name_paths, _ = block_paths(names, bits)
+    above = _mapped(name_blocks.join(name_paths, ["tree", "block"]),
+                    functools.partial(_name_paths, bits), "tree string, above array<string>, whole string")
     # Paths grow with the leaves, the trees' names don't as a rule: Spark checks their size.
     return blocks.hint("merge").join(paths.withColumnRenamed("root", "subroot"), ["tree", "block"]).join(
         written(above, "names"), "tree").select(
@@ -176,15 +182,15 @@ def build(leaves: DataFrame) -> DataFrame:
             F.size("path").alias("inner"), "subroot", F.col("whole").alias("root"))
 
 
-def _name_paths(row: dict) -> Iterator[dict]:
-    levels = levels_of([n["digest"] for n in row["nodes"]], min(BITS, height(row["n"])))
+def _name_paths(bits: int, row: dict) -> Iterator[dict]:
+    levels = _levels(row, bits)
     for at, child in enumerate(row["nodes"]):
         yield {"tree": child["changed"], "above": siblings(levels, at) + row["path"],
                "whole": row["root"]}
 
 
-def _verified(row: dict) -> Iterator[dict]:
-    levels = levels_of([n["digest"] for n in row["nodes"]], min(BITS, height(row["n"])))
+def _verified(bits: int, row: dict) -> Iterator[dict]:
+    levels = _levels(row, bits)
     shared = copy_path(row["top"], row["path"])
     for at, leaf in enumerate(row["nodes"]):
         inside = siblings(levels, at)
@@ -199,15 +205,15 @@ def _verified(row: dict) -> Iterator[dict]:
                "verified": folded == row["root"]}
 
 
-def verify(tree: DataFrame) -> DataFrame:
-    """Of ``build``: for each leaf the siblings up to the root, lowest first, and the root of its
-    version."""
-    return _mapped(tree, _verified, "id bigint, leaf string, subroot string, root string, "
+def verify(tree: DataFrame, bits: int = BITS) -> DataFrame:
+    """Of ``build`` with the same ``bits``: for each leaf the siblings up to the root, lowest first, and
+    the root of its version."""
+    return _mapped(tree, functools.partial(_verified, bits), "id bigint, leaf string, subroot string, root string, "
                                     "proof array<string>, folded_root string, verified boolean")
 
 
-def _copied(row: dict) -> Iterator[dict]:
-    levels = levels_of([n["digest"] for n in row["nodes"]], min(BITS, height(row["n"])))
+def _copied(bits: int, row: dict) -> Iterator[dict]:
+    levels = _levels(row, bits)
     for at, leaf in enumerate(row["nodes"]):
         if leaf["changed"] is not None and leaf["changed"] != leaf["digest"]:
             nodes = [leaf["changed"], *copy_path(leaf["changed"], siblings(levels, at) + row["path"])]
@@ -215,11 +221,11 @@ def _copied(row: dict) -> Iterator[dict]:
                 yield {"tree": row["tree"], "version": leaf["place"], "level": level, "digest": digest}
 
 
-def copied_nodes(tree: DataFrame) -> DataFrame:
-    """Of ``build``: the nodes that the version of each changed leaf (its place in its tree) doesn't
+def copied_nodes(tree: DataFrame, bits: int = BITS) -> DataFrame:
+    """Of ``build`` with the same ``bits``: the nodes that the version of each changed leaf (its place in its tree) doesn't
     share with the original, from the leaf (level 0) to the root. Levels go on through the tree of roots.
     """
-    return _mapped(tree, _copied, "tree string, version bigint, level int, digest string")
+    return _mapped(tree, functools.partial(_copied, bits), "tree string, version bigint, level int, digest string")
 
 
 def document_leaves(docs: DataFrame, tampered: Column) -> DataFrame:
