@@ -17,6 +17,7 @@ from tidewarden.sources.feeds import raw_feed_stream
 from tidewarden.sources.messages import (
     decoded, folder_writer, kafka_options, landed_replay, landed_stream)
 from tidewarden.sources.tables import create_tables, insert_absent, read_table
+from tidewarden.streaming import jobs
 from tidewarden.streaming.jobs import start_alert_job, start_history_job, start_ingest_job
 
 STATIONS = "id string, lat double, lon double, name string"
@@ -177,6 +178,27 @@ def test_ingest_job_publishes_once_and_keeps_rejects(spark, land, tmp_path):
     assert run("two") == []
 
 
+def test_history_job_takes_only_its_topics(spark, land, tmp_path, monkeypatch):
+    """Messages of other topics are gone before a batch is held, and one topic is held once."""
+    taken, held = [], []
+    plain = jobs.history_rows
+
+    def rows_of(batch, topic):
+        taken.append({r.topic for r in batch.select("topic").distinct().collect()})
+        held.append(batch.is_cached)
+        return plain(batch, topic)
+
+    monkeypatch.setattr(jobs, "history_rows", rows_of)
+    landed = land(messages(spark, level("10:00", 5), topic="hydro").union(
+        messages(spark, reading("10:00"))))
+    for topics in (("synop",), ("hydro", "synop")):
+        start_history_job(landed_stream(spark, landed), str(tmp_path / f"tables-{len(topics)}"),
+                          str(tmp_path / f"check-{len(topics)}"), topics, once=True
+                          ).awaitTermination()
+    assert taken == [{"synop"}, {"hydro", "synop"}, {"hydro", "synop"}]
+    assert held == [False, True, True]
+
+
 @pytest.mark.parametrize("fails", [False, True])
 def test_history_job_leaves_nothing_cached(spark, land, tmp_path, fails):
     """Several batches with rejects, and one whose rejects can't be written."""

@@ -93,14 +93,17 @@ def start_history_job(messages: DataFrame, root: str, checkpoint: str,
     it. Rows without a whole key go to ``write_rejects``, as JSON under their topic's name.
 
     The append and the checkpoint are two commits; a batch that is repeated after a crash finds
-    its rows stored and adds nothing. Keep to one writer per table.
+    its rows stored and adds nothing. Keep to one writer per table. Messages of other topics are
+    dropped as they come.
     """
     create_tables(messages.sparkSession, root)
+    wanted = messages.filter(F.col("topic").isin(*topics))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         arrival = ("ingestion_timestamp", "partition", "offset")
         with _caching() as cached:
-            cached(batch)
+            if len(topics) > 1:  # the rows of a single one are all that is read of the batch
+                cached(batch)
             lost: list[DataFrame] = []
             for topic in topics:
                 rows, spec = history_rows(batch, topic)
@@ -118,7 +121,7 @@ def start_history_job(messages: DataFrame, root: str, checkpoint: str,
             if write_rejects is not None:
                 write_rejects(functools.reduce(DataFrame.unionByName, lost), batch_id)
 
-    return _started(messages, store, checkpoint, every, once)
+    return _started(wanted, store, checkpoint, every, once)
 
 
 def start_ingest_job(raw: DataFrame, topic: str, write: BatchWriter, write_rejects: BatchWriter,
