@@ -5,6 +5,7 @@ Each stand-in has a Spark form and an SQL form (a common table expression) of th
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -117,17 +118,24 @@ HYDRO = f"""hydro AS (
   FROM events)"""
 
 
-#: Most files that a batch of a landed stream has.
-FILES = 8
+#: Numbers of files that a batch of a landed stream may have, each a multiple of the next.
+FILES = (256, 128, 64, 32, 16, 8, 4, 2, 1)
+#: Rows in a file on average, if it has more than 8.
+FILE_ROWS = 50_000
 
 
 def files_for(parts: list[DataFrame], key: str) -> int:
     """Into how many files the rows of each part can be dealt by their key, so that none is empty."""
-    slot = F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(FILES))
-    filled = [part.agg(*[F.max(slot % n == i) for n in (8, 4, 2) for i in range(n)]).first()
-              for part in parts]
-    for n, at in ((8, 0), (4, 8), (2, 12)):
-        if all(all(row[at:at + n]) for row in filled):
+    slot = F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(FILES[0])).alias("slot")
+    slots = functools.reduce(DataFrame.union, [
+        part.select(F.lit(i).alias("part"), slot) for i, part in enumerate(parts)])
+    counts: list[dict[int, int]] = [{} for _ in parts]
+    for row in slots.na.drop().groupBy("part", "slot").count().collect():
+        counts[row["part"]][row["slot"]] = row["count"]
+    rows = min(sum(filled.values()) for filled in counts)
+    for n in FILES:
+        if (n <= max(8, rows // FILE_ROWS)
+                and all(len({slot % n for slot in filled}) == n for filled in counts)):
             return n
     return 1
 
